@@ -23,8 +23,8 @@ def _percentiles(shares: list[float], exact: bool) -> Column:
     """All wanted percentiles in one sketch; exact ones keep every distinct delay of a group."""
     wanted = F.array(*[F.lit(share) for share in shares])
     if exact:
-        return F.percentile_disc(DELAY, wanted) if hasattr(F, "percentile_disc") else F.expr(
-            "array(" + ", ".join(f"percentile_disc({s}) WITHIN GROUP (ORDER BY {DELAY})" for s in shares) + ")")
+        ranked = [f"percentile_disc({share}) WITHIN GROUP (ORDER BY {DELAY})" for share in shares]
+        return F.expr(f"array({', '.join(ranked)})")
     return F.percentile_approx(DELAY, wanted, F.lit(10000))
 
 
@@ -98,7 +98,8 @@ def new_event_hashes(deltas: DataFrame, index: DataFrame, as_of: datetime,
     return hashed.join(known, "event_hash", "left_anti")
 
 
-_SEVERITY = (F.when(F.col("anomaly_type") == "critical", 2).when(F.col("anomaly_type") == "warning", 1).otherwise(0))
+def _severity() -> Column:
+    return F.when(F.col("anomaly_type") == "critical", 2).when(F.col("anomaly_type") == "warning", 1).otherwise(0)
 
 
 def _severity_name(column: str) -> Column:
@@ -116,7 +117,7 @@ def current_state(deltas: DataFrame) -> DataFrame:
 
 def config_rollup(deltas: DataFrame) -> DataFrame:
     """Per config: worst current class, critical and all dimensions, last anomaly."""
-    state = current_state(deltas).groupBy("config_name", "dimension_split_value").agg(F.max(_SEVERITY).alias("_s"))
+    state = current_state(deltas).groupBy("config_name", "dimension_split_value").agg(F.max(_severity()).alias("_s"))
     rolled = state.groupBy("config_name").agg(
         F.max("_s").alias("_worst"), F.count_if(F.col("_s") == 2).alias("critical_dimensions"),
         F.count(F.lit(1)).alias("dimensions"))
@@ -141,7 +142,7 @@ def severity_ribbon(deltas: DataFrame, as_of: datetime, days: int = 14) -> DataF
     first = as_of.date() - timedelta(days=days - 1)
     kept = deltas.filter((F.col("date") >= F.lit(first)) & (F.col("date") <= F.lit(as_of.date())))
     return kept.groupBy("config_name", "date").agg(
-        F.max(_SEVERITY).alias("_worst"), F.count_if(F.col("anomaly_type") != NORMAL).alias("anomalies"),
+        F.max(_severity()).alias("_worst"), F.count_if(F.col("anomaly_type") != NORMAL).alias("anomalies"),
     ).select("config_name", "date", _severity_name("_worst").alias("severity"), "anomalies")
 
 

@@ -47,18 +47,26 @@ def _unpivot(frame: DataFrame, methods: list[str]) -> DataFrame:
 
 def rolling_forecasts(train: DataFrame, configs: list[MetricConfig], as_of: datetime,
                       start: str | datetime | None = None, end: datetime | None = None) -> list[DataFrame]:
-    """Windowed statistics; configs with the same methods, windows and grid share a pass."""
+    """Windowed statistics; configs with the same methods, windows and grid share a pass.
+
+    The pass has every series of its configs on the grid, so a constant of
+    such a config is one more column of it.
+    """
     groups: dict[tuple, list[str]] = {}
     for cfg in configs:
         wanted = tuple(sorted((m, int(cfg.parameters(m)["sliding_window"])) for m in cfg.algorithms if m in STATISTICS))
         if wanted:
+            constant = float(cfg.parameters(CONSTANT)["value"]) if CONSTANT in cfg.algorithms else None
             first, total = forecast_bounds(cfg, as_of, start, end)
-            groups.setdefault((wanted, first, total, cfg.period_length), []).append(cfg.name)
-    return [
-        _unpivot(rolling_statistics(_of(train, names), [Statistic(m, m, n) for m, n in wanted], first, total, period),
-                 [m for m, _ in wanted])
-        for (wanted, first, total, period), names in groups.items()
-    ]
+            groups.setdefault((wanted, constant, first, total, cfg.period_length), []).append(cfg.name)
+    parts = []
+    for (wanted, constant, first, total, period), names in groups.items():
+        wide = rolling_statistics(_of(train, names), [Statistic(m, m, n) for m, n in wanted], first, total, period)
+        methods = [m for m, _ in wanted]
+        if constant is not None:
+            wide, methods = wide.withColumn(CONSTANT, F.lit(constant)), [*methods, CONSTANT]
+        parts.append(_unpivot(wide, methods))
+    return parts
 
 
 def constant_forecast(train: DataFrame, cfg: MetricConfig, as_of: datetime, start: str | datetime | None = None,
@@ -155,7 +163,7 @@ def forecast(points: DataFrame, configs: Iterable[MetricConfig], as_of: datetime
     train = training_rows(points, configs)
     parts = rolling_forecasts(train, configs, as_of, start, end)
     for cfg in configs:
-        if CONSTANT in cfg.algorithms:
+        if CONSTANT in cfg.algorithms and not any(m in STATISTICS for m in cfg.algorithms):
             parts.append(constant_forecast(train, cfg, as_of, start, end))
         if DECOMPOSED in cfg.algorithms:
             parts.append(decomposed_forecast(train, cfg, as_of, start, end))

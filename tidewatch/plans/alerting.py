@@ -20,7 +20,7 @@ from tidewatch.operators.transitions import (
     project_threads,
 )
 from tidewatch.schemas import INCIDENTS, REPLY_EVENTS
-from tidewatch.session import ensure_checkpoint_dir
+from tidewatch.session import stored
 
 
 @dataclass(frozen=True)
@@ -110,16 +110,17 @@ def events_of(actions: DataFrame, as_of: datetime) -> DataFrame:
 
 def alert_run(deltas: DataFrame, incidents: DataFrame, events: DataFrame, channels: DataFrame,
               configs: Iterable[MetricConfig], as_of: datetime, environment: str, report: str = "", page: str = "",
-              replay: bool = False, parity: bool = False, cut_lineage: bool = False) -> AlertRun:
+              replay: bool = False, parity: bool = False) -> AlertRun:
     """Decide a run.  Using only ``actions`` of the result is a dry run.
 
     Transitions a mode does not show are still logged, without a message, so
     that later runs know what was announced; ``parity=True`` drops them.
-    ``cut_lineage`` stores the actions once in the shared checkpoint folder,
-    for callers that write several of the results.
+    The rows, threads and keys of the run are stored once in the shared
+    checkpoint folder: every output is a projection of them, and the outputs
+    stay consistent while the tables they came from are being replaced.
     """
     configs = list(configs)
-    rows = relevant_rows(deltas, incidents, as_of, replay)
+    rows = stored(relevant_rows(deltas, incidents, as_of, replay), "alert-rows")
     undated = rejected_rows(rows)
     rows = rows.filter(F.col("anomaly_date").isNotNull())
     markers = None
@@ -128,14 +129,11 @@ def alert_run(deltas: DataFrame, incidents: DataFrame, events: DataFrame, channe
         fresh = first_seen_configs(rows, incidents).withColumn("_fresh", F.lit(True))
         rows = (rows.join(fresh, "config_name", "left")
                 .filter(F.col("_fresh").isNull() | (F.col("anomaly_date") >= F.lit(as_of.date()))).drop("_fresh"))
-    state = thread_states(rows, incidents, channels, configs, as_of, environment, replay)
+    state = stored(thread_states(rows, incidents, channels, configs, as_of, environment, replay), "alert-threads")
     rejected = state.filter(F.col("slack_channel_id").isNull()).select(*THREAD)
     state = state.filter(F.col("slack_channel_id").isNotNull())
-    keys = key_states(state, rows, events)
+    keys = stored(key_states(state, rows, events), "alert-keys")
     actions = list_actions(project_threads(state, keys), keys, as_of).withColumn("visible", is_visible())
-    if cut_lineage:
-        ensure_checkpoint_dir(deltas.sparkSession)
-        actions = actions.checkpoint()
     shown = actions.filter("visible")
     reopened = state.filter("reopened").select("incident_slack_ts")
     after = incidents_after(incidents, shown, reopened, as_of)

@@ -14,7 +14,7 @@ from tidewatch.operators.forecast import forecast
 from tidewatch.operators.grid import fetch_ranges, history_grid, missing_periods
 from tidewatch.operators.versions import merge_versions, new_versions
 from tidewatch.schemas import ACTUALS, FORECASTS
-from tidewatch.session import ensure_checkpoint_dir
+from tidewatch.session import stored
 from tidewatch.sources.tables import (
     DELTAS_ORDER, VERSION_ORDER, month_of, read_partitioned, write_partitioned,
 )
@@ -28,13 +28,12 @@ def _merge_into(spark: SparkSession, path: str, incoming: DataFrame, schema, as_
     The result is stored in the checkpoint folder before the months are
     replaced, because a table cannot be overwritten while it is read.
     """
-    ensure_checkpoint_dir(spark)
-    fresh = incoming.select(*schema.names, month_of("timestamp").alias("month")).checkpoint()
+    fresh = stored(incoming.select(*schema.names, month_of("timestamp").alias("month")), "incoming")
     touched = [row[0] for row in fresh.select("month").distinct().collect()]  # one row per month
     if not touched:
         return
     table = read_partitioned(spark, path, schema).filter(F.col("month").isin(touched)).select(*schema.names)
-    merged = merge_versions(table, fresh.select(*schema.names), as_of).checkpoint()
+    merged = stored(merge_versions(table, fresh.select(*schema.names), as_of), "merged")
     write_partitioned(merged, path, "timestamp", VERSION_ORDER)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Semantics, not tuning: instants are UTC and arithmetic errors are loud.
 REQUIRED = {
@@ -62,3 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-checkpoint-"))
     return context.getCheckpointDir()
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """Write ``frame`` once to the shared checkpoint folder and read it back.
+
+    For results that several branches use: the branches start from a columnar
+    table with known size instead of repeating the scan of the sources, and a
+    lost executor costs nothing but its own tasks.
+    """
+    spark = frame.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
