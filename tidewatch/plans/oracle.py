@@ -363,12 +363,14 @@ _LOG = [*_EARLIER, """earlier AS (
     SELECT * FROM e_d WHERE forecast_method IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY config_name, day, dimension_split_value, forecast_method
                                ORDER BY timestamp DESC) = 1)
-  WHERE anomaly_type <> 'normal')""", f"""log_threads AS (
-  SELECT config_name, anomaly_date, {_counts()}, critical_higher + critical_lower AS n_critical,
+  WHERE anomaly_type <> 'normal')""", f"""log_counts AS (
+  SELECT config_name, anomaly_date, {_counts()} FROM earlier GROUP BY config_name, anomaly_date),
+log_threads AS (
+  SELECT *, critical_higher + critical_lower AS n_critical,
          warning_higher + warning_lower AS n_warning, anomaly_date < DATE '2024-01-08' AS marker,
          CAST(anomaly_date AS TIMESTAMP) + INTERVAL 20 HOUR AS opened,
          config_name || '-' || strftime(anomaly_date, '%Y-%m-%d') AS name
-  FROM earlier GROUP BY ALL)""", f"""incidents AS (
+  FROM log_counts)""", f"""incidents AS (
   SELECT config_name, anomaly_date, 'C-LOG' AS slack_channel_id,
          CASE WHEN marker THEN 'BOOTSTRAP-' || name || '-00000000' ELSE 'T-' || name END AS slack_ts,
          opened AS opened_at,
