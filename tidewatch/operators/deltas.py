@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -15,6 +16,7 @@ CLASSES = (("critical_lower", "<"), ("warning_lower", "<"), ("critical_higher",
 BUCKETS = ("critical_higher", "critical_lower", "warning_higher", "warning_lower")
 STALE_DAYS = 60
 POINT = ["config_name", "dimension_split_value", "timestamp"]
+SERIES_METHOD = ["config_name", "forecast_method", "dimension_split_value"]
 DIGITS = 6
 
 
@@ -56,7 +58,7 @@ def _side(frame: DataFrame, tag: str, extra: dict[str, Column]) -> DataFrame:
     dataset, table, column = F.col("source_dataset"), F.col("source_table"), F.col("source_forecast_column")
     dot = F.lit(".")
     shared = {
-        "source_sql": F.col("source_sql"), "source_sql_hash": F.col("source_sql_hash"),
+        "source_sql_hash": F.col("source_sql_hash"),
         "source_dataset_table": F.concat(dataset, dot, table),
         "source_dataset_table_column": F.concat(dataset, dot, table, dot, column),
         "period_length": F.col("period_length"),
@@ -69,7 +71,8 @@ def match_points(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Full outer join on series and time; a missing actual counts as zero.
 
     The key is as fine as the data, so no key is hot.  NULL dimensions do
-    not match (they are named before they are stored).
+    not match (they are named before they are stored).  The query text stays
+    behind: its hash stands for it until ``add_source_text``.
     """
     left = _side(actuals, "ac", {"actual_timestamp": F.col("timestamp"), "_actual": F.col("value"),
                                  "delta_valid_from": F.col("valid_from")})
@@ -85,18 +88,37 @@ def match_points(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
         "actual_timestamp", "delta_valid_from",
         F.round(F.coalesce("_actual", F.lit(0.0)), DIGITS).alias("actual_value"),
         "timestamp", F.to_date("timestamp").alias("date"), "config_name", "dimension_split_value",
-        either("source_sql"), either("source_sql_hash"), either("source_dataset_table"),
+        either("source_sql_hash"), either("source_dataset_table"),
         either("source_dataset_table_column"), either("period_length"),
     )
 
 
+def unique_points(points: DataFrame) -> DataFrame:
+    """Without repeated rows, laid out by series and method for the ordering that follows.
+
+    Rows that are equal agree in these columns too, so one shuffle serves
+    both.  Seeds joined later are distinct themselves and add no repeats.
+    """
+    return points.withColumn("_span", _span()).repartition(*SERIES_METHOD, "_span").distinct()
+
+
+def add_source_text(points: DataFrame, *versions: DataFrame) -> DataFrame:
+    """The text of the query behind each row, looked up by its hash.
+
+    There are as many texts as there were definitions, and carrying a text
+    with every row through the shuffles would cost far more than this join.
+    """
+    texts = reduce(DataFrame.union, [v.select("source_sql_hash", "source_sql") for v in versions]).distinct()
+    return points.join(texts, "source_sql_hash", "left")
+
+
 def add_thresholds(points: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Relative thresholds and the values and distances they stand for.
 
     The size of the threshold table decides at run time whether it is broadcast.
     """
     names = [name for name, _ in CLASSES]
-    joined = points.join(thresholds.select("config_name", "forecast_method", *names),
+    joined = points.join(thresholds.select("config_name", "forecast_method", *names).distinct(),
                          ["config_name", "forecast_method"], "left")
     fc = F.col("forecast_value")
     return joined.withColumns({
@@ -106,8 +128,8 @@ def add_thresholds(points: DataFrame, thresholds: DataFrame) -> DataFrame:
 
 
 def add_descriptions(points: DataFrame, descriptions: DataFrame) -> DataFrame:
-    return points.join(descriptions.select("config_name", "description", "dq_dashboard_url", "text_inject"),
-                       "config_name", "left")
+    texts = descriptions.select("config_name", "description", "dq_dashboard_url", "text_inject").distinct()
+    return points.join(texts, "config_name", "left")
 
 
 def add_differences(points: DataFrame) -> DataFrame:
@@ -145,9 +167,6 @@ def classify(points: DataFrame) -> DataFrame:
     })
 
 
-SERIES_METHOD = ["config_name", "forecast_method", "dimension_split_value"]
-
-
 def _span() -> Column:
     """Stretch of a series that is put in order by one task: at most 86,400 points."""
     period, at = F.col("period_length"), F.col("timestamp")
@@ -168,7 +187,7 @@ def previous_class(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     if not fine_grained:
         return points.withColumn("_previous", F.lag(kind).over(
             Window.partitionBy(*SERIES_METHOD).orderBy("timestamp")))
-    spanned = points.withColumn("_span", _span()).repartition(*SERIES_METHOD, "_span")
+    spanned = points if "_span" in points.columns else points.withColumn("_span", _span())
     ends = spanned.groupBy(*SERIES_METHOD, "_span").agg(F.max_by(kind, "timestamp").alias("_end"))
     carried = ends.select(
         *[F.col(name).alias(f"_c_{name}") for name in SERIES_METHOD], F.col("_span").alias("_c_span"),
@@ -199,18 +218,12 @@ def debounce(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     })
 
 
-def classified_points(actuals: DataFrame, forecasts: DataFrame, thresholds: DataFrame,
-                      descriptions: DataFrame) -> DataFrame:
-    """Everything up to the class of each point."""
-    matched = match_points(actuals, forecasts)
-    described = add_descriptions(add_thresholds(matched, thresholds), descriptions)
-    return classify(add_differences(described.distinct()))
-
-
 def build_deltas(actuals: DataFrame, forecasts: DataFrame, thresholds: DataFrame, descriptions: DataFrame,
                  as_of: datetime, fine_grained: bool = True) -> DataFrame:
     """The deltas table from the stored versions of actuals and forecasts."""
     newest = live_configs(newest_actuals(actuals), as_of)
     live = actuals.filter(F.col("is_latest")).join(newest.select("config_name"), "config_name", "left_semi")
     due = due_forecasts(current_forecasts(forecasts), newest)
-    return debounce(classified_points(live, due, thresholds, descriptions), fine_grained)
+    points = unique_points(match_points(live, due))
+    marked = debounce(classify(add_differences(add_thresholds(points, thresholds))), fine_grained)
+    return add_source_text(add_descriptions(marked.drop("_span"), descriptions), actuals, forecasts)

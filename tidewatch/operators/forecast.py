@@ -38,34 +38,46 @@ def _of(train: DataFrame, names: Iterable[str]) -> DataFrame:
     return train.filter(F.col("config_name").isin(*names))
 
 
-def _unpivot(frame: DataFrame, methods: list[str]) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(m).alias("forecast_method"), F.col(m).alias("value")) for m in methods])
-    return (frame.select(*SERIES, "timestamp", F.explode(pairs).alias("_p"))
-            .select(*SERIES, "timestamp", "_p.forecast_method", F.col("_p.value").cast("double").alias("value"))
+def _unpivot(frame: DataFrame, wanted: dict[str, list[tuple[str, Column]]]) -> DataFrame:
+    """One row per method: each config gets its own ``(method, value)`` pairs."""
+    def pairs(methods: list[tuple[str, Column]]) -> Column:
+        return F.array(*[F.struct(F.lit(m).alias("forecast_method"), value.cast("double").alias("value"))
+                         for m, value in methods])
+
+    names = list(wanted)
+    chosen = pairs(wanted[names[-1]])
+    for name in names[:-1]:
+        chosen = F.when(F.col("config_name") == name, pairs(wanted[name])).otherwise(chosen)
+    return (frame.select(*SERIES, "timestamp", F.explode(chosen).alias("_p"))
+            .select(*SERIES, "timestamp", "_p.forecast_method", "_p.value")
             .filter(F.col("value").isNotNull()))
 
 
 def rolling_forecasts(train: DataFrame, configs: list[MetricConfig], as_of: datetime,
                       start: str | datetime | None = None, end: datetime | None = None) -> list[DataFrame]:
-    """Windowed statistics; configs with the same methods, windows and grid share a pass.
+    """Windowed statistics; configs with the same grid share a pass over their values.
 
     The pass has every series of its configs on the grid, so a constant of
     such a config is one more column of it.
     """
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple, list[MetricConfig]] = {}
     for cfg in configs:
-        wanted = tuple(sorted((m, int(cfg.parameters(m)["sliding_window"])) for m in cfg.algorithms if m in STATISTICS))
-        if wanted:
-            constant = float(cfg.parameters(CONSTANT)["value"]) if CONSTANT in cfg.algorithms else None
-            first, total = forecast_bounds(cfg, as_of, start, end)
-            groups.setdefault((wanted, constant, first, total, cfg.period_length), []).append(cfg.name)
+        if any(m in STATISTICS for m in cfg.algorithms):
+            groups.setdefault((*forecast_bounds(cfg, as_of, start, end), cfg.period_length), []).append(cfg)
     parts = []
-    for (wanted, constant, first, total, period), names in groups.items():
-        wide = rolling_statistics(_of(train, names), [Statistic(m, m, n) for m, n in wanted], first, total, period)
-        methods = [m for m, _ in wanted]
-        if constant is not None:
-            wide, methods = wide.withColumn(CONSTANT, F.lit(constant)), [*methods, CONSTANT]
-        parts.append(_unpivot(wide, methods))
+    for (first, total, period), members in groups.items():
+        statistics, wanted = {}, {}
+        for cfg in members:
+            wanted[cfg.name] = methods = []
+            for method in cfg.algorithms:
+                if method in STATISTICS:
+                    rows = int(cfg.parameters(method)["sliding_window"])
+                    item = statistics.setdefault((method, rows), Statistic(f"{method}_{rows}", method, rows))
+                    methods.append((method, F.col(item.alias)))
+                elif method == CONSTANT:
+                    methods.append((method, F.lit(float(cfg.parameters(method)["value"]))))
+        wide = rolling_statistics(_of(train, list(wanted)), list(statistics.values()), first, total, period)
+        parts.append(_unpivot(wide, wanted))
     return parts
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidewatch.config import MetricConfig
 from tidewatch.functions.periods import (
@@ -62,32 +62,45 @@ def retained_periods(grid: DataFrame, existing: DataFrame, configs: Iterable[Met
     return stored.join(missing_periods(grid, existing, configs, as_of), ["config_name", "timestamp"], "left_anti")
 
 
-def fetch_ranges(missing: DataFrame, cfg: MetricConfig, limit: int = 64) -> list[tuple[datetime, datetime]]:
-    """Missing periods of one config as ``[start, end)`` ranges for scan pruning.
+def fetch_ranges(missing: DataFrame, configs: Iterable[MetricConfig],
+                 limit: int = 64) -> dict[str, list[tuple[datetime, datetime]]]:
+    """Missing periods per config as ``[start, end)`` ranges for scan pruning.
 
     Only the edges of contiguous runs reach the driver, at most ``limit`` + 1
-    of each.  With more runs than that, one range covering all of them is
-    returned: the exact semi join on the missing periods follows anyway.
+    of each kind and config.  A config with more runs gets one range covering
+    all of them: the exact semi join on the missing periods follows anyway.
     """
-    if cfg.period_length in FIXED_SECONDS:
-        step = F.make_dt_interval(secs=F.lit(FIXED_SECONDS[cfg.period_length]))
-    else:
-        step = F.make_interval(months=F.lit(CALENDAR_MONTHS[cfg.period_length]))
-    own = missing.filter(F.col("config_name") == cfg.name).select("timestamp")
-
-    def edges(shift: Column) -> list[datetime]:
-        neighbours = own.select((F.col("timestamp") + shift).alias("timestamp"))
-        rows = own.join(neighbours, "timestamp", "left_anti").orderBy("timestamp").limit(limit + 1).collect()
-        return [row[0] for row in rows]
-
-    starts = edges(step)
-    if not starts:
-        return []
-    if len(starts) <= limit:
-        ends = edges(-step)
-        return [(first, add_periods(last, 1, cfg.period_length)) for first, last in zip(starts, ends)]
-    low, high = own.agg(F.min("timestamp"), F.max("timestamp")).first()
-    return [(low, add_periods(high, 1, cfg.period_length))]
+    configs = list(configs)
+    step = F.lit(None).cast("long")
+    months = F.lit(0)
+    for cfg in configs:
+        own = F.col("config_name") == cfg.name
+        step = F.when(own, F.lit(FIXED_SECONDS.get(cfg.period_length, 0))).otherwise(step)
+        months = F.when(own, F.lit(CALENDAR_MONTHS.get(cfg.period_length, 0))).otherwise(months)
+    keys = ["config_name", "timestamp"]
+
+    def edges(sign: int) -> DataFrame:
+        moved = (F.col("timestamp") + F.make_interval(months=months * sign)
+                 + F.make_dt_interval(secs=(step * sign).cast("decimal(18,6)")))
+        return missing.join(missing.select("config_name", moved.alias("timestamp")), keys, "left_anti")
+
+    both = (edges(1).withColumn("_kind", F.lit("start"))
+            .unionByName(edges(-1).withColumn("_kind", F.lit("end"))))
+    in_order = Window.partitionBy("config_name", "_kind").orderBy("timestamp")
+    bounded = both.withColumn("_rank", F.row_number().over(in_order)).filter(F.col("_rank") <= limit + 1)
+    outer = missing.groupBy("config_name").agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+    found: dict[tuple[str, str], list[datetime]] = {}
+    for name, kind, at in bounded.orderBy("config_name", "_kind", "_rank").select(
+            "config_name", "_kind", "timestamp").collect():
+        found.setdefault((name, kind), []).append(at)
+    whole = {name: (low, high) for name, low, high in outer.collect()}
+    ranges = {}
+    for cfg in configs:
+        starts, ends = found.get((cfg.name, "start"), []), found.get((cfg.name, "end"), [])
+        if len(starts) > limit:
+            starts, ends = [whole[cfg.name][0]], [whole[cfg.name][1]]
+        ranges[cfg.name] = [(low, add_periods(high, 1, cfg.period_length)) for low, high in zip(starts, ends)]
+    return ranges
 
 
 def forecast_bounds(cfg: MetricConfig, as_of: datetime, start: str | datetime | None = None,

@@ -38,14 +38,14 @@ def _merge_into(spark: SparkSession, path: str, incoming: DataFrame, schema, as_
 
 
 def fetch_actuals(spark: SparkSession, configs: Iterable[MetricConfig], read: Callable[[MetricConfig], DataFrame],
-                  stored: DataFrame, as_of: datetime, delta_load: bool = True, **options) -> DataFrame:
+                  table: DataFrame, as_of: datetime, delta_load: bool = True, **options) -> DataFrame:
     """Points to merge: all of them, or those of missing and refetched periods."""
     configs = list(configs)
     if not delta_load:
         return build_points(spark, configs, read, as_of, **options)
-    existing = current_values(stored, columns=("config_name", "timestamp"))
-    missing = missing_periods(history_grid(spark, configs, as_of), existing, configs, as_of)
-    ranges = {cfg.name: fetch_ranges(missing, cfg) for cfg in configs if not cfg.source_sql}
+    existing = current_values(table, columns=("config_name", "timestamp"))
+    missing = stored(missing_periods(history_grid(spark, configs, as_of), existing, configs, as_of), "missing")
+    ranges = fetch_ranges(missing, [cfg for cfg in configs if not cfg.source_sql])
     return build_points(spark, configs, read, as_of, missing, ranges, **options)
 
 
@@ -59,8 +59,8 @@ def ingest_run(spark: SparkSession, configs: Iterable[MetricConfig], read: Calla
     """
     configs = list(configs)
     actuals_path, forecasts_path, deltas_path = (f"{root}/{name}" for name in ("actuals", "forecasts", "deltas"))
-    stored = read_partitioned(spark, actuals_path, ACTUALS)
-    points = fetch_actuals(spark, configs, read, stored, as_of, delta_load, **options)
+    held = read_partitioned(spark, actuals_path, ACTUALS)
+    points = fetch_actuals(spark, configs, read, held, as_of, delta_load, **options)
     _merge_into(spark, actuals_path, new_versions(describe_source(points, configs), as_of), ACTUALS, as_of)
 
     actuals = read_partitioned(spark, actuals_path, ACTUALS)

@@ -629,7 +629,7 @@ def config_rollup(spark, folder):
 
 @query
 def product_rollup(spark, folder):
-    products = w.small(spark, w.PRODUCT_ROWS, "config_name string, product string")
+    products = w.small(spark, w.PRODUCT_ROWS, w.PRODUCTS)
     return analysis.product_rollup(w.Monitoring.of(spark, folder).deltas(), products)
 
 

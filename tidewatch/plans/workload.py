@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidewatch.config import MetricConfig
 from tidewatch.operators.actuals import build_points, describe_source
@@ -88,11 +90,16 @@ CHANNEL_ROWS = [
     (None, "staging", "C-STAGING", "staging", None),
     (TOTAL, "prod", "C-PROD-TOTAL", "totals", None),
 ]
+PRODUCTS = T.StructType([T.StructField("config_name", T.StringType()), T.StructField("product", T.StringType())])
 PRODUCT_ROWS = [(BY_TYPE, "events"), (TOTAL, "events"), (HOURLY, "value")]
 
 
-def small(spark: SparkSession, rows: list[tuple], schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def small(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A handful of literal rows; through Arrow, so that the plan knows how few they are."""
+    columns = list(zip(*rows))
+    return spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(values, type=field.type) for values, field in zip(columns, to_arrow_schema(schema))],
+        schema=to_arrow_schema(schema)))
 
 
 def thresholds(spark: SparkSession) -> DataFrame:
