@@ -11,18 +11,16 @@ from pyspark.sql import Column, functions as F
 
 def number_text(value: Column) -> Column:
     """A double rounded to six digits: ``2.5``, ``1.0``, ``1e-06``; NULL is ``None``."""
-    plain = F.regexp_replace(F.abs(value).cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    millionths = F.round(F.abs(value) * 1000000).cast("long")
+    plain = F.regexp_replace(F.abs(value).try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    millionths = F.round(F.least(F.abs(value), F.lit(1.0)) * 1000000).cast("long")
     tens = (millionths / 10).cast("long")
     rest = millionths % 10
     tiny = (F.when(millionths < 10, F.concat(millionths.cast("string"), F.lit("e-06")))
             .when(rest == 0, F.concat(tens.cast("string"), F.lit("e-05")))
             .otherwise(F.concat(tens.cast("string"), F.lit("."), rest.cast("string"), F.lit("e-05"))))
     huge = F.regexp_replace(F.regexp_replace(F.abs(value).cast("string"), r"\.0E", "E"), "E", "e+")
-    body = (F.when((millionths > 0) & (millionths < 100), tiny)
-            .when(F.abs(value) >= 1e16, huge).otherwise(plain))
-    safe = F.when(F.abs(value) < 1e16, body).otherwise(huge)
-    return F.when(value.isNull(), "None").otherwise(F.concat(F.when(value < 0, "-").otherwise(""), safe))
+    body = (F.when(F.abs(value) >= 1e16, huge).when((millionths > 0) & (millionths < 100), tiny).otherwise(plain))
+    return F.when(value.isNull(), "None").otherwise(F.concat(F.when(value < 0, "-").otherwise(""), body))
 
 
 def instant_text(value: Column) -> Column:

@@ -94,7 +94,7 @@ FROM (SELECT DISTINCT event_type FROM events), range(8) AS r(i)""")
 
 # --- versions --------------------------------------------------------------------
 
-_FIRST, _OPEN = "TIMESTAMP '2024-01-20 14:00:00'", "TIMESTAMP '9999-12-31 23:59:59'"
+_FIRST, _OPEN, _CLOSED = "TIMESTAMP '2024-01-20 14:00:00'", "'9999-12-31 23:59:59'", "'2024-01-30 23:59:59'"
 
 
 def _loads(name: str, dim: str, split: str) -> str:
@@ -103,7 +103,7 @@ load1_{name} AS ({_event_points(name, 'count(*)', dim=dim, where=f'ts < {_FIRST}
 load2_{name} AS ({_event_points(name, 'count(*)', dim=dim)}),
 versions_{name} AS (
   SELECT a.config_name, a.dimension_split_value, a.timestamp, a.value, {_FIRST} AS valid_from,
-         CASE WHEN a.value <> b.value THEN {NOW} ELSE {_OPEN} END AS valid_to,
+         CASE WHEN a.value <> b.value THEN {_CLOSED} ELSE {_OPEN} END AS valid_to,
          coalesce(a.value = b.value, TRUE) AS is_latest
   FROM load1_{name} a LEFT JOIN load2_{name} b USING (dimension_split_value, timestamp)
   UNION ALL
@@ -220,7 +220,7 @@ _add("scd2_forecasts", _with(
     _points(w.TOTAL), _grid("TIMESTAMP '2024-01-01'", NOW, "DAY"), _total_forecast(3, "1"), _total_forecast(7, "2"),
     final=f"""
 SELECT a.forecast_method, a.config_name, a.dimension_split_value, a.timestamp, a.value, {_FIRST} AS valid_from,
-       CASE WHEN a.value <> b.value THEN {NOW} ELSE {_OPEN} END AS valid_to,
+       CASE WHEN a.value <> b.value THEN {_CLOSED} ELSE {_OPEN} END AS valid_to,
        coalesce(a.value = b.value, TRUE) AS is_latest
 FROM f1 a LEFT JOIN f2 b USING (forecast_method, timestamp)
 UNION ALL

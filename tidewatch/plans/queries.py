@@ -190,6 +190,11 @@ def _loads(spark, folder, name: str = w.BY_TYPE) -> tuple[DataFrame, DataFrame]:
 VERSION = [*POINT, "value", "valid_from", "valid_to", "is_latest"]
 
 
+def _shown(frame: DataFrame, *columns: str) -> DataFrame:
+    """The end of an open version lies beyond what pandas timestamps can hold: show it as text."""
+    return frame.select(*columns).withColumn("valid_to", F.date_format("valid_to", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _upserted(spark, folder, name: str = w.BY_TYPE) -> DataFrame:
     first, second = _loads(spark, folder, name)
     return merge_versions(first, second, SECOND_LOAD)
@@ -204,7 +209,7 @@ def row_keys(spark, folder):
 @query
 def scd2_upsert(spark, folder):
     """The restated day gets a second version, new days a first one."""
-    return _upserted(spark, folder).select(*VERSION)
+    return _shown(_upserted(spark, folder), *VERSION)
 
 
 @query
@@ -212,7 +217,7 @@ def scd2_noop(spark, folder):
     """Merging the same values again changes nothing."""
     once = _upserted(spark, folder)
     _, second = _loads(spark, folder)
-    return merge_versions(once, second, datetime(2024, 2, 1)).select(*VERSION)
+    return _shown(merge_versions(once, second, datetime(2024, 2, 1)), *VERSION)
 
 
 @query
@@ -225,7 +230,7 @@ def actuals_current(spark, folder):
 @query
 def tombstone_config(spark, folder):
     both = _upserted(spark, folder).unionByName(_upserted(spark, folder, w.TOTAL))
-    return tombstone(both, w.TOTAL).select(*VERSION)
+    return _shown(tombstone(both, w.TOTAL), *VERSION)
 
 
 @query
@@ -236,7 +241,7 @@ def scd2_forecasts(spark, folder):
     for days, at in ((3, FIRST_LOAD), (7, SECOND_LOAD)):
         configs = [cfg for cfg in w.event_configs(daily=days) if cfg.name == w.TOTAL]
         loads.append(new_versions(describe_source(_rounded(forecast(points, configs, w.NOW)), configs), at))
-    return merge_versions(*loads, SECOND_LOAD).select("forecast_method", *VERSION)
+    return _shown(merge_versions(*loads, SECOND_LOAD), "forecast_method", *VERSION)
 
 
 # --- forecasts -------------------------------------------------------------------
