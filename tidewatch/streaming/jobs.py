@@ -29,10 +29,14 @@ def _folder(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def source_stream(spark: SparkSession, folder: str, files: str = "*.parquet") -> DataFrame:
+def source_stream(spark: SparkSession, folder: str, files: str = "*.parquet",
+                  files_per_batch: int | None = None) -> DataFrame:
     """Files of a folder as they arrive."""
     schema = spark.read.option("pathGlobFilter", files).parquet(folder).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def metric_points_stream(source: DataFrame, cfg: MetricConfig, lateness: str) -> DataFrame:
@@ -81,7 +85,7 @@ def run_final_points(spark: SparkSession, folder: str, files: str, cfg: MetricCo
 
 
 def run_versions(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, as_of: datetime,
-                 lateness: str = "14 days") -> DataFrame:
+                 lateness: str = "14 days", files_per_batch: int | None = None) -> DataFrame:
     """Merge every micro-batch of changed points into a versioned table.
 
     A batch writes a new table and only then moves on, so a repeated batch
@@ -96,7 +100,7 @@ def run_versions(spark: SparkSession, folder: str, files: str, cfg: MetricConfig
         write_partitioned(merge_versions(latest["table"], fresh, as_of), target, "timestamp", replace_all=True)
         latest["table"] = spark.read.parquet(target).select(*ACTUALS.names)
 
-    stream = metric_points_stream(source_stream(spark, folder, files), cfg, lateness)
+    stream = metric_points_stream(source_stream(spark, folder, files, files_per_batch), cfg, lateness)
     _finish(stream.writeStream.outputMode("update").foreachBatch(merge), spark, "stream-versions")
     return latest["table"]
 
