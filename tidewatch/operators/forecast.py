@@ -76,7 +76,8 @@ def rolling_forecasts(train: DataFrame, configs: list[MetricConfig], as_of: date
                     methods.append((method, F.col(item.alias)))
                 elif method == CONSTANT:
                     methods.append((method, F.lit(float(cfg.parameters(method)["value"]))))
-        wide = rolling_statistics(_of(train, list(wanted)), list(statistics.values()), first, total, period)
+        older = any(first > cfg.grid_from(as_of) for cfg in members)
+        wide = rolling_statistics(_of(train, list(wanted)), list(statistics.values()), first, total, period, older)
         parts.append(_unpivot(wide, wanted))
     return parts
 
@@ -89,19 +90,34 @@ def constant_forecast(train: DataFrame, cfg: MetricConfig, as_of: datetime, star
         F.lit(float(cfg.parameters(CONSTANT)["value"])).alias("value"))
 
 
+def _blocks(series: DataFrame, total: int, tasks: int) -> int:
+    """Into how many blocks of periods to split each series so that all tasks have work.
+
+    Each block repeats the history of its series, so with many series there
+    is one; no more than ``tasks`` of them are counted.
+    """
+    known = series.limit(tasks).count()
+    return max(1, min(-(-tasks // max(known, 1)), -(-total // 4)))
+
+
 def decomposed_forecast(train: DataFrame, cfg: MetricConfig, as_of: datetime, start: str | datetime | None = None,
-                        end: datetime | None = None, periods_per_task: int = 16) -> DataFrame:
+                        end: datetime | None = None) -> DataFrame:
     """Multi-seasonal decomposition, refitted for every period on the values before it.
 
     A fit needs its whole series, which has one value per period of the
     configured history.  Series and blocks of consecutive periods are separate
-    groups, so one long horizon is not one task.
+    groups, so one long horizon is not one task.  The number of partitions is
+    explicit: the rows are few, the work per row is not, and sizing by bytes
+    would put all of it into one task.
     """
     first, total = forecast_bounds(cfg, as_of, start, end)
     seasons = [float(s) for s in cfg.parameters(DECOMPOSED)["season_length"]]
     enough = 2 * seasons[0]
-    blocks = max(1, -(-total // periods_per_task))
     own = _of(train, [cfg.name])
+    tasks = 2 * train.sparkSession.sparkContext.defaultParallelism
+    blocks = _blocks(own.select(*SERIES).distinct(), total, tasks)
+    periods_per_task = max(1, -(-total // blocks))
+    blocks = max(1, -(-total // periods_per_task))
     # A value is needed by every block that has a period after it.
     ends = F.array(*[F.lit(add_periods(first, min((b + 1) * periods_per_task, total) - 1, cfg.period_length))
                      for b in range(blocks)])
@@ -126,7 +142,7 @@ def decomposed_forecast(train: DataFrame, cfg: MetricConfig, as_of: datetime, st
             result[name] = rows[name].iloc[0]
         return result[[*SERIES, "timestamp", "value"]]
 
-    fitted = values.unionByName(periods).groupBy(*SERIES, "block").applyInPandas(
+    fitted = values.unionByName(periods).repartition(tasks, *SERIES, "block").groupBy(*SERIES, "block").applyInPandas(
         fit, "config_name string, dimension_split_value string, timestamp timestamp, value double")
     return fitted.select(*SERIES, "timestamp", F.lit(DECOMPOSED).alias("forecast_method"), "value")
 

@@ -37,14 +37,12 @@ class Statistic:
     rows: int | None
 
 
-def needed_history(train: DataFrame, first: datetime, rows: int | None) -> DataFrame:
+def needed_history(train: DataFrame, first: datetime, rows: int) -> DataFrame:
     """Values from ``first`` on, plus the last ``rows`` of each series before it.
 
     Spark applies the ranking filter before the shuffle as well, so a run
     over a few periods does not move years of history.
     """
-    if rows is None:
-        return train
     boundary = timestamp_literal(first)
     latest = Window.partitionBy(*SERIES).orderBy(F.desc("timestamp"))
     older = (train.filter(F.col("timestamp") < boundary)
@@ -79,17 +77,19 @@ def with_grid_rows(values: DataFrame, first: datetime, total: int, period: str)
 
 
 def rolling_statistics(train: DataFrame, statistics: list[Statistic], first: datetime, total: int,
-                       period: str) -> DataFrame:
+                       period: str, cut_history: bool = True) -> DataFrame:
     """One row per series and period with a column per statistic.
 
     ``train`` has ``config_name, dimension_split_value, timestamp, value``.
     A statistic is NULL where the series has fewer values than it needs.
     The rows of one series in one task are its last N values and the horizon:
     both are parameters of the run, neither grows with the source tables.
+    ``cut_history=False`` saves the cut where the horizon is the whole history.
     """
     widths = [s.rows for s in statistics]
-    values = needed_history(train.select(*SERIES, "timestamp", "value"), first,
-                            None if None in widths else max(widths))
+    values = train.select(*SERIES, "timestamp", "value")
+    if cut_history and None not in widths:
+        values = needed_history(values, first, max(widths))
     series = Window.partitionBy(*SERIES)
     # At the same instant the grid row comes first: only strictly earlier values count.
     in_time = series.orderBy("timestamp", F.desc("_grid")).rowsBetween(Window.unboundedPreceding, 0)

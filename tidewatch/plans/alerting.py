@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,16 +24,42 @@ from tidewatch.schemas import INCIDENTS, REPLY_EVENTS
 from tidewatch.session import stored
 
 
-@dataclass(frozen=True)
+@dataclass
 class AlertRun:
-    """Lazy results of a run; nothing is written until the caller does so."""
+    """Results of a run, each built when asked for; nothing is written until the caller does so."""
 
     actions: DataFrame  # everything the state machine decided; see ``visible``
-    incidents: DataFrame  # the incident table after the run
-    events: DataFrame  # reply events to append
-    outbox: DataFrame  # messages to deliver
     rejected: DataFrame  # threads without a channel
     undated: DataFrame  # rows without a date
+    before: DataFrame
+    reopened: DataFrame
+    markers: DataFrame | None
+    as_of: datetime
+    environment: str
+    report: str
+    page: str
+    parity: bool
+
+    @property
+    def shown(self) -> DataFrame:
+        return self.actions.filter("visible")
+
+    @cached_property
+    def incidents(self) -> DataFrame:
+        """The incident table after the run."""
+        after = incidents_after(self.before, self.shown, self.reopened, self.as_of)
+        return after if self.markers is None else after.unionByName(self.markers.select(*INCIDENTS.names))
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Reply events to append."""
+        hidden = F.col("kind").isin(*TRANSITIONS)
+        return events_of(self.shown if self.parity else self.actions.filter(F.col("visible") | hidden), self.as_of)
+
+    @cached_property
+    def outbox(self) -> DataFrame:
+        """Messages to deliver."""
+        return outbox(self.shown, self.environment, self.report, self.page)
 
 
 def aggregation_mode(configs: Iterable[MetricConfig]) -> Column:
@@ -134,12 +161,5 @@ def alert_run(deltas: DataFrame, incidents: DataFrame, events: DataFrame, channe
     state = state.filter(F.col("slack_channel_id").isNotNull())
     keys = stored(key_states(state, rows, events), "alert-keys")
     actions = list_actions(project_threads(state, keys), keys, as_of).withColumn("visible", is_visible())
-    shown = actions.filter("visible")
     reopened = state.filter("reopened").select("incident_slack_ts")
-    after = incidents_after(incidents, shown, reopened, as_of)
-    if markers is not None:
-        after = after.unionByName(markers.select(*INCIDENTS.names))
-    hidden = F.col("kind").isin(*TRANSITIONS)
-    logged = shown if parity else actions.filter(F.col("visible") | hidden)
-    return AlertRun(actions, after, events_of(logged, as_of), outbox(shown, environment, report, page),
-                    rejected, undated)
+    return AlertRun(actions, rejected, undated, incidents, reopened, markers, as_of, environment, report, page, parity)

@@ -21,6 +21,10 @@ ADAPTIVE = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Plans are built from many small expressions; recording a call site for each of them
+# takes longer than building them.
+DRIVER = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app_name: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the settings above.
@@ -31,7 +35,7 @@ def build_session(app_name: str = "tidewatch", master: str | None = None, **conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **ADAPTIVE, **DRIVER}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
