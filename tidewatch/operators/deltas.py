@@ -54,43 +54,38 @@ def due_forecasts(forecasts: DataFrame, newest: DataFrame) -> DataFrame:
             .filter(F.col("timestamp") <= F.col("newest")).drop("newest"))
 
 
-def _side(frame: DataFrame, tag: str, extra: dict[str, Column]) -> DataFrame:
-    dataset, table, column = F.col("source_dataset"), F.col("source_table"), F.col("source_forecast_column")
-    dot = F.lit(".")
-    shared = {
-        "source_sql_hash": F.col("source_sql_hash"),
+DEFINITION = ["source_sql_hash", "source_sql", "source_dataset_table", "source_dataset_table_column", "period_length"]
+
+
+def _with_definition(versions: DataFrame) -> DataFrame:
+    """Name the definition behind each version, with a short id for all of it."""
+    dot, parts = F.lit("."), ["source_dataset", "source_table", "source_forecast_column"]
+    dataset, table, column = [F.col(part) for part in parts]
+    named = versions.withColumns({
         "source_dataset_table": F.concat(dataset, dot, table),
         "source_dataset_table_column": F.concat(dataset, dot, table, dot, column),
-        "period_length": F.col("period_length"),
-    }
-    return frame.select(*POINT, *[c.alias(n) for n, c in extra.items()],
-                        *[c.alias(f"_{tag}_{n}") for n, c in shared.items()])
+    })
+    return named.withColumn("_definition", F.xxhash64(*[c for c in DEFINITION if c != "source_sql"]))
 
 
 def match_points(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Full outer join on series and time; a missing actual counts as zero.
 
     The key is as fine as the data, so no key is hot.  NULL dimensions do
-    not match (they are named before they are stored).  The query text stays
-    behind: its hash stands for it until ``add_source_text``.
+    not match (they are named before they are stored).  What describes the
+    metric stays behind; ``_definition`` stands for it until ``add_definitions``.
     """
-    left = _side(actuals, "ac", {"actual_timestamp": F.col("timestamp"), "_actual": F.col("value"),
-                                 "delta_valid_from": F.col("valid_from")})
-    right = _side(forecasts, "fc", {"forecast_timestamp": F.col("timestamp"), "_forecast": F.col("value"),
-                                    "forecast_method": F.col("forecast_method")})
-    joined = left.join(right, POINT, "full_outer")
-
-    def either(name: str) -> Column:
-        return F.coalesce(F.col(f"_fc_{name}"), F.col(f"_ac_{name}")).alias(name)
-
-    return joined.select(
+    left = _with_definition(actuals).select(
+        *POINT, F.col("timestamp").alias("actual_timestamp"), F.col("value").alias("_actual"),
+        F.col("valid_from").alias("delta_valid_from"), F.col("_definition").alias("_ac"), _span().alias("_ac_span"))
+    right = _with_definition(forecasts).select(
+        *POINT, "forecast_method", F.col("timestamp").alias("forecast_timestamp"), F.col("value").alias("_forecast"),
+        F.col("_definition").alias("_fc"), _span().alias("_fc_span"))
+    return left.join(right, POINT, "full_outer").select(
         "forecast_method", "forecast_timestamp", F.round("_forecast", DIGITS).alias("forecast_value"),
         "actual_timestamp", "delta_valid_from",
-        F.round(F.coalesce("_actual", F.lit(0.0)), DIGITS).alias("actual_value"),
-        "timestamp", F.to_date("timestamp").alias("date"), "config_name", "dimension_split_value",
-        either("source_sql_hash"), either("source_dataset_table"),
-        either("source_dataset_table_column"), either("period_length"),
-    )
+        F.round(F.coalesce("_actual", F.lit(0.0)), DIGITS).alias("actual_value"), *POINT,
+        F.coalesce("_fc", "_ac").alias("_definition"), F.coalesce("_fc_span", "_ac_span").alias("_span"))
 
 
 def unique_points(points: DataFrame) -> DataFrame:
@@ -99,31 +94,34 @@ def unique_points(points: DataFrame) -> DataFrame:
     Rows that are equal agree in these columns too, so one shuffle serves
     both.  Seeds joined later are distinct themselves and add no repeats.
     """
-    return points.withColumn("_span", _span()).repartition(*SERIES_METHOD, "_span").distinct()
+    return points.repartition(*SERIES_METHOD, "_span").distinct()
 
 
-def add_source_text(points: DataFrame, *versions: DataFrame) -> DataFrame:
-    """The text of the query behind each row, looked up by its hash.
+def add_definitions(points: DataFrame, *versions: DataFrame) -> DataFrame:
+    """What the metric was when the row was stored: query, table, column, period.
 
-    There are as many texts as there were definitions, and carrying a text
-    with every row through the shuffles would cost far more than this join.
+    There are as many of these as there were definitions.  Carrying their
+    texts with every row through the shuffles would cost far more than this join.
     """
-    texts = reduce(DataFrame.union, [v.select("source_sql_hash", "source_sql") for v in versions]).distinct()
-    return points.join(texts, "source_sql_hash", "left")
+    known = reduce(DataFrame.union, [_with_definition(v).select("_definition", *DEFINITION) for v in versions]).distinct()
+    return points.withColumn("date", F.to_date("timestamp")).join(known, "_definition", "left").drop("_definition")
 
 
 def add_thresholds(points: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Relative thresholds and the values and distances they stand for.
+    """Relative thresholds of the method.
 
     The size of the threshold table decides at run time whether it is broadcast.
     """
-    names = [name for name, _ in CLASSES]
-    joined = points.join(thresholds.select("config_name", "forecast_method", *names).distinct(),
-                         ["config_name", "forecast_method"], "left")
+    limits = thresholds.select("config_name", "forecast_method", *[name for name, _ in CLASSES]).distinct()
+    return points.join(limits, ["config_name", "forecast_method"], "left")
+
+
+def add_bounds(points: DataFrame) -> DataFrame:
+    """The values and distances the thresholds stand for."""
     fc = F.col("forecast_value")
-    return joined.withColumns({
-        **{f"{n}_value": fc * (1 + F.col(n)) for n in names},
-        **{f"{n}_delta_threshold": fc * F.col(n) for n in names},
+    return points.withColumns({
+        **{f"{name}_value": fc * (1 + F.col(name)) for name, _ in CLASSES},
+        **{f"{name}_delta_threshold": fc * F.col(name) for name, _ in CLASSES},
     })
 
 
@@ -147,22 +145,27 @@ def add_differences(points: DataFrame) -> DataFrame:
 
 def classify(points: DataFrame) -> DataFrame:
     """Class of every point; NULL thresholds and differences never fire."""
-    rel = F.col("delta_rel")
-    kind, exceeded = F, F
+    rel = F.round(F.try_divide(F.col("actual_value") - F.col("forecast_value"), F.col("forecast_value")), DIGITS)
+    kind = F
     for name, side in CLASSES:
-        fires = rel < F.col(name) if side == "<" else rel > F.col(name)
-        kind, exceeded = kind.when(fires, F.lit(name)), exceeded.when(fires, F.col(name))
-    typed = points.withColumns({
-        "anomaly_type_lower_higher": kind.otherwise(F.lit(NORMAL)),
+        kind = kind.when(rel < F.col(name) if side == "<" else rel > F.col(name), F.lit(name))
+    return points.withColumn("anomaly_type_lower_higher", kind.otherwise(F.lit(NORMAL)))
+
+
+def add_anomaly_values(points: DataFrame) -> DataFrame:
+    """Threshold exceeded, coarse class, and the differences of anomalous points."""
+    full = F.col("anomaly_type_lower_higher")
+    exceeded = F
+    for name, _ in CLASSES:
+        exceeded = exceeded.when(full == name, F.col(name))
+    coarse = points.withColumns({
         "exceeded_threshold_lower_higher": exceeded.otherwise(F.lit(0.0)),
+        "anomaly_type": F.when(full.contains("critical"), "critical").when(full.contains("warning"), "warning")
+        .otherwise(NORMAL),
     })
-    full = F.col("anomaly_type_lower_higher")
-    coarse = typed.withColumn(
-        "anomaly_type",
-        F.when(full.contains("critical"), "critical").when(full.contains("warning"), "warning").otherwise(NORMAL))
     odd = F.col("anomaly_type") != NORMAL
     return coarse.withColumns({
-        "anomaly_value": F.when(odd, rel),
+        "anomaly_value": F.when(odd, F.col("delta_rel")),
         "anomaly_value_windsorised": F.when(odd, F.col("delta_rel_winsorised")),
     })
 
@@ -203,15 +206,19 @@ def previous_class(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     return joined.withColumn("_previous", previous).select(*points.columns, "_previous")
 
 
-def debounce(points: DataFrame, fine_grained: bool = True) -> DataFrame:
-    """Mark where an anomaly starts and ends, and keep its values only at the start."""
+def mark_changes(points: DataFrame, fine_grained: bool = True) -> DataFrame:
+    """Mark where an anomaly starts and ends."""
     kind, before = F.col("anomaly_type_lower_higher"), F.col("_previous")
-    marked = previous_class(points, fine_grained).withColumns({
+    return previous_class(points, fine_grained).withColumns({
         "anomaly_type_lower_higher_start": F.when((kind != NORMAL) & (before == NORMAL), kind),
         "anomaly_type_lower_higher_end": F.when((kind == NORMAL) & (before != NORMAL), before),
     }).drop("_previous")
+
+
+def debounce(points: DataFrame) -> DataFrame:
+    """Values of anomalous points at the start of the anomaly only."""
     starts = F.col("anomaly_type_lower_higher_start") != NORMAL
-    return marked.withColumns({
+    return points.withColumns({
         "anomaly_value_windsorised_debounced": F.when(starts, F.col("anomaly_value_windsorised")),
         "anomaly_value_debounced": F.when(starts, F.col("anomaly_value")),
         "actual_value_debounced": F.when(starts, F.col("actual_value")),
@@ -225,5 +232,7 @@ def build_deltas(actuals: DataFrame, forecasts: DataFrame, thresholds: DataFrame
     live = actuals.filter(F.col("is_latest")).join(newest.select("config_name"), "config_name", "left_semi")
     due = due_forecasts(current_forecasts(forecasts), newest)
     points = unique_points(match_points(live, due))
-    marked = debounce(classify(add_differences(add_thresholds(points, thresholds))), fine_grained)
-    return add_source_text(add_descriptions(marked.drop("_span"), descriptions), actuals, forecasts)
+    # Only what the ordering needs goes through it; the other columns follow from these afterwards.
+    marked = mark_changes(classify(add_thresholds(points, thresholds)), fine_grained).drop("_span")
+    valued = debounce(add_anomaly_values(add_differences(add_bounds(marked))))
+    return add_definitions(add_descriptions(valued, descriptions), actuals, forecasts)

@@ -136,11 +136,13 @@ def route_channels(threads: DataFrame, channels: DataFrame, environment: str) ->
     here = channels.filter(F.col("environment") == environment)
     own = (here.filter(F.col("config_name").isNotNull()).groupBy("config_name")
            .agg(F.min(F.struct(*names)).alias("_own")))
-    shared = here.filter(F.col("config_name").isNull()).agg(F.min(F.struct(*names)).alias("_shared"))
-    # One row by construction (a global aggregate): joining it adds a column, not rows.
-    found = threads.join(own, "config_name", "left").join(F.broadcast(shared), F.lit(True), "left")
+    # Grouped by the one environment that is left: a single row, so the broadcast is bounded.
+    shared = (here.filter(F.col("config_name").isNull()).groupBy(F.col("environment").alias("_environment"))
+              .agg(F.min(F.struct(*names)).alias("_shared")))
+    found = (threads.withColumn("_environment", F.lit(environment)).join(own, "config_name", "left")
+             .join(F.broadcast(shared), "_environment", "left"))
     chosen = F.coalesce("_own", "_shared")
-    return found.withColumns({name: chosen[name] for name in names}).drop("_own", "_shared")
+    return found.withColumns({name: chosen[name] for name in names}).drop("_own", "_shared", "_environment")
 
 
 def threads_to_visit(rows: DataFrame, incidents: DataFrame, as_of: datetime, open_too: bool = True) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.config import MetricConfig
+from tidewatch.functions.periods import FIXED_SECONDS
 from tidewatch.operators.actuals import POINT_COLUMNS, describe_source, dimension_column
 from tidewatch.operators.versions import merge_versions, new_versions
 from tidewatch.schemas import ACTUALS
@@ -40,11 +41,19 @@ def source_stream(spark: SparkSession, folder: str, files: str = "*.parquet",
 
 
 def metric_points_stream(source: DataFrame, cfg: MetricConfig, lateness: str) -> DataFrame:
-    """Tumbling windows of one period; rows later than ``lateness`` are not counted any more."""
+    """Tumbling windows of one period; rows later than ``lateness`` are not counted any more.
+
+    Windows have a fixed length, so months and longer periods are left to batch runs.
+    """
+    if cfg.period_length not in FIXED_SECONDS:
+        raise ValueError(f"{cfg.name}: a stream needs periods of fixed length, not {cfg.period_length}")
     stamped = source.withColumn("_at", F.expr(cfg.source_timestamp_column_sql).cast("timestamp"))
     if cfg.source_filter_sql:
         stamped = stamped.filter(F.expr(cfg.source_filter_sql))
-    period = F.window("_at", f"1 {cfg.period_length}")
+    # Windows are counted from a Thursday; weeks start on the Sunday three days later.
+    offset = "3 days" if cfg.period_length == "week" else None
+    length = f"1 {cfg.period_length}"
+    period = F.window("_at", length, length, offset) if offset else F.window("_at", length)
     grouped = (stamped.withWatermark("_at", lateness)
                .groupBy(period.alias("_w"), dimension_column(cfg).alias("dimension_split_value"))
                .agg(F.expr(cfg.source_forecast_column_sql).cast("double").alias("value")))
