@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.periods import timestamp_literal
 from tidewatch.operators.versions import OPEN_END
+from tidewatch.session import stored
 
 NORMAL = "normal"
 # The classes, in the order in which they are tested.
@@ -16,7 +17,7 @@ CLASSES = (("critical_lower", "<"), ("warning_lower", "<"), ("critical_higher",
 BUCKETS = ("critical_higher", "critical_lower", "warning_higher", "warning_lower")
 STALE_DAYS = 60
 POINT = ["config_name", "dimension_split_value", "timestamp"]
-SERIES_METHOD = ["config_name", "forecast_method", "dimension_split_value"]
+ORDERED_SERIES = ["config_name", "_method", "_dimension"]
 DIGITS = 6
 
 
@@ -88,22 +89,33 @@ def match_points(actuals: DataFrame, forecasts: DataFrame) -> DataFrame:
         F.coalesce("_fc", "_ac").alias("_definition"), F.coalesce("_fc_span", "_ac_span").alias("_span"))
 
 
-def unique_points(points: DataFrame) -> DataFrame:
+def _keyed(points: DataFrame) -> DataFrame:
+    """Copies of the series columns that are never NULL: equal keys then mean equal layout."""
+    none = F.lit("\0")  # occurs in no name
+    return points.withColumns({"_method": F.coalesce("forecast_method", none),
+                               "_dimension": F.coalesce("dimension_split_value", none)})
+
+
+def unique_points(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     """Without repeated rows, laid out by series and method for the ordering that follows.
 
     Rows that are equal agree in these columns too, so one shuffle serves
     both.  Seeds joined later are distinct themselves and add no repeats.
     """
-    return points.repartition(*SERIES_METHOD, "_span").distinct()
+    layout = [*ORDERED_SERIES, "_span"] if fine_grained else ORDERED_SERIES
+    return _keyed(points).repartition(*layout).distinct()
+
+
+def known_definitions(*versions: DataFrame) -> DataFrame:
+    """Every definition behind stored versions; there are as many as were ever configured."""
+    return reduce(DataFrame.union, [_with_definition(v).select("_definition", *DEFINITION) for v in versions]).distinct()
 
 
-def add_definitions(points: DataFrame, *versions: DataFrame) -> DataFrame:
+def add_definitions(points: DataFrame, known: DataFrame) -> DataFrame:
     """What the metric was when the row was stored: query, table, column, period.
 
-    There are as many of these as there were definitions.  Carrying their
-    texts with every row through the shuffles would cost far more than this join.
+    Carrying these texts with every row through the shuffles would cost far more than this join.
     """
-    known = reduce(DataFrame.union, [_with_definition(v).select("_definition", *DEFINITION) for v in versions]).distinct()
     return points.withColumn("date", F.to_date("timestamp")).join(known, "_definition", "left").drop("_definition")
 
 
@@ -171,39 +183,40 @@ def add_anomaly_values(points: DataFrame) -> DataFrame:
 
 
 def _span() -> Column:
-    """Stretch of a series that is put in order by one task: at most 86,400 points."""
+    """Stretch of a series that is put in order by one task: a day of seconds, a month of minutes.
+
+    An hourly series of a whole century has fewer than a million points and stays in one piece.
+    """
     period, at = F.col("period_length"), F.col("timestamp")
     return (F.when(period == "second", F.date_trunc("day", at))
             .when(period == "minute", F.date_trunc("month", at))
-            .when(period == "hour", F.date_trunc("year", at))
             .otherwise(F.lit(datetime(1970, 1, 1))))
 
 
 def previous_class(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     """Add ``_previous``: the class of the point before in the same series and method.
 
-    With hourly or finer periods a series is ordered in stretches, so that
-    a very long one is not one task; the last class of each stretch is handed
-    to the next one that has points.  Daily and coarser series have one stretch.
+    With periods of minutes or seconds a series is ordered in stretches, so
+    that a very long one is not one task, and the last class of each stretch is
+    handed to the next one that has points.  The ordered points are stored in
+    between: the hand-over reads a few columns of them and is joined by its size.
     """
-    kind = F.col("anomaly_type_lower_higher")
+    kind, names = F.col("anomaly_type_lower_higher"), points.columns
+    keyed = points if "_method" in names else _keyed(points)
     if not fine_grained:
-        return points.withColumn("_previous", F.lag(kind).over(
-            Window.partitionBy(*SERIES_METHOD).orderBy("timestamp")))
-    spanned = points if "_span" in points.columns else points.withColumn("_span", _span())
-    ends = spanned.groupBy(*SERIES_METHOD, "_span").agg(F.max_by(kind, "timestamp").alias("_end"))
-    carried = ends.select(
-        *[F.col(name).alias(f"_c_{name}") for name in SERIES_METHOD], F.col("_span").alias("_c_span"),
-        F.lag("_end").over(Window.partitionBy(*SERIES_METHOD).orderBy("_span")).alias("_carried"))
-    same = F.col("_span") == F.col("_c_span")
-    for name in SERIES_METHOD:
-        same = same & F.col(name).eqNullSafe(F.col(f"_c_{name}"))
-    inside = F.lag(kind).over(Window.partitionBy(*SERIES_METHOD, "_span").orderBy("timestamp"))
-    first_rank = F.row_number().over(Window.partitionBy(*SERIES_METHOD, "_span").orderBy("timestamp"))
-    ordered = spanned.withColumns({"_inside": inside, "_rank": first_rank})
-    joined = ordered.join(carried.filter(F.col("_carried").isNotNull()), same, "left")
+        return keyed.withColumn("_previous", F.lag(kind).over(
+            Window.partitionBy(*ORDERED_SERIES).orderBy("timestamp"))).select(*names, "_previous")
+    stretch = [*ORDERED_SERIES, "_span"]
+    within = Window.partitionBy(*stretch).orderBy("timestamp")
+    spanned = keyed if "_span" in names else keyed.withColumn("_span", _span())
+    inside = stored(spanned.withColumns({"_inside": F.lag(kind).over(within),
+                                         "_rank": F.row_number().over(within)}), "ordered")
+    ends = inside.groupBy(*stretch).agg(F.max_by(kind, "timestamp").alias("_end"))
+    carried = ends.withColumn("_carried", F.lag("_end").over(
+        Window.partitionBy(*ORDERED_SERIES).orderBy("_span"))).filter(F.col("_carried").isNotNull())
+    joined = inside.join(stored(carried.drop("_end"), "carried"), stretch, "left")
     previous = F.when(F.col("_rank") == 1, F.col("_carried")).otherwise(F.col("_inside"))
-    return joined.withColumn("_previous", previous).select(*points.columns, "_previous")
+    return joined.withColumn("_previous", previous).select(*names, "_previous")
 
 
 def mark_changes(points: DataFrame, fine_grained: bool = True) -> DataFrame:
@@ -227,12 +240,18 @@ def debounce(points: DataFrame) -> DataFrame:
 
 def build_deltas(actuals: DataFrame, forecasts: DataFrame, thresholds: DataFrame, descriptions: DataFrame,
                  as_of: datetime, fine_grained: bool = True) -> DataFrame:
-    """The deltas table from the stored versions of actuals and forecasts."""
-    newest = live_configs(newest_actuals(actuals), as_of)
-    live = actuals.filter(F.col("is_latest")).join(newest.select("config_name"), "config_name", "left_semi")
-    due = due_forecasts(current_forecasts(forecasts), newest)
-    points = unique_points(match_points(live, due))
+    """The deltas table from the stored versions of actuals and forecasts.
+
+    The newest value per config and the definitions are stored first: as
+    tables of known size they are broadcast or not by that size, while as
+    subqueries of unknown size they would make the big side be shuffled by config.
+    """
+    current, predicted = actuals.filter(F.col("is_latest")), current_forecasts(forecasts)
+    newest = stored(live_configs(newest_actuals(actuals), as_of), "newest")
+    known = stored(known_definitions(current, predicted), "definitions")
+    live = current.join(newest.select("config_name"), "config_name", "left_semi")
+    points = unique_points(match_points(live, due_forecasts(predicted, newest)), fine_grained)
     # Only what the ordering needs goes through it; the other columns follow from these afterwards.
-    marked = mark_changes(classify(add_thresholds(points, thresholds)), fine_grained).drop("_span")
-    valued = debounce(add_anomaly_values(add_differences(add_bounds(marked))))
-    return add_definitions(add_descriptions(valued, descriptions), actuals, forecasts)
+    marked = mark_changes(classify(add_thresholds(points, thresholds)), fine_grained)
+    valued = debounce(add_anomaly_values(add_differences(add_bounds(marked.drop("_span", "_method", "_dimension")))))
+    return add_definitions(add_descriptions(valued, descriptions), known)

@@ -19,7 +19,7 @@ from tidewatch.sources.tables import (
     DELTAS_ORDER, VERSION_ORDER, month_of, read_partitioned, write_partitioned,
 )
 
-FINE = ("second", "minute", "hour")
+FINE = ("second", "minute")
 
 
 def _merge_into(spark: SparkSession, path: str, incoming: DataFrame, schema, as_of: datetime) -> None:

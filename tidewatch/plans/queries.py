@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidewatch.config import MetricConfig
 from tidewatch.operators import analysis, threads as th, transitions as tr
 from tidewatch.operators.actuals import aggregate_points, build_points, current_values, describe_source
-from tidewatch.operators.deltas import add_definitions, build_deltas, due_forecasts, live_actuals, match_points, newest_actuals
+from tidewatch.operators.deltas import add_definitions, build_deltas, due_forecasts, known_definitions, live_actuals, match_points, newest_actuals
 from tidewatch.operators.forecast import forecast, training_rows
 from tidewatch.operators.grid import forecast_grid, history_grid, missing_periods, retained_periods
 from tidewatch.operators.messages import dashboard_link
@@ -315,7 +315,7 @@ def _versions(spark, folder) -> tuple[DataFrame, DataFrame]:
 def deltas_full_join(spark, folder):
     """Actuals and forecasts side by side."""
     versions = _versions(spark, folder)
-    return add_definitions(match_points(*versions), *versions).select(
+    return add_definitions(match_points(*versions), known_definitions(*versions)).select(
         *POINT, "forecast_method", "forecast_timestamp", "forecast_value", "actual_timestamp", "actual_value", "date",
         "source_dataset_table", "source_dataset_table_column", "period_length")
 

@@ -153,7 +153,7 @@ class Monitoring:
     def _deltas(self, configs: list[MetricConfig], points: DataFrame, limits: DataFrame) -> DataFrame:
         actuals = new_versions(describe_source(points, configs), NOW)
         predicted = new_versions(describe_source(self.forecasts(configs, points), configs), NOW)
-        return build_deltas(actuals, predicted, limits, descriptions(self.spark), NOW)
+        return build_deltas(actuals, predicted, limits, descriptions(self.spark), NOW, fine_grained=False)
 
     def deltas(self) -> DataFrame:
         return self._once("deltas", lambda: self._deltas(event_configs(), self.points(), thresholds(self.spark)))
