@@ -13,7 +13,7 @@ from tidewatch.config import THREAD as THREAD_MODE, MetricConfig
 from tidewatch.functions.periods import timestamp_literal
 from tidewatch.operators.messages import outbox
 from tidewatch.operators.threads import (
-    THREAD, bootstrap_incidents, counts_json, dated, first_seen_configs, latest_per_key, rejected_rows,
+    THREAD, bootstrap_incidents, counts_json, first_seen_configs, latest_per_key, rejected_rows,
     route_channels, rows_of_interest, threads_to_visit, without_suppressed,
 )
 from tidewatch.operators.transitions import (
