@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidewatch.plans.oracle import ORACLE
+from tidewatch.plans.queries import REGISTRY
 from tidewatch.session import ensure_utc
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = REGISTRY, ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +46,8 @@ def test_query(spark, engine, name):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,20 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever the session was started from; once per session is enough."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if getattr(context, "_tidewatch_shipped", False):
+        return
+    target = Path(tempfile.mkdtemp(prefix="tidewatch-package-")) / "tidewatch.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._tidewatch_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for ``checkpoint()``: the cluster's own, else one for local tests.
 
