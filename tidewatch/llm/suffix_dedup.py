@@ -16,11 +16,30 @@ from tidewatch.session import stored
 LENGTH = 50  # bytes of a string that counts as repeated
 LEAD = 24  # leading bytes that choose a suffix; every string of LENGTH bytes holds a chosen one
 REACH = LENGTH - LEAD + 1
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+SEGMENT = 1 << 17  # strings looked at in one go
+_PLACE_BITS = 18  # hold a place in a segment and its overhang
 SAMPLE = 8  # one in so many chunks gives splitters
 _OFFSET = np.uint64(0x9FB21C651E98DF25)
 
 
+def _chosen(data: np.ndarray, at: int, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Strings from ``at`` on that lie in one text, the place of the suffix that each chooses, and its hash."""
+    place = np.flatnonzero(whole)
+    if not len(place):
+        return place, place, np.zeros(0, np.uint64)
+    part = data[at:at + len(whole) + LENGTH - 1]
+    starts = np.arange(len(part) - LEAD + 1)
+    hashes = range_hashes(part, starts, starts + LEAD)
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    ranked = (hashes & ~low) | starts.astype(np.uint64)
+    for width in (1, 2, 4, 8):
+        ranked = np.minimum(ranked[:-width], ranked[width:])
+    chosen = np.minimum(ranked[:len(whole)], ranked[REACH - 16:REACH - 16 + len(whole)])[place]
+    anchor = (chosen & low).astype(np.int64)
+    return place + at, anchor + at, hashes[anchor]
+
+
 class _Suffixes:
     """The chosen suffixes of a chunk: of each LENGTH bytes, the one whose LEAD bytes have the smallest hash.
 
@@ -35,30 +54,29 @@ class _Suffixes:
         self.key = np.zeros(0, np.uint64)
         if len(data) < LENGTH:
             return
-        starts = np.arange(len(data) - LEAD + 1)
-        hashes = range_hashes(data, starts, starts + LEAD)
-        bits = np.uint64(max(len(data).bit_length(), 1))
-        low = (np.uint64(1) << bits) - np.uint64(1)
-        ranked = (hashes & ~low) | starts.astype(np.uint64)
-        for width in (1, 2, 4, 8):
-            ranked = np.minimum(ranked[:-width], ranked[width:])
-        span = len(data) - LENGTH + 1
-        chosen = np.minimum(ranked[:span], ranked[REACH - 16:REACH - 16 + span])
         inside = np.zeros(len(data) + 1, np.int32)
         tall = np.diff(offsets) >= LENGTH
         np.add.at(inside, offsets[:-1][tall], 1)
         np.add.at(inside, offsets[1:][tall] - LENGTH + 1, -1)
-        place = np.flatnonzero(np.cumsum(inside)[:span])
-        if not len(place):
-            return
-        anchor = (chosen[place] & low).astype(np.int64)
-        fresh = np.ones(len(anchor), bool)
-        fresh[1:] = anchor[1:] != anchor[:-1]
-        begin = np.flatnonzero(fresh)
-        self.first, self.anchor = place[begin], anchor[begin]
-        self.last = place[np.append(begin[1:], len(place)) - 1]
+        whole = np.cumsum(inside, out=inside)[:len(data) - LENGTH + 1] > 0
+        firsts, lasts, anchors, keys = [], [], [], []
+        for at in range(0, len(whole), SEGMENT):
+            place, anchor, key = _chosen(data, at, whole[at:at + SEGMENT])
+            fresh = np.ones(len(anchor), bool)
+            fresh[1:] = anchor[1:] != anchor[:-1]
+            begin = np.flatnonzero(fresh)
+            firsts.append(place[begin])
+            anchors.append(anchor[begin])
+            keys.append(key[begin])
+            lasts.append(place[np.append(begin[1:], len(place)) - 1] if len(place) else place)
+        first, last, anchor, key = (np.concatenate(x) for x in (firsts, lasts, anchors, keys))
+        # a stretch that goes on in the next segment is one
+        new = np.ones(len(anchor), bool)
+        new[1:] = anchor[1:] != anchor[:-1]
+        begin = np.flatnonzero(new)
+        self.first, self.anchor, self.key = first[begin], anchor[begin], key[begin] >> np.uint64(16)
+        self.last = last[np.append(begin[1:], len(last)) - 1] if len(last) else last
         self.row = np.searchsorted(offsets, self.first, "right") - 1
-        self.key = hashes[self.anchor] >> np.uint64(16)
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys, and the number of documents with each (documents with one id count once)."""

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20  # texts are worked on in slices of about so many bytes; a longer text is one slice
+CHUNK_BYTES = 2 << 20  # texts are worked on in slices of about so many bytes; a longer text is one slice
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
