@@ -20,7 +20,7 @@ from tidewatch.llm.text import slices
 from tidewatch.session import stored
 
 NO_ID = 2 ** 63 - 1
-BUCKET_BYTES = 16 << 20  # of text for each bucket of keys
+BUCKET_BYTES = 8 << 20  # of text for each bucket of keys
 LEAST_BUCKETS = 32
 
 CHUNK = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("ids", T.BinaryType()),

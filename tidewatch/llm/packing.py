@@ -13,6 +13,8 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, functions as F, types as T
 
+import tidewatch.llm.memory  # noqa: F401 - applies in every worker that imports this
+
 END = 2
 LENGTH = 1024
 OPEN_BINS = 32_768

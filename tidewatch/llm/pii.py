@@ -8,6 +8,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+import tidewatch.llm.memory  # noqa: F401 - applies in every worker that imports this
+
 # The kinds in their order, and what the contract's patterns are.
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+import tidewatch.llm.memory  # noqa: F401 - applies in every worker that imports this
+
 CHUNK_BYTES = 2 << 20  # texts are worked on in slices of about so many bytes; a longer text is one slice
 
 _SPACE = np.zeros(256, bool)
