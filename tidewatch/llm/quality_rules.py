@@ -54,8 +54,8 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     line_ends = np.flatnonzero(data == 10)
     line_from = np.union1d(offsets[:-1], line_ends + 1)
     line_from = line_from[line_from < len(data)]
-    line_to = np.append(line_from[1:], len(data))
-    line_to = line_to - ((line_to > line_from) & (data[np.maximum(line_to - 1, 0)] == 10)) if len(line_to) else line_to
+    line_to = np.append(line_from[1:], len(data))[:len(line_from)]
+    line_to = line_to - (data[line_to - 1] == 10)
     worded = np.searchsorted(starts, line_to) > np.searchsorted(starts, line_from)
     line_from, line_to = line_from[worded], line_to[worded]
     line_row = np.searchsorted(offsets, line_from, "right") - 1
