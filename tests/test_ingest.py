@@ -126,3 +126,22 @@ def test_seeds(spark, tmp_path):
     assert read_thresholds(spark, str(tmp_path), "dev").collect() == [("m", "mean", None, 1.0, None, None)]
     assert read_descriptions(spark, str(tmp_path), "dev").collect() == [("m", 'One, "two"', None, None)]
     assert read_channels(spark, str(tmp_path / "channels.csv")).collect() == [(None, "dev", "C1", "name", None)]
+
+
+def test_delta_load_reads_a_shared_source_once(spark):
+    from datetime import datetime
+
+    from tidewatch.config import MetricConfig
+    from tidewatch.operators.actuals import build_points
+
+    source = spark.createDataFrame([(datetime(2024, 1, d, 5), float(d)) for d in range(1, 11)], "ts timestamp, value double")
+    configs = [MetricConfig(name=n, source_table="t", source_timestamp_column_sql="ts", source_forecast_column_sql=f"{f}(value)",
+                            history_start="2024-01-01", period_length="day") for n, f in (("a", "SUM"), ("b", "MAX"))]
+    wanted = {"a": [2, 3], "b": [3, 7]}
+    missing = spark.createDataFrame([(n, datetime(2024, 1, d)) for n, days in wanted.items() for d in days],
+                                    "config_name string, timestamp timestamp")
+    ranges = {n: [(datetime(2024, 1, d), datetime(2024, 1, d + 1)) for d in days] for n, days in wanted.items()}
+    reads = []
+    points = build_points(spark, configs, lambda cfg: reads.append(cfg.name) or source, datetime(2024, 2, 1), missing, ranges)
+    assert sorted((r.config_name, r.value) for r in points.collect()) == [("a", 2.0), ("a", 3.0), ("b", 3.0), ("b", 7.0)]
+    assert len(reads) == 1

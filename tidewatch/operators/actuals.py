@@ -124,25 +124,38 @@ def drop_newest(points: DataFrame, rows: int) -> DataFrame:
     return points.join(F.broadcast(newest), "timestamp", "left_anti")  # at most ``rows`` rows
 
 
+def joined_ranges(ranges: Iterable[tuple[datetime, datetime]]) -> Ranges:
+    """The same instants in ranges that neither overlap nor touch."""
+    found: Ranges = []
+    for first, end in sorted(ranges):
+        if found and first <= found[-1][1]:
+            found[-1] = (found[-1][0], max(found[-1][1], end))
+        else:
+            found.append((first, end))
+    return found
+
+
 def build_points(spark: SparkSession, configs: Iterable[MetricConfig], read: Callable[[MetricConfig], DataFrame],
                  as_of: datetime, missing: DataFrame | None = None, ranges: dict[str, Ranges] | None = None,
                  sane: tuple[datetime, datetime] = (SANE_FROM, SANE_TO)) -> DataFrame:
     """Points of many configs, sharing scans where their definitions allow it.
 
     ``missing`` restricts a delta load to the wanted periods; ``ranges`` are
-    the same periods as a few literals that prune the scan.
+    the same periods as a few literals that prune the scan.  Configs that share
+    a scan are read once over all their ranges; each keeps its own periods.
     """
     parts, shared = [], {}
     for cfg in configs:
         if cfg.source_sql:
             parts.append(drop_newest(custom_points(spark, cfg, as_of, missing), cfg.skip_newest_rows))
-        elif cfg.skip_newest_rows or ranges is not None:
+        elif cfg.skip_newest_rows:
             own = None if ranges is None else ranges.get(cfg.name, [])
             parts.append(drop_newest(aggregate_points(read(cfg), [cfg], as_of, own, sane), cfg.skip_newest_rows))
         else:
             shared.setdefault(_scan_key(cfg), []).append(cfg)
     for group in shared.values():
-        parts.append(aggregate_points(read(group[0]), group, as_of, None, sane))
+        wanted = None if ranges is None else joined_ranges(span for cfg in group for span in ranges.get(cfg.name, []))
+        parts.append(aggregate_points(read(group[0]), group, as_of, wanted, sane))
     points = reduce(DataFrame.unionByName, [part.select(*POINT_COLUMNS) for part in parts])
     if missing is None:
         return points

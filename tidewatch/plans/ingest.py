@@ -28,7 +28,8 @@ def _merge_into(spark: SparkSession, path: str, incoming: DataFrame, schema, as_
     The result is stored in the checkpoint folder before the months are
     replaced, because a table cannot be overwritten while it is read.
     """
-    fresh = stored(incoming.select(*schema.names, month_of("timestamp").alias("month")), "incoming")
+    # a row without a time belongs to no month, and would replace those of other runs
+    fresh = stored(incoming.filter(F.col("timestamp").isNotNull()).select(*schema.names, month_of("timestamp").alias("month")), "incoming")
     touched = [row[0] for row in fresh.select("month").distinct().collect()]  # one row per month
     if not touched:
         return

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.schemas import CHANNELS, DESCRIPTIONS, REPLAY_ROWS, THRESHOLDS
@@ -23,11 +21,11 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def read_thresholds(spark: SparkSession, folder: str, environment: str) -> DataFrame:
-    return read_seed(spark, str(Path(folder) / f"thresholds_{environment}.csv"), THRESHOLDS)
+    return read_seed(spark, f"{folder.rstrip('/')}/thresholds_{environment}.csv", THRESHOLDS)
 
 
 def read_descriptions(spark: SparkSession, folder: str, environment: str) -> DataFrame:
-    return read_seed(spark, str(Path(folder) / f"config_descriptions_{environment}.csv"), DESCRIPTIONS)
+    return read_seed(spark, f"{folder.rstrip('/')}/config_descriptions_{environment}.csv", DESCRIPTIONS)
 
 
 def read_channels(spark: SparkSession, path: str) -> DataFrame:

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.config import MetricConfig
-from tidewatch.functions.periods import FIXED_SECONDS
-from tidewatch.operators.actuals import POINT_COLUMNS, describe_source, dimension_column
+from tidewatch.functions.periods import FIXED_SECONDS, timestamp_literal
+from tidewatch.operators.actuals import POINT_COLUMNS, SANE_FROM, SANE_TO, describe_source, dimension_column
 from tidewatch.operators.versions import merge_versions, new_versions
 from tidewatch.schemas import ACTUALS
 from tidewatch.session import ensure_checkpoint_dir
@@ -48,6 +48,8 @@ def metric_points_stream(source: DataFrame, cfg: MetricConfig, lateness: str) ->
     if cfg.period_length not in FIXED_SECONDS:
         raise ValueError(f"{cfg.name}: a stream needs periods of fixed length, not {cfg.period_length}")
     stamped = source.withColumn("_at", F.expr(cfg.source_timestamp_column_sql).cast("timestamp"))
+    # before the watermark: one garbage stamp far ahead would make every later row late
+    stamped = stamped.filter(F.col("_at").between(timestamp_literal(SANE_FROM), timestamp_literal(SANE_TO)))
     if cfg.source_filter_sql:
         stamped = stamped.filter(F.expr(cfg.source_filter_sql))
     # Windows are counted from a Thursday; weeks start on the Sunday three days later.
