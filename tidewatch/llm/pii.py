@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-import tidewatch.llm.memory  # noqa: F401 - applies in every worker that imports this
+from tidewatch.llm.text import slices
 
 # The kinds in their order, and what the contract's patterns are.
 BASE = ("email", "ip", "card", "phone")
@@ -113,7 +113,7 @@ _ARROW_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 
 def _finder(position: int, redact: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(first, len(offsets) - 1) for whole in batches for first, _, offsets in slices(whole.column(position))):
             spans, texts = [], []
             for text in batch.column(position).to_pylist():
                 found = find_spans(text) if text else []
