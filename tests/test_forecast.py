@@ -169,5 +169,9 @@ def test_fetch_ranges(spark):
         "m": [(datetime(2024, 1, 1), datetime(2024, 1, 4)), (datetime(2024, 1, 6), datetime(2024, 1, 7)),
               (datetime(2024, 1, 9), datetime(2024, 1, 11))],
         "n": [(datetime(2024, 1, 1), datetime(2024, 3, 1))]}
-    assert fetch_ranges(missing, [cfg], limit=2) == {"m": [(datetime(2024, 1, 1), datetime(2024, 1, 11))]}
+    scattered = [START + timedelta(days=2 * i) for i in range(300)] + [START + timedelta(days=2000)]
+    many = spark.createDataFrame([("m", at) for at in scattered], "config_name string, timestamp timestamp")
+    ranges = fetch_ranges(many, [cfg])["m"]
+    assert len(ranges) <= 64 and all(any(low <= at < high for low, high in ranges) for at in scattered)
+    assert all(high <= scattered[-2] + timedelta(days=1) or low >= scattered[-1] for low, high in ranges)  # the wide gap is not read
     assert fetch_ranges(missing.filter("false"), [cfg]) == {"m": []}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterable
 from datetime import datetime
 from functools import reduce
@@ -10,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.config import MetricConfig
 from tidewatch.functions.periods import as_utc, timestamp_literal, truncate
+from tidewatch.operators.grid import joined_ranges
 
 # Source timestamps outside this range are treated as garbage.
 SANE_FROM, SANE_TO = datetime(2012, 1, 1), datetime(2099, 12, 31)
@@ -84,7 +87,7 @@ def custom_points(spark: SparkSession, cfg: MetricConfig, as_of: datetime,
                   missing: DataFrame | None = None) -> DataFrame:
     """Points of a config that brings its own query.
 
-    ``{field}`` placeholders take config fields and ``{history_start}``.
+    ``{field}`` placeholders take config fields and ``{history_start}``; other braces stay as they are.
     ``{missing_timestamps_sql}`` becomes a subquery on the missing periods, or
     the timestamp expression itself on a full load (always true);
     ``{existing_timestamps_sql}`` is then never needed and gets a value no row has.
@@ -93,17 +96,23 @@ def custom_points(spark: SparkSession, cfg: MetricConfig, as_of: datetime,
     never = "TIMESTAMP '1979-01-01 00:00:00'"
     wanted = cfg.source_timestamp_column_sql or "timestamp"
     if missing is not None:
-        view = f"_missing_{abs(hash((cfg.name, id(missing))))}"
+        view = f"_missing_{uuid.uuid4().hex}"
         missing.filter(F.col("config_name") == cfg.name).select("timestamp").createOrReplaceTempView(view)
         wanted = f"SELECT timestamp FROM {view}"
     fields = {name: getattr(cfg, name) for name in (
         "source_project", "source_dataset", "source_table", "source_timestamp_column",
         "source_timestamp_column_sql", "source_forecast_column", "source_forecast_column_sql",
         "source_filter_sql", "dimension_split", "period_length")}
-    text = cfg.source_sql.format(
-        **fields, history_start=cfg.history_from(as_of).isoformat(sep=" "),
-        missing_timestamps_sql=wanted, existing_timestamps_sql=never)
-    return spark.sql(text).select(
+    fields |= {"history_start": cfg.history_from(as_of).isoformat(sep=" "),
+               "missing_timestamps_sql": wanted, "existing_timestamps_sql": never}
+    text = re.sub(r"\{(\w+)\}", lambda found: str(fields.get(found[1], found[0])), cfg.source_sql)
+    try:
+        rows = spark.sql(text)
+        rows.schema  # resolves the view, which is then no longer needed
+    finally:
+        if missing is not None:
+            spark.catalog.dropTempView(view)
+    return rows.select(
         F.lit(cfg.name).alias("config_name"),
         F.col("timestamp").cast("timestamp").alias("timestamp"),
         F.coalesce(F.col("dimension_split_value").cast("string"), F.lit(NULL_DIMENSION))
@@ -124,17 +133,6 @@ def drop_newest(points: DataFrame, rows: int) -> DataFrame:
     return points.join(F.broadcast(newest), "timestamp", "left_anti")  # at most ``rows`` rows
 
 
-def joined_ranges(ranges: Iterable[tuple[datetime, datetime]]) -> Ranges:
-    """The same instants in ranges that neither overlap nor touch."""
-    found: Ranges = []
-    for first, end in sorted(ranges):
-        if found and first <= found[-1][1]:
-            found[-1] = (found[-1][0], max(found[-1][1], end))
-        else:
-            found.append((first, end))
-    return found
-
-
 def build_points(spark: SparkSession, configs: Iterable[MetricConfig], read: Callable[[MetricConfig], DataFrame],
                  as_of: datetime, missing: DataFrame | None = None, ranges: dict[str, Ranges] | None = None,
                  sane: tuple[datetime, datetime] = (SANE_FROM, SANE_TO)) -> DataFrame:

@@ -6,12 +6,11 @@ from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.config import MetricConfig
 from tidewatch.functions.periods import (
-    CALENDAR_MONTHS, FIXED_SECONDS, add_periods, count_periods, date_or_period, floor_period, period_at,
-    timestamp_literal,
+    add_periods, count_periods, date_or_period, floor_period, period_at, timestamp_literal,
 )
 
 DEFAULT_HORIZON = 90
@@ -62,45 +61,37 @@ def retained_periods(grid: DataFrame, existing: DataFrame, configs: Iterable[Met
     return stored.join(missing_periods(grid, existing, configs, as_of), ["config_name", "timestamp"], "left_anti")
 
 
-def fetch_ranges(missing: DataFrame, configs: Iterable[MetricConfig],
-                 limit: int = 64) -> dict[str, list[tuple[datetime, datetime]]]:
+def joined_ranges(ranges: Iterable[tuple[datetime, datetime]]) -> list[tuple[datetime, datetime]]:
+    """The same instants in ranges that neither overlap nor touch."""
+    found: list[tuple[datetime, datetime]] = []
+    for first, end in sorted(ranges):
+        if found and first <= found[-1][1]:
+            found[-1] = (found[-1][0], max(found[-1][1], end))
+        else:
+            found.append((first, end))
+    return found
+
+
+PARTS = 64  # of the time between a config's first and last missing period
+
+
+def fetch_ranges(missing: DataFrame, configs: Iterable[MetricConfig]) -> dict[str, list[tuple[datetime, datetime]]]:
     """Missing periods per config as ``[start, end)`` ranges for scan pruning.
 
-    Only the edges of contiguous runs reach the driver, at most ``limit`` + 1
-    of each kind and config.  A config with more runs gets one range covering
-    all of them: the exact semi join on the missing periods follows anyway.
+    The time from a config's first to its last missing period is cut into ``PARTS`` equal parts, and each part is read
+    from its first to its last missing period.  So only gaps narrower than a part are read across, however many there
+    are, and one more missing period moves at most the range of its own part.  The exact semi join on the missing
+    periods follows.  What reaches the driver has ``PARTS`` rows for each config at most.
     """
-    configs = list(configs)
-    step = F.lit(None).cast("long")
-    months = F.lit(0)
-    for cfg in configs:
-        own = F.col("config_name") == cfg.name
-        step = F.when(own, F.lit(FIXED_SECONDS.get(cfg.period_length, 0))).otherwise(step)
-        months = F.when(own, F.lit(CALENDAR_MONTHS.get(cfg.period_length, 0))).otherwise(months)
-    keys = ["config_name", "timestamp"]
-
-    def edges(sign: int) -> DataFrame:
-        moved = (F.col("timestamp") + F.make_interval(months=months * sign)
-                 + F.make_dt_interval(secs=(step * sign).cast("decimal(18,6)")))
-        return missing.join(missing.select("config_name", moved.alias("timestamp")), keys, "left_anti")
-
-    both = (edges(1).withColumn("_kind", F.lit("start"))
-            .unionByName(edges(-1).withColumn("_kind", F.lit("end"))))
-    in_order = Window.partitionBy("config_name", "_kind").orderBy("timestamp")
-    bounded = both.withColumn("_rank", F.row_number().over(in_order)).filter(F.col("_rank") <= limit + 1)
-    outer = missing.groupBy("config_name").agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
-    found: dict[tuple[str, str], list[datetime]] = {}
-    for name, kind, at in bounded.orderBy("config_name", "_kind", "_rank").select(
-            "config_name", "_kind", "timestamp").collect():
-        found.setdefault((name, kind), []).append(at)
-    whole = {name: (low, high) for name, low, high in outer.collect()}
-    ranges = {}
-    for cfg in configs:
-        starts, ends = found.get((cfg.name, "start"), []), found.get((cfg.name, "end"), [])
-        if len(starts) > limit:
-            starts, ends = [whole[cfg.name][0]], [whole[cfg.name][1]]
-        ranges[cfg.name] = [(low, add_periods(high, 1, cfg.period_length)) for low, high in zip(starts, ends)]
-    return ranges
+    outer = missing.groupBy("config_name").agg(F.min("timestamp").alias("_low"), F.max("timestamp").alias("_high"))
+    part = F.expr(f"(unix_micros(timestamp) - unix_micros(_low)) * {PARTS} div (unix_micros(_high) - unix_micros(_low) + 1)")
+    parts = missing.join(outer, "config_name").groupBy("config_name", part.alias("_part")).agg(
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    spans: dict[str, list[tuple[datetime, datetime]]] = {}
+    for row in parts.collect():
+        spans.setdefault(row["config_name"], []).append((row["first"], row["last"]))
+    return {cfg.name: joined_ranges((first, add_periods(last, 1, cfg.period_length)) for first, last in spans.get(cfg.name, []))
+            for cfg in configs}
 
 
 def forecast_bounds(cfg: MetricConfig, as_of: datetime, start: str | datetime | None = None,

@@ -43,8 +43,13 @@ def latest_per_key(rows: DataFrame) -> DataFrame:
 
 
 def keys_of_interest(deltas: DataFrame, incidents: DataFrame, as_of: datetime) -> DataFrame:
-    """Keys anomalous in the lookback, or ever anomalous on the day of an open incident."""
-    odd = dated(deltas).filter(F.col("anomaly_type") != NORMAL).select(*THREAD, *KEY, "timestamp")
+    """Keys anomalous in the lookback, or at any time of its days on the day of an open incident.
+
+    Only rows of the lookback are alerted on, so days before its first one are not read.
+    """
+    first_day = (as_of - LOOKBACK).replace(hour=0, minute=0, second=0, microsecond=0)
+    odd = dated(deltas.filter(F.col("timestamp") >= timestamp_literal(first_day))).filter(
+        F.col("anomaly_type") != NORMAL).select(*THREAD, *KEY, "timestamp")
     recent = odd.filter(F.col("timestamp") >= timestamp_literal(as_of - LOOKBACK)).select(*THREAD, *KEY)
     open_threads = incidents.filter(F.col("status") == "open").select(*THREAD).distinct()
     watched = odd.join(open_threads, THREAD, "left_semi").select(*THREAD, *KEY)

@@ -101,9 +101,10 @@ def key_states(state: DataFrame, rows: DataFrame, events: DataFrame) -> DataFram
     current = rows.join(active.select(*THREAD), THREAD, "left_semi").select(
         *THREAD, *KEY, F.col("anomaly_type_lower_higher").alias("current"), *ROW_COLUMNS,
         F.lit(True).alias("has_row"))
-    announced = announced_states(events).join(
-        active.filter(F.col("incident_slack_ts").isNotNull()).select(*THREAD, "incident_slack_ts"),
-        "incident_slack_ts").select(*THREAD, *KEY, "announced", F.lit(True).alias("was_announced"))
+    incidents = active.filter(F.col("incident_slack_ts").isNotNull()).select(*THREAD, "incident_slack_ts")
+    # the log only grows; what is ranked are the events of active incidents
+    log = events.join(incidents.select("incident_slack_ts"), "incident_slack_ts", "left_semi")
+    announced = announced_states(log).join(incidents, "incident_slack_ts").select(*THREAD, *KEY, "announced", F.lit(True).alias("was_announced"))
     both = current.join(announced, [*THREAD, *KEY], "full_outer")
     now, before = firing("current"), firing("announced")
     seen = F.coalesce("has_row", F.lit(False))

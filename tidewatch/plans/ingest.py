@@ -19,8 +19,6 @@ from tidewatch.sources.tables import (
     DELTAS_ORDER, VERSION_ORDER, month_of, read_partitioned, write_partitioned,
 )
 
-FINE = ("second", "minute")
-
 
 def _merge_into(spark: SparkSession, path: str, incoming: DataFrame, schema, as_of: datetime) -> None:
     """Merge into the months that ``incoming`` touches and replace only those.
@@ -70,5 +68,5 @@ def ingest_run(spark: SparkSession, configs: Iterable[MetricConfig], read: Calla
     _merge_into(spark, forecasts_path, new_versions(describe_source(predicted, configs), as_of), FORECASTS, as_of)
 
     deltas = build_deltas(actuals, read_partitioned(spark, forecasts_path, FORECASTS), thresholds, descriptions,
-                          as_of, any(cfg.period_length in FINE for cfg in configs))
+                          as_of, True)  # stored series of other runs may be fine-grained
     write_partitioned(deltas, deltas_path, "actual_timestamp", DELTAS_ORDER, replace_all=True)

@@ -52,14 +52,13 @@ def write_partitioned(frame: DataFrame, path: str, stamp: str, order: tuple[str,
     """Write with a ``month`` partition taken from ``stamp``.
 
     ``overwrite`` replaces only the months that occur in ``frame`` unless
-    ``replace_all``.  Rows are spread by month and the leading order columns,
-    so that a month is not one task; rows without a stamp share one partition.
+    ``replace_all``.  Rows are gathered by month and the leading order columns, and
+    large groups are split by their size at run time; rows without a stamp share one partition.
     """
     rows = frame.withColumn("month", month_of(stamp))
     if order:
         spread = [name for name in order if name in ("config_name", "dimension_split_value", "forecast_method")]
-        fine = F.xxhash64(*[F.col(c) for c in frame.columns if c in ("key", "timestamp", "slack_ts")]) % 16
-        rows = rows.repartition("month", *spread, fine).sortWithinPartitions("month", *order)
+        rows = rows.hint("rebalance", *map(F.col, ["month", *spread])).sortWithinPartitions("month", *order)
     writer = rows.write.mode(mode).partitionBy("month")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "static" if replace_all else "dynamic")
