@@ -3,14 +3,16 @@
 import json
 from collections import defaultdict
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 
 from tidewatch.config import MetricConfig
 from tidewatch.operators.threads import route_channels, silenced_threads
-from tidewatch.plans.alerting import alert_run
+from tidewatch.plans.alerting import alert_run, alert_tables, write_run
 from tidewatch.schemas import CHANNELS, INCIDENTS, REPLAY_ROWS, REPLY_EVENTS
-from tidewatch.sources.tables import read_replay
+from tidewatch.session import scratch, stored
+from tidewatch.sources.tables import read_replay, write_partitioned
 
 NOW = datetime(2026, 4, 22, 12)
 TODAY, MIDNIGHT = NOW.date(), datetime(2026, 4, 22)
@@ -258,3 +260,46 @@ def test_replay_file(spark, tmp_path):
     assert sorted((r.kind, r.anomaly_date) for r in run.actions.collect()) == [
         ("fire", date(2026, 4, 17)), ("open_thread", date(2026, 4, 17))]
     assert [r.config_name for r in run.undated.collect()] == ["undated"]
+
+
+def test_written_runs(spark, tmp_path):
+    w, root = World(), str(tmp_path / "alerts")
+    for dim in ("d2", "d1", "d3"):
+        w.row("new", dim=dim)
+    w.row("over", kind=NORMAL), w.incident("over", opened=timedelta(days=40), stored=counts(critical_higher=1))
+    w.event("over"), w.incident("other", status="resolved", opened=timedelta(days=80), closed=timedelta(days=79))
+    write_partitioned(spark.createDataFrame(w.incidents, INCIDENTS), f"{root}/incidents", "opened_at")
+    write_partitioned(spark.createDataFrame(w.events, REPLY_EVENTS), f"{root}/events", "posted_at")
+    rows = spark.createDataFrame(w.rows, REPLAY_ROWS)
+    channels = spark.createDataFrame([(None, "dev", "C1", "one", None)], CHANNELS)
+
+    def content(name):
+        return sorted(map(str, spark.read.parquet(f"{root}/{name}").collect()))
+
+    def write(broken_off=False):
+        run = alert_run(rows, *alert_tables(spark, root), channels, [], NOW, "dev", "rep", "page", replay=True)
+        if broken_off:  # after outbox and events, before the incidents
+            run.before = run.before.filter("raise_error('stop') IS NOT NULL")
+            with pytest.raises(Exception, match="stop"):
+                write_run(run, root)
+        else:
+            write_run(run, root)
+
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "alerts/incidents/month=2026-02").iterdir()}
+    write(broken_off=True)
+    write()
+    assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "alerts/incidents/month=2026-02").iterdir()}
+    first = {name: content(name) for name in ("incidents", "events", "outbox")}
+    assert len(first["incidents"]) == 3
+    messages = spark.read.parquet(f"{root}/outbox").orderBy("action_seq").collect()
+    assert [r.action_seq for r in messages] == list(range(1, len(messages) + 1))
+    assert [r.kind for r in messages if r.config_name == "new"][0] == "open_thread"
+    assert [r.dimension_split_value for r in messages if r.kind == "fire"] == ["d1", "d2", "d3"]
+    write()
+    assert {name: content(name) for name in first} == first
+
+
+def test_scratch_folders_are_removed(spark):
+    with scratch(spark, "trial") as folder:
+        assert stored(spark.range(3), "kept").count() == 3 and Path(folder).exists()
+    assert not Path(folder).exists()

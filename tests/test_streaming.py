@@ -51,11 +51,11 @@ def test_announced_state_matches_batch(spark, tmp_path):
                ("b", "resolve", "normal", 4), (None, "fire", "warning_higher", 1), (None, "summary", None, 5),
                ("c", "fire", "warning_lower", 2), ("c", "severity_change", "critical_lower", 2)])]
     events = spark.createDataFrame(log, REPLY_EVENTS)
-    events.repartition(3).write.parquet(str(tmp_path / "log"))
-    stored = spark.read.schema(REPLY_EVENTS).parquet(str(tmp_path / "log"))
+    months = events.withColumn("month", F.when(F.col("client_msg_id") < "id4", "2024-01").otherwise("2024-02"))
+    months.repartition(3).write.partitionBy("month").parquet(str(tmp_path / "log"))
     batch = {tuple(r) for r in announced_states(events).select(
         "incident_slack_ts", "dimension_split_value", "forecast_method", "announced", "posted_at").collect()}
-    assert {tuple(r) for r in jobs.run_announced_state(spark, stored).collect()} == batch
+    assert {tuple(r) for r in jobs.run_announced_state(spark, str(tmp_path / "log")).collect()} == batch
 
 
 def test_repeated_hashes_are_dropped(spark, tmp_path):
@@ -71,3 +71,40 @@ def test_versions_follow_micro_batches(spark, tmp_path):
     current = {(r.timestamp, r.value) for r in table.filter("is_latest").collect()}
     assert current == {(day(1), 3.0), (day(2), 1.0)}
     assert table.filter("NOT is_latest").count() <= 1
+
+
+def add(spark, folder, *rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def test_a_garbage_stamp_does_not_silence_a_stream(spark, tmp_path):
+    for rows in ([(day(1), "a", 1.0)], [(datetime(2150, 1, 1), "a", 9.0)], [(day(2), "a", 5.0)]):
+        add(spark, tmp_path / "in", *rows)
+    table = jobs.run_versions(spark, str(tmp_path / "in"), "*.parquet", CFG, day(3), "1 day", files_per_batch=1)
+    assert {(r.timestamp, r.value) for r in table.collect()} == {(day(1), 1.0), (day(2), 5.0)}
+
+
+def test_streams_go_on_where_they_ended(spark, tmp_path):
+    source = str(tmp_path / "in")
+
+    def results():
+        points = jobs.run_metric_points(spark, source, "*.parquet", CFG, location=str(tmp_path / "points"))
+        final = jobs.run_final_points(spark, source, "*.parquet", CFG, "1 day", location=str(tmp_path / "final"))
+        versions = jobs.run_versions(spark, source, "*.parquet", CFG, lambda number: day(20, number),
+                                     location=str(tmp_path / "versions"))
+        return ({(r.timestamp, r.value) for r in points.collect()}, sorted((r.timestamp, r.value) for r in final.collect()),
+                {(r.timestamp, r.value, r.valid_from, r.is_latest) for r in versions.collect()})
+
+    add(spark, source, (day(1), "a", 1.0), (day(2), "a", 1.0))
+    first = results()
+    assert first[0] == {(day(1), 1.0), (day(2), 1.0)}
+    add(spark, source, (day(2, 5), "a", 2.0), (day(9), "a", 4.0))
+    points, final, versions = results()
+    assert points == {(day(1), 1.0), (day(2), 3.0), (day(9), 4.0)}
+    assert final == [(day(1), 1.0), (day(2), 3.0)]  # each once
+    kept, closed = (day(1), 1.0), [v for v in versions if not v[3]]
+    assert [v[:2] for v in closed] == [(day(2), 1.0)]
+    assert {v[:2] for v in versions if v[3]} == {kept, (day(2), 3.0), (day(9), 4.0)}
+    begun = next(v[2] for v in versions if v[:2] == kept)
+    assert next(v[2] for v in versions if v[:2] == (day(2), 3.0)) > begun  # each batch has its time
+    assert results() == (points, final, versions)  # nothing new arrived

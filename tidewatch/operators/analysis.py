@@ -10,6 +10,9 @@ from tidewatch.functions.periods import timestamp_literal
 from tidewatch.functions.text import instant_literal_text, quoted_text
 from tidewatch.operators.deltas import BUCKETS, NORMAL
 from tidewatch.operators.transitions import COUNTS, announced_states, firing
+from tidewatch.schemas import DEDUP_INDEX
+from tidewatch.session import scratch
+from tidewatch.sources.tables import append_new
 
 DELAY = "timestamp_delay_hour"
 
@@ -98,6 +101,12 @@ def new_event_hashes(deltas: DataFrame, index: DataFrame, as_of: datetime,
     return hashed.join(known, "event_hash", "left_anti")
 
 
+def append_hashes(hashes: DataFrame, path: str) -> None:
+    """Append rows of ``new_event_hashes`` to the stored index; what its month holds already is not added again."""
+    with scratch(hashes.sparkSession, "hashes"):
+        append_new(hashes, path, DEDUP_INDEX, "processed_at", ["event_hash"], ("event_hash",))
+
+
 def _severity() -> Column:
     return F.when(F.col("anomaly_type") == "critical", 2).when(F.col("anomaly_type") == "warning", 1).otherwise(0)
 

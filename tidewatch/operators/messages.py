@@ -127,9 +127,10 @@ def message_text(environment: str, report: str, page: str) -> Column:
 def outbox(actions: DataFrame, environment: str, report: str, page: str) -> DataFrame:
     """Messages to deliver, in the order phase, dimension, method within a thread.
 
-    Delivery is left to the consumer of this table.
+    Delivery is left to the consumer of this table.  ``action_seq`` is passed on where the actions have it.
     """
+    numbered = ["action_seq"] if "action_seq" in actions.columns else []
     return actions.select(
-        "config_name", "anomaly_date", "slack_channel_id", F.col("incident_slack_ts").alias("thread_id"),
+        *numbered, "config_name", "anomaly_date", "slack_channel_id", F.col("incident_slack_ts").alias("thread_id"),
         (F.col("kind") == OPEN).alias("is_parent"), "kind", "phase", "dimension_split_value", "forecast_method",
         message_text(environment, report, page).alias("text"))

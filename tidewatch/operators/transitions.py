@@ -15,6 +15,7 @@ from tidewatch.config import FLAT, FLAT_WITH_RESOLVE, THREAD as THREAD_MODE
 from tidewatch.functions.periods import timestamp_literal
 from tidewatch.operators.deltas import BUCKETS, NORMAL
 from tidewatch.operators.threads import HARD_CAP, KEY, THREAD, bucket_counts, find_incidents
+from tidewatch.session import stored
 
 OPEN, FIRE, CHANGE, RESOLVE, SUMMARY, CLOSE = (
     "open_thread", "fire", "severity_change", "resolve", "summary", "close_thread")
@@ -223,3 +224,19 @@ def is_visible() -> Column:
     for mode, kinds in VISIBLE.items():
         hidden = hidden | ((F.col("mode") == mode) & ~F.col("kind").isin(*kinds))
     return ~hidden
+
+
+def in_order(actions: DataFrame) -> DataFrame:
+    """Actions with ``action_seq``: from 1, by thread, then phase, then dimension and method.
+
+    The sort splits the actions into ranges; places within a range are counted where it is, and only the sizes of the ranges,
+    one row each, are brought together.  So a thread with very many keys is no single task's work.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = actions.orderBy(*THREAD, "phase", *KEY)
+    placed = stored(ordered.withColumns({"_range": F.spark_partition_id(), "_place": within}), "in-order")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_range").withColumn(
+        "action_seq", F.col("_start") + F.col("_place") + 1).drop("_range", "_place", "_start")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.config import THREAD as THREAD_MODE, MetricConfig
 from tidewatch.functions.periods import timestamp_literal
@@ -17,16 +17,17 @@ from tidewatch.operators.threads import (
     route_channels, rows_of_interest, threads_to_visit, without_suppressed,
 )
 from tidewatch.operators.transitions import (
-    CLOSE, OPEN, SUMMARY, TRANSITIONS, attach_incidents, is_visible, key_states, list_actions, message_identity,
+    CLOSE, OPEN, SUMMARY, TRANSITIONS, attach_incidents, in_order, is_visible, key_states, list_actions, message_identity,
     project_threads,
 )
-from tidewatch.schemas import INCIDENTS, REPLY_EVENTS
-from tidewatch.session import stored
+from tidewatch.schemas import INCIDENTS, OUTBOX, REPLY_EVENTS
+from tidewatch.session import scratch, stored
+from tidewatch.sources.tables import append_new, month_of, read_partitioned, write_partitioned
 
 
 @dataclass
 class AlertRun:
-    """Results of a run, each built when asked for; nothing is written until the caller does so."""
+    """Results of a run, each built when asked for; nothing is written until ``write_run`` or the caller does so."""
 
     actions: DataFrame  # everything the state machine decided; see ``visible``
     rejected: DataFrame  # threads without a channel
@@ -163,3 +164,34 @@ def alert_run(deltas: DataFrame, incidents: DataFrame, events: DataFrame, channe
     actions = list_actions(project_threads(state, keys), keys, as_of).withColumn("visible", is_visible())
     reopened = state.filter("reopened").select("incident_slack_ts")
     return AlertRun(actions, rejected, undated, incidents, reopened, markers, as_of, environment, report, page, parity)
+
+
+INCIDENTS_ORDER, EVENTS_ORDER = ("config_name", "anomaly_date"), ("incident_slack_ts", "dimension_split_value", "forecast_method")
+
+
+def alert_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Incidents and reply events as ``write_run`` leaves them; empty before the first run."""
+    return (read_partitioned(spark, f"{root}/incidents", INCIDENTS).select(*INCIDENTS.names),
+            read_partitioned(spark, f"{root}/events", REPLY_EVENTS).select(*REPLY_EVENTS.names))
+
+
+def write_run(run: AlertRun, root: str) -> None:
+    """Write a run that was decided on ``alert_tables`` of the same ``root``: outbox, events, incidents.
+
+    Messages and events have ids and are appended once; of the incidents only
+    the months with a change are replaced.  The incidents come last: a run that
+    breaks off is finished by deciding and writing it again with the same
+    ``as_of``.  One run at a time writes to a ``root``.
+    """
+    spark, now = run.actions.sparkSession, timestamp_literal(run.as_of)
+    with scratch(spark, "write-run"):
+        messages = outbox(in_order(run.shown), run.environment, run.report, run.page).withColumn("decided_at", now)
+        append_new(messages, f"{root}/outbox", OUTBOX, "decided_at",
+                   ["decided_at", "thread_id", "kind", "dimension_split_value", "forecast_method"])
+        append_new(run.events, f"{root}/events", REPLY_EVENTS, "posted_at", ["client_msg_id"], EVENTS_ORDER)
+        changed = run.shown.filter(F.col("kind").isin(OPEN, SUMMARY, CLOSE)).select("incident_slack_ts").unionByName(run.reopened)
+        older = run.before.join(changed, F.col("slack_ts") == F.col("incident_slack_ts"), "left_semi")
+        months = {row[0] for row in older.select(month_of("opened_at")).distinct().collect()}  # one row per month
+        months = sorted(month for month in months | {run.as_of.strftime("%Y-%m")} if month)
+        after = stored(run.incidents.filter(month_of("opened_at").isin(months)), "incidents")
+        write_partitioned(after, f"{root}/incidents", "opened_at", INCIDENTS_ORDER)

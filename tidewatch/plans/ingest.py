@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.config import MetricConfig
 from tidewatch.operators.actuals import build_points, current_values, describe_source
@@ -14,26 +14,14 @@ from tidewatch.operators.forecast import forecast
 from tidewatch.operators.grid import fetch_ranges, history_grid, missing_periods
 from tidewatch.operators.versions import merge_versions, new_versions
 from tidewatch.schemas import ACTUALS, FORECASTS
-from tidewatch.session import stored
+from tidewatch.session import scratch, stored
 from tidewatch.sources.tables import (
-    DELTAS_ORDER, VERSION_ORDER, month_of, read_partitioned, write_partitioned,
+    DELTAS_ORDER, merge_months, read_partitioned, write_partitioned,
 )
 
 
-def _merge_into(spark: SparkSession, path: str, incoming: DataFrame, schema, as_of: datetime) -> None:
-    """Merge into the months that ``incoming`` touches and replace only those.
-
-    The result is stored in the checkpoint folder before the months are
-    replaced, because a table cannot be overwritten while it is read.
-    """
-    # a row without a time belongs to no month, and would replace those of other runs
-    fresh = stored(incoming.filter(F.col("timestamp").isNotNull()).select(*schema.names, month_of("timestamp").alias("month")), "incoming")
-    touched = [row[0] for row in fresh.select("month").distinct().collect()]  # one row per month
-    if not touched:
-        return
-    table = read_partitioned(spark, path, schema).filter(F.col("month").isin(touched)).select(*schema.names)
-    merged = stored(merge_versions(table, fresh.select(*schema.names), as_of), "merged")
-    write_partitioned(merged, path, "timestamp", VERSION_ORDER)
+def _merge_into(path: str, incoming: DataFrame, schema, as_of: datetime) -> None:
+    merge_months(path, incoming, schema, lambda table, fresh: merge_versions(table, fresh, as_of))
 
 
 def fetch_actuals(spark: SparkSession, configs: Iterable[MetricConfig], read: Callable[[MetricConfig], DataFrame],
@@ -54,19 +42,21 @@ def ingest_run(spark: SparkSession, configs: Iterable[MetricConfig], read: Calla
     """Fetch, merge, forecast, merge, rebuild deltas; tables live under ``root``.
 
     All configs run together.  Running it again with the same ``as_of`` and
-    the same sources changes nothing.
+    the same sources changes nothing.  A merge replaces whole months, so runs on one
+    ``root`` follow each other; configs that should load at once go into one run.
     """
     configs = list(configs)
     actuals_path, forecasts_path, deltas_path = (f"{root}/{name}" for name in ("actuals", "forecasts", "deltas"))
-    held = read_partitioned(spark, actuals_path, ACTUALS)
-    points = fetch_actuals(spark, configs, read, held, as_of, delta_load, **options)
-    _merge_into(spark, actuals_path, new_versions(describe_source(points, configs), as_of), ACTUALS, as_of)
-
-    actuals = read_partitioned(spark, actuals_path, ACTUALS)
-    training = current_values(actuals, columns=("config_name", "dimension_split_value", "timestamp", "value"))
-    predicted = forecast(training, configs, as_of, forecast_from, forecast_to)
-    _merge_into(spark, forecasts_path, new_versions(describe_source(predicted, configs), as_of), FORECASTS, as_of)
-
-    deltas = build_deltas(actuals, read_partitioned(spark, forecasts_path, FORECASTS), thresholds, descriptions,
-                          as_of, True)  # stored series of other runs may be fine-grained
-    write_partitioned(deltas, deltas_path, "actual_timestamp", DELTAS_ORDER, replace_all=True)
+    with scratch(spark, "ingest"):
+        held = read_partitioned(spark, actuals_path, ACTUALS)
+        points = fetch_actuals(spark, configs, read, held, as_of, delta_load, **options)
+        _merge_into(actuals_path, new_versions(describe_source(points, configs), as_of), ACTUALS, as_of)
+
+        actuals = read_partitioned(spark, actuals_path, ACTUALS)
+        training = current_values(actuals, columns=("config_name", "dimension_split_value", "timestamp", "value"))
+        predicted = forecast(training, configs, as_of, forecast_from, forecast_to)
+        _merge_into(forecasts_path, new_versions(describe_source(predicted, configs), as_of), FORECASTS, as_of)
+
+        deltas = build_deltas(actuals, read_partitioned(spark, forecasts_path, FORECASTS), thresholds, descriptions,
+                              as_of, True)  # stored series of other runs may be fine-grained
+        write_partitioned(deltas, deltas_path, "actual_timestamp", DELTAS_ORDER, replace_all=True)

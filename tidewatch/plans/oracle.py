@@ -638,6 +638,25 @@ _add("events_after_run_parity", _with(*_DECIDED, final="""
 SELECT config_name, kind, count(*) AS events FROM shown
 WHERE visible AND kind IN ('fire', 'severity_change', 'resolve', 'summary') GROUP BY ALL"""))
 
+_add("incidents_stored", ORACLE["incidents_after_run"])
+_add("events_stored", _with(*_DECIDED, final=f"""
+SELECT incident_slack_ts, coalesce(dimension_split_value, '') AS dimension_split_value,
+       coalesce(forecast_method, '') AS forecast_method, kind, posted_at, client_msg_id FROM log_events
+UNION ALL
+SELECT slack_ts, '', '', 'summary', opened_at + INTERVAL 3 HOUR, md5('summary|' || slack_ts)
+FROM incidents WHERE slack_ts LIKE 'T-%'
+UNION ALL
+SELECT thread_id, dimension_split_value, forecast_method, kind, {NOW},
+       md5(thread_id || '|' || dimension_split_value || '|' || forecast_method || '|' || kind || '|2024-01-30T23:59:59')
+FROM shown WHERE kind IN ('fire', 'severity_change', 'resolve') OR (kind = 'summary' AND visible)"""))
+_add("outbox_stored", _with(*_DECIDED, final=f"""
+SELECT row_number() OVER (ORDER BY s.config_name, s.anomaly_date, s.phase, coalesce(o.first_dim, s.dimension_split_value),
+                          coalesce(o.first_method, s.forecast_method)) AS action_seq,
+       s.config_name, strftime(s.anomaly_date, '%Y-%m-%d') AS anomaly_date, s.kind, s.dimension_split_value,
+       s.forecast_method, s.slack_channel_id, s.thread_id, {NOW} AS decided_at
+FROM shown s LEFT JOIN openings o ON s.phase = 0 AND o.config_name = s.config_name AND o.anomaly_date = s.anomaly_date
+WHERE s.visible"""))
+
 _REPLAYED = """kept AS (
   SELECT *, day AS anomaly_date FROM d WHERE anomaly_type <> 'normal'
   QUALIFY row_number() OVER (PARTITION BY config_name, day, dimension_split_value, forecast_method
@@ -793,6 +812,7 @@ SELECT sha256('[''' || config_name || ''', ''' || dim || ''', ''' || method || '
        '[backfill] ' || config_name || ' / ' || dim || ' / ' || method || ' / ' || strftime(moment, '%Y-%m-%dT%H:%M:%S') ||
          '+00:00 / ' || kind AS rendered_message
 FROM found"""))
+_add("dedup_stored", ORACLE["dedup_new_hashes"].replace("anomaly_type = 'warning'", "anomaly_type <> 'normal'"))
 
 # --- status views ----------------------------------------------------------------
 
@@ -848,6 +868,13 @@ _add("stream_final_points", f"""
 SELECT {POINT}, round(value, 2) AS value FROM ({HOURLY})
 WHERE timestamp + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR""")
 _add("stream_versions", f"SELECT {POINT}, value, TRUE AS is_latest FROM ({TOTAL})")
+_add("stream_points_resumed", BY_TYPE)
+_add("stream_versions_resumed", f"""
+SELECT {POINT}, value, TRUE AS is_latest FROM ({TOTAL})
+UNION ALL
+SELECT '{w.TOTAL}', '', TIMESTAMP '2024-01-15', count(*)::DOUBLE, FALSE FROM events
+WHERE ts >= TIMESTAMP '2024-01-15' AND ts < TIMESTAMP '2024-01-15 12:00:00'
+HAVING count(*) > 0 AND count(*) < (SELECT count(*) FROM events WHERE date_trunc('day', ts) = TIMESTAMP '2024-01-15')""")
 _add("stream_distinct_hashes", """
 SELECT DISTINCT sha256(event_type || '|' || strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S')) AS event_hash
 FROM events""")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -17,15 +18,18 @@ from tidewatch.operators.grid import forecast_grid, history_grid, missing_period
 from tidewatch.operators.messages import dashboard_link
 from tidewatch.operators.versions import merge_versions, new_versions, tombstone
 from tidewatch.plans import workload as w
-from tidewatch.plans.alerting import alert_run, relevant_rows, thread_states
+from tidewatch.plans.alerting import alert_run, alert_tables, relevant_rows, thread_states, write_run
 from tidewatch.plans.ingest import fetch_actuals
-from tidewatch.session import ensure_utc, stored
+from tidewatch.schemas import DEDUP_INDEX
+from tidewatch.session import ensure_checkpoint_dir, ensure_utc, stored
+from tidewatch.sources.tables import read_partitioned, write_partitioned
 from tidewatch.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 POINT = ["config_name", "dimension_split_value", "timestamp"]
+STREAM_CUT = datetime(2024, 1, 15, 12)
 FIRST_LOAD, SECOND_LOAD = datetime(2024, 1, 20, 14), w.NOW
 
 
@@ -539,6 +543,45 @@ def events_after_run_parity(spark, folder):
         F.count(F.lit(1)).alias("events"))
 
 
+def _written_runs(spark, folder) -> str:
+    """Where the tables of a deployment are after a run was written, and the same run was decided and written again."""
+    m = w.Monitoring.of(spark, folder)
+    if m.alerting is None:
+        root = _new_folder(spark, "alerting")
+        write_partitioned(m.incidents(), f"{root}/incidents", "opened_at")
+        write_partitioned(m.events(), f"{root}/events", "posted_at")
+        for _ in range(2):
+            write_run(alert_run(m.deltas(), *alert_tables(spark, root), w.channels(spark), w.event_configs(), w.NOW,
+                                w.ENVIRONMENT, w.REPORT, w.PAGE), root)
+        m.alerting = root
+    return m.alerting
+
+
+def _new_folder(spark, label: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@query
+def incidents_stored(spark, folder):
+    """The incident table as two equal runs left it."""
+    return alert_tables(spark, _written_runs(spark, folder))[0].select(*INCIDENT)
+
+
+@query
+def events_stored(spark, folder):
+    """The event log as two equal runs left it: the history and, once, what the run adds."""
+    events = alert_tables(spark, _written_runs(spark, folder))[1]
+    return events.select("incident_slack_ts", *[F.coalesce(name, F.lit("")).alias(name) for name in th.KEY], "kind",
+                         "posted_at", "client_msg_id")
+
+
+@query
+def outbox_stored(spark, folder):
+    """Messages in the order of their delivery, each once."""
+    return spark.read.parquet(f"{_written_runs(spark, folder)}/outbox").select(
+        "action_seq", *th.THREAD, "kind", *th.KEY, "slack_channel_id", "thread_id", "decided_at")
+
+
 @query
 def replay_actions(spark, folder):
     """Deltas replayed from JSON: no suppression, no open threads, no history."""
@@ -620,6 +663,19 @@ def dedup_new_hashes(spark, folder):
     return analysis.new_event_hashes(m.deltas(), index, w.NOW, predicted)
 
 
+@query
+def dedup_stored(spark, folder):
+    """The index after the critical events, then all of them, twice, were appended."""
+    m = w.Monitoring.of(spark, folder)
+    path = _new_folder(spark, "dedup")
+    predicted = analysis.predicted_delay_anomalies(_publications(spark, folder), "publication_delays", "F")
+    for deltas, more in ((m.deltas().filter(F.col("anomaly_type") == "critical"), None), (m.deltas(), predicted),
+                         (m.deltas(), predicted)):
+        index = read_partitioned(spark, path, DEDUP_INDEX)
+        analysis.append_hashes(analysis.new_event_hashes(deltas, index, w.NOW, more), path)
+    return read_partitioned(spark, path, DEDUP_INDEX).select(*DEDUP_INDEX.names)
+
+
 # --- status views ----------------------------------------------------------------
 
 
@@ -681,8 +737,35 @@ def stream_versions(spark, folder):
 @query
 def stream_announced_state(spark, folder):
     """Last announced class per key from the event log."""
-    events = w.Monitoring.of(spark, folder).events()
-    return streams.run_announced_state(spark, stored(events, "event-log"))
+    path = _new_folder(spark, "event-log")
+    write_partitioned(w.Monitoring.of(spark, folder).events(), path, "posted_at")
+    return streams.run_announced_state(spark, path)
+
+
+@query
+def stream_points_resumed(spark, folder):
+    """Daily counts by type: a stream that ended and went on when more events had arrived."""
+    return _in_two_parts(spark, folder, "points", lambda path, location: streams.run_metric_points(
+        spark, path, "*.parquet", _named(w.BY_TYPE), location=location))
+
+
+@query
+def stream_versions_resumed(spark, folder):
+    """Versions of daily counts: the day that was cut by the end of the first part has two."""
+    start = w.NOW - timedelta(hours=1)
+    versions = _in_two_parts(spark, folder, "versions", lambda path, location: streams.run_versions(
+        spark, path, "*.parquet", _named(w.TOTAL), lambda number: start + timedelta(minutes=number), location=location))
+    return versions.select(*VERSION[:4], "is_latest")
+
+
+def _in_two_parts(spark, folder, label: str, run: Callable[[str, str], DataFrame]) -> DataFrame:
+    """Result of the second of two calls of ``run``; events from the cut on arrive between them."""
+    arrived, location = _new_folder(spark, f"arriving-{label}"), _new_folder(spark, f"resumed-{label}")
+    events, late = w.table(spark, folder, "events"), F.col("ts") >= F.lit(STREAM_CUT)
+    for part in (events.filter(~late), events.filter(late)):
+        part.write.mode("append").parquet(arrived)
+        result = run(arrived, location)
+    return result
 
 
 @query

@@ -130,6 +130,7 @@ class Monitoring:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
+        self.alerting: str | None = None  # where written alert runs are, once there are any
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Monitoring:

@@ -48,6 +48,12 @@ REPLY_EVENTS = _schema(
     client_msg_id=_STRING,
 )
 
+OUTBOX = _schema(
+    decided_at=_TIMESTAMP, action_seq=T.LongType(), config_name=_STRING, anomaly_date=T.DateType(),
+    slack_channel_id=_STRING, thread_id=_STRING, is_parent=T.BooleanType(), kind=_STRING, phase=T.IntegerType(),
+    dimension_split_value=_STRING, forecast_method=_STRING, text=_STRING,
+)
+
 DEDUP_INDEX = _schema(event_hash=_STRING, processed_at=_TIMESTAMP, rendered_message=_STRING)
 
 REPLAY_ROWS = _schema(

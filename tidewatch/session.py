@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,14 +88,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("tidewatch_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for what ``stored`` writes during one run, removed when the run ends or fails.
+
+    It is part of the shared checkpoint folder.  Frames made inside must not be used after the block.
+    """
+    path = f"{_SCRATCH.get() or ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    before = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` once to the shared checkpoint folder and read it back.
 
     For results that several branches use: the branches start from a columnar
     table with known size instead of repeating the scan of the sources, and a
-    lost executor costs nothing but its own tasks.
+    lost executor costs nothing but its own tasks.  Inside ``scratch`` it goes to the folder of that run.
     """
     spark = frame.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_SCRATCH.get() or ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

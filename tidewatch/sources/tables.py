@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.schemas import CHANNELS, DESCRIPTIONS, REPLAY_ROWS, THRESHOLDS
+from tidewatch.session import scratch, stored
 
 
 def read_source(spark: SparkSession, location: str) -> DataFrame:
@@ -74,3 +77,34 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> Da
         if "PATH_NOT_FOUND" in str(problem):
             return spark.createDataFrame([], full)
         raise
+
+
+def append_new(frame: DataFrame, path: str, schema: T.StructType, stamp: str, keys: list[str],
+               order: tuple[str, ...] = ()) -> None:
+    """Append the rows whose keys are not there yet, so that a repeated append adds nothing.
+
+    Only the months that the rows fall into are looked up.  Rows need a stamp and keys; of rows with equal keys one is kept.
+    """
+    fresh = stored(frame.select(*schema.names, month_of(stamp).alias("month")).dropDuplicates(keys), "append")
+    touched = [row[0] for row in fresh.select("month").distinct().collect()]  # one row per month
+    if not touched:
+        return
+    held = read_partitioned(frame.sparkSession, path, schema).filter(F.col("month").isin(touched)).select(*keys)
+    write_partitioned(fresh.join(held, keys, "left_anti").select(*schema.names), path, stamp, order, mode="append")
+
+
+def merge_months(path: str, incoming: DataFrame, schema: T.StructType, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Merge into the months that ``incoming`` touches and replace only those.
+
+    Rows without a timestamp belong to no month and are left out.  The result of
+    ``merge(table, incoming)`` is stored before the months are replaced, because a table cannot be overwritten while it is read.
+    """
+    spark = incoming.sparkSession
+    with scratch(spark, "merge"):
+        fresh = stored(incoming.filter(F.col("timestamp").isNotNull())
+                       .select(*schema.names, month_of("timestamp").alias("month")), "incoming")
+        touched = [row[0] for row in fresh.select("month").distinct().collect()]  # one row per month
+        if touched:
+            table = read_partitioned(spark, path, schema).filter(F.col("month").isin(touched)).select(*schema.names)
+            merged = stored(merge(table, fresh.select(*schema.names)), "merged")
+            write_partitioned(merged, path, "timestamp", VERSION_ORDER)

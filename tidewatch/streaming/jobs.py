@@ -2,12 +2,14 @@
 
 Each ``*_stream`` function builds the streaming DataFrame; each ``run_*``
 function processes what is there (``availableNow``) and returns the result.
+With a ``location`` the progress, state and table are kept below it, and the next
+call with it goes on where this one ended; without, a call starts anew.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
@@ -18,9 +20,9 @@ from tidewatch.config import MetricConfig
 from tidewatch.functions.periods import FIXED_SECONDS, timestamp_literal
 from tidewatch.operators.actuals import POINT_COLUMNS, SANE_FROM, SANE_TO, describe_source, dimension_column
 from tidewatch.operators.versions import merge_versions, new_versions
-from tidewatch.schemas import ACTUALS
+from tidewatch.schemas import ACTUALS, REPLY_EVENTS
 from tidewatch.session import ensure_checkpoint_dir
-from tidewatch.sources.tables import write_partitioned
+from tidewatch.sources.tables import merge_months, read_partitioned
 
 # Fixed value: how long a hash blocks its repeats.
 HASH_WINDOW = "60 days"
@@ -63,57 +65,67 @@ def metric_points_stream(source: DataFrame, cfg: MetricConfig, lateness: str) ->
                           "dimension_split_value", "value")
 
 
-def _finish(writer, spark: SparkSession, label: str) -> None:
-    writer.option("checkpointLocation", _folder(spark, f"{label}-progress")).trigger(
-        availableNow=True).start().awaitTermination()
+def _finish(writer, location: str) -> None:
+    writer.option("checkpointLocation", f"{location}/progress").trigger(availableNow=True).start().awaitTermination()
 
 
-def _to_parquet(stream: DataFrame, label: str) -> DataFrame:
-    """Append a stream to a table in the shared folder and read it back."""
-    spark, path = stream.sparkSession, _folder(stream.sparkSession, label)
-    _finish(stream.writeStream.outputMode("append").format("parquet").option("path", path), spark, label)
-    return spark.read.schema(stream.schema).parquet(path)
+def _to_parquet(stream: DataFrame, location: str) -> DataFrame:
+    """Append a stream to a table and read it back."""
+    table = f"{location}/table"
+    _finish(stream.writeStream.outputMode("append").format("parquet").option("path", table), location)
+    return stream.sparkSession.read.schema(stream.schema).parquet(table)
 
 
-def run_metric_points(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, lateness: str = "14 days") -> DataFrame:
-    """Points in update mode: each micro-batch replaces the points it changed."""
-    target = _folder(spark, "stream-points")
+def _newest(stream: DataFrame, location: str, keys: list[str], values: list[str]) -> DataFrame:
+    """Newest row per key of a stream in update mode.
+
+    Every micro-batch adds its changes under its own number; a repeated one replaces them.
+    """
+    table, spark = f"{location}/table", stream.sparkSession
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    _finish(stream.writeStream.outputMode("update").foreachBatch(keep), location)
+    changes = spark.read.schema(stream.schema.add("batch", "long")).parquet(table)
+    return changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v")).select(*keys, "_v.*")
 
-    def upsert(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(target)
 
+def run_metric_points(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, lateness: str = "14 days",
+                      location: str | None = None) -> DataFrame:
+    """Points in update mode: each micro-batch replaces the points it changed."""
     stream = metric_points_stream(source_stream(spark, folder, files), cfg, lateness)
-    _finish(stream.writeStream.outputMode("update").foreachBatch(upsert), spark, "stream-points")
     keys = ["config_name", "timestamp", "dimension_split_value"]
-    return spark.read.parquet(target).groupBy(*keys).agg(F.max_by("value", "_batch").alias("value")).select(
-        *POINT_COLUMNS)
+    return _newest(stream, location or _folder(spark, "stream-points"), keys, ["value"]).select(*POINT_COLUMNS)
 
 
-def run_final_points(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, lateness: str) -> DataFrame:
+def run_final_points(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, lateness: str,
+                     location: str | None = None) -> DataFrame:
     """Points in append mode: a period appears once, when the watermark has passed it."""
-    return _to_parquet(metric_points_stream(source_stream(spark, folder, files), cfg, lateness), "stream-final").select(
-        *POINT_COLUMNS)
+    stream = metric_points_stream(source_stream(spark, folder, files), cfg, lateness)
+    return _to_parquet(stream, location or _folder(spark, "stream-final")).select(*POINT_COLUMNS)
 
 
-def run_versions(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, as_of: datetime,
-                 lateness: str = "14 days", files_per_batch: int | None = None) -> DataFrame:
+def run_versions(spark: SparkSession, folder: str, files: str, cfg: MetricConfig,
+                 as_of: datetime | Callable[[int], datetime], lateness: str = "14 days",
+                 files_per_batch: int | None = None, location: str | None = None) -> DataFrame:
     """Merge every micro-batch of changed points into a versioned table.
 
-    A batch writes a new table and only then moves on, so a repeated batch
-    starts from the table it started from the first time.
+    ``as_of`` is the time of the merges, or gives it for the number of a batch.
+    A batch replaces only the months it touches.  A repeated batch finds its own
+    values there and changes nothing.
     """
-    root = _folder(spark, "stream-versions")
-    latest = {"table": spark.createDataFrame([], ACTUALS)}
+    location = location or _folder(spark, "stream-versions")
+    table = f"{location}/table"
 
     def merge(batch: DataFrame, number: int) -> None:
-        fresh = new_versions(describe_source(batch, [cfg]), as_of)
-        target = f"{root}/{number}"
-        write_partitioned(merge_versions(latest["table"], fresh, as_of), target, "timestamp", replace_all=True)
-        latest["table"] = spark.read.parquet(target).select(*ACTUALS.names)
+        now = as_of(number) if callable(as_of) else as_of
+        fresh = new_versions(describe_source(batch, [cfg]), now)
+        merge_months(table, fresh, ACTUALS, lambda held, rows: merge_versions(held, rows, now))
 
     stream = metric_points_stream(source_stream(spark, folder, files, files_per_batch), cfg, lateness)
-    _finish(stream.writeStream.outputMode("update").foreachBatch(merge), spark, "stream-versions")
-    return latest["table"]
+    _finish(stream.writeStream.outputMode("update").foreachBatch(merge), location)
+    return read_partitioned(spark, table, ACTUALS).select(*ACTUALS.names)
 
 
 STATE = "announced string, posted_at timestamp, client_msg_id string"
@@ -153,19 +165,10 @@ def announced_state_stream(events: DataFrame, lateness: str = "168 hours") -> Da
         _last_announcement, output, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-def run_announced_state(spark: SparkSession, log: DataFrame) -> DataFrame:
-    """State after the stored event log was streamed through."""
-    target = _folder(spark, "stream-announced")
-    path = log.inputFiles()[0].rsplit("/", 1)[0]
-    stream = announced_state_stream(spark.readStream.schema(log.schema).parquet(path))
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("append").parquet(target)
-
-    _finish(stream.writeStream.outputMode("update").foreachBatch(keep), spark, "stream-announced")
-    newest = F.max_by(F.struct("announced", "posted_at"), "_batch")
-    return spark.read.parquet(target).groupBy(*KEYS).agg(newest.alias("_s")).select(
-        *KEYS, "_s.announced", "_s.posted_at")
+def run_announced_state(spark: SparkSession, path: str, location: str | None = None) -> DataFrame:
+    """State after the whole stored event log, all its months, was streamed through."""
+    stream = announced_state_stream(spark.readStream.schema(REPLY_EVENTS).parquet(path))
+    return _newest(stream, location or _folder(spark, "stream-announced"), KEYS, ["announced", "posted_at"])
 
 
 def distinct_hashes_stream(source: DataFrame) -> DataFrame:
@@ -176,5 +179,6 @@ def distinct_hashes_stream(source: DataFrame) -> DataFrame:
     return hashed.withWatermark("processed_at", HASH_WINDOW).dropDuplicatesWithinWatermark(["event_hash"])
 
 
-def run_distinct_hashes(spark: SparkSession, folder: str, files: str) -> DataFrame:
-    return _to_parquet(distinct_hashes_stream(source_stream(spark, folder, files)), "stream-hashes").select("event_hash")
+def run_distinct_hashes(spark: SparkSession, folder: str, files: str, location: str | None = None) -> DataFrame:
+    stream = distinct_hashes_stream(source_stream(spark, folder, files))
+    return _to_parquet(stream, location or _folder(spark, "stream-hashes")).select("event_hash")
