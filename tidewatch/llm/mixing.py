@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewatch.llm.rows import numbered
 from tidewatch.session import stored
@@ -15,7 +15,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5  # of all words, what the mix takes
 LIMIT = 2.0  # copies of a document at most
 STEPS = 60
-LANES = 64  # a source is rounded in so many parts, each along its sizes
+LANES = 64  # the documents of a source with one size are met in so many parts
 WORD_BREAKS = r"[\x20\x09-\x0D]+"
 
 
@@ -25,6 +25,11 @@ def word_count(text: str = "text") -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, WORD_BREAKS, -1))).cast("long")
 
 
+def _key(source: str) -> Column:
+    """A source's name that is never null."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
                    limit: float = LIMIT) -> DataFrame:
     """``(source, source_size, target)``: ``share`` of all sizes by weight; what exceeds ``limit`` times a source is reshared.
@@ -93,20 +98,26 @@ def tilts(histogram: DataFrame, targets: DataFrame, limit: float = LIMIT) -> Dat
     return state.select("source", "scale", F.round("tilt", 9).alias("tilt"))
 
 
-def _round_lanes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Copies for rows that come lane by lane, large documents first: what a document is rounded by is carried to the next."""
-    lane, carried = None, 0.0
+def _round_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Copies of all ``n`` documents of a size, for sizes that come source by source, large ones first.
+
+    What a size is rounded by is carried to the next one of its source.  ``_least`` is what each document gets at least,
+    ``_more`` the number of documents that get one more.
+    """
+    source, carried = None, 0.0
     for batch in batches:
-        lanes, sizes, rates = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("_lane", "size", "_rate"))
-        copies = np.zeros(len(lanes), np.int64)
-        for i, (key, size, rate) in enumerate(zip(lanes.tolist(), sizes.tolist(), rates.tolist())):
-            if key != lane:
-                lane, carried = key, 0.0
+        sources, sizes, counts, rates = (batch.column(k).to_pylist() for k in ("_source", "size", "n", "_rate"))
+        least, more = [0] * len(sizes), [0] * len(sizes)
+        for i, (key, size, n, rate) in enumerate(zip(sources, sizes, counts, rates)):
+            if key != source:
+                source, carried = key, 0.0
             if size:
-                wanted = rate * size + carried
-                copies[i] = min(max(int(wanted / size + 0.5), int(rate)), -int(-rate // 1))
-                carried = wanted - copies[i] * size
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(copies)], [*batch.schema.names, "copies"])
+                least[i] = int(rate)
+                wanted = (rate - least[i]) * n * size + carried
+                more[i] = min(max(int(wanted / size + 0.5), 0), n if rate > least[i] else 0)
+                carried = wanted - more[i] * size
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64()), pa.array(more, pa.int64())],
+                                         [*batch.schema.names, "_least", "_more"])
 
 
 def mix_sources(documents: DataFrame, keep: list[str], narrow: bool = True, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
@@ -115,28 +126,36 @@ def mix_sources(documents: DataFrame, keep: list[str], narrow: bool = True, weig
 
     A document without words takes no part (no copies); a source without words has target 0.  A null source is a source
     of its own.  Repeated rows count each.  ``narrow`` columns are stored once with their sizes, others are read
-    twice.  Rows are rounded along (size, doc_id) within a lane, so reruns agree.
+    twice.  One remainder runs along the sizes of a source; among documents of one size the larger number of copies is
+    dealt evenly along (part, doc_id), so reruns agree.
     """
     rows = documents.select(*keep, word_count().alias("size"))
     if narrow:
         rows = stored(rows, "sizes")
-    histogram = stored(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
+    # a few sources can hold most rows: the documents of one size are counted and met in parts
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(LANES)).cast("int")
+    counted = stored(rows.groupBy("source", "size", part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")), "counted")
+    histogram = stored(counted.groupBy("source", "size").agg(F.sum("_n").alias("n")), "histogram")
     targets = stored(source_targets(histogram.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, limit), "targets")
     solved = tilts(histogram, targets, limit)
     plan = stored(targets.join(solved.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
-                  .select(F.col("source").alias("_s"), "source_size", "target", "scale", "tilt"), "plan")
-    # a few sources can hold most rows: each source is met in as many parts as it has lanes
-    parts = plan.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
-    salted = rows.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(LANES)).cast("int"))
+                  .select(_key("source").alias("_source"), "source_size", "target", "scale", "tilt"), "plan")
     rate = F.when(F.col("target") >= F.col("source_size") * limit, F.lit(limit)).otherwise(
-        F.exp(F.least(F.col("tilt") * F.col("size") / F.col("scale"), F.lit(float(np.log(limit))))))
-    rated = salted.join(parts, (salted["_part"] == parts["_part"]) & salted["source"].eqNullSafe(parts["_s"])).select(
-        *[c for c in rows.columns], "source_size", "target",
-        F.coalesce(F.when(F.col("size") > 0, rate), F.lit(0.0)).alias("_rate"),
-        F.concat_ws("|", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), salted["_part"].cast("string")).alias("_lane"))
-    lanes = rated.repartition("_lane").sortWithinPartitions("_lane", F.desc("size"), "doc_id")
-    schema = T.StructType([*lanes.schema.fields, T.StructField("copies", T.LongType(), False)])
-    return lanes.mapInArrow(_round_lanes, schema).drop("_rate", "_lane")
+        F.least(F.exp(F.least(F.col("tilt") * F.col("size") / F.col("scale"), F.lit(float(np.log(limit))))), F.lit(limit)))
+    rated = histogram.select(_key("source").alias("_source"), "size", "n").join(plan, "_source").select(
+        "_source", "size", "n", "source_size", "target", F.coalesce(F.when(F.col("size") > 0, rate), F.lit(0.0)).alias("_rate"))
+    along = rated.repartition("_source").sortWithinPartitions("_source", F.desc("size"))
+    schema = T.StructType([*along.schema.fields, T.StructField("_least", T.LongType()), T.StructField("_more", T.LongType())])
+    rounded = stored(along.mapInArrow(_round_sizes, schema), "rounded")
+    earlier = Window.partitionBy("source", "size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = counted.select(_key("source").alias("_source"), "size", "_part",
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
+    dealt = stored(parts.join(rounded, ["_source", "size"]).withColumnRenamed("size", "_size"), "dealt")
+    keys = ["_source", "_size", "_part"]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("doc_id")).cast("long")
+    placed = rows.withColumns({"_source": _key("source"), "_size": F.col("size"), "_part": part}).withColumn("_place", place)
+    copies = F.col("_least") + F.expr("(_first + _place) * _more div n - (_first + _place - 1) * _more div n")
+    return placed.join(dealt, keys).select(*rows.columns, "source_size", "target", copies.alias("copies"))
 
 
 def op6_entropy_mixing(documents: DataFrame) -> DataFrame:
