@@ -6,6 +6,7 @@ import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import public_tokenizers
@@ -25,11 +26,13 @@ _SEQUENCE_BITS = 40
 def _engine(path: str) -> tiktoken.Encoding:
     """The vocabulary of a byte-level BPE file in the form of ranks, whose merges run several times as fast.
 
-    The rank of an entry is its id, which grows with the order of merges.  Special tokens are left out, so their strings
-    are ordinary text.
+    The rank of an entry is its id, which grows with the order of merges.  Added tokens are found in the text first, as the
+    file says.
     """
     with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        content = json.load(file)
+    model = content["model"]
+    added = {token["content"]: token["id"] for token in content["added_tokens"]}
     # Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for 256 and up, in order.
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
@@ -37,7 +40,7 @@ def _engine(path: str) -> tiktoken.Encoding:
     merged = {a + b for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])}
     ranks = {bytes(code[c] for c in entry): number for entry, number in model["vocab"].items()
              if len(entry) == 1 or entry in merged}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 PIECES = T.StructType([T.StructField("row", T.LongType()), T.StructField("piece", T.IntegerType()),
@@ -47,7 +50,7 @@ PIECES = T.StructType([T.StructField("row", T.LongType()), T.StructField("piece"
 
 def _cut(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _engine(path).encode_ordinary
+        encode = partial(_engine(path).encode, allowed_special="all", disallowed_special=())
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             out = [[] for _ in PIECES]
