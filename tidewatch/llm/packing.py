@@ -1,4 +1,4 @@
-"""Packing token sequences: bounded-space online best fit."""
+"""Packing token sequences: best fit in streams, large pieces first, with a bound on open bins that lies above what a stream needs."""
 
 from __future__ import annotations
 
