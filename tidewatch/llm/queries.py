@@ -14,7 +14,10 @@ from tidewatch.llm.quality_classifier import op3_fm_quality
 from tidewatch.llm.quality_rules import op2_mcd_quality
 from tidewatch.llm.search import op10_exact_top_k
 from tidewatch.llm.sharding import op5_feistel_sharding
+from tidewatch.llm.spelling_variants import op11_spelling_variants
 from tidewatch.llm.suffix_dedup import op7_suffix_dedup
+from tidewatch.llm.tier_packing import op12_tier_packing
+from tidewatch.llm.token_alignment import op13_token_alignment
 from tidewatch.llm.toxicity import op9_string_kernel_toxicity
 from tidewatch.session import ensure_utc, ship_package
 
@@ -23,6 +26,7 @@ _OPERATORS: dict[Callable[..., DataFrame], tuple[str, ...]] = {
     op4_pii: ("documents",), op5_feistel_sharding: ("documents",), op6_entropy_mixing: ("documents",),
     op7_suffix_dedup: ("documents",), op8_best_fit_packing: ("documents",),
     op9_string_kernel_toxicity: ("documents", "labels"), op10_exact_top_k: ("embeddings",),
+    op11_spelling_variants: ("documents",), op12_tier_packing: ("documents",), op13_token_alignment: ("documents",),
 }
 
 
