@@ -14,8 +14,9 @@ from tidewatch.schemas import CHANNELS, INCIDENTS, REPLAY_ROWS, REPLY_EVENTS
 from tidewatch.session import scratch, stored
 from tidewatch.sources.tables import read_replay, write_partitioned
 
-NOW = datetime(2026, 4, 22, 12)
-TODAY, MIDNIGHT = NOW.date(), datetime(2026, 4, 22)
+NOW = datetime(2031, 9, 17, 18, 45)
+TODAY, MIDNIGHT = NOW.date(), datetime(2031, 9, 17)
+LONG_AGO = date(2031, 8, 20)
 HIGH, LOW, WARN, NORMAL = "critical_higher", "critical_lower", "warning_higher", "normal"
 
 
@@ -29,18 +30,18 @@ class World:
     def __init__(self):
         self.rows, self.incidents, self.events, self.modes = [], [], [], {}
 
-    def row(self, config, kind=HIGH, dim="d1", method="mstl", stamp=MIDNIGHT, forecast=1.0, actual=2.5, rel=1.5, day=None):
+    def row(self, config, kind=HIGH, dim="north", method="median", stamp=MIDNIGHT, forecast=40.0, actual=52.0, rel=0.3, day=None):
         self.rows.append((config, stamp, day, dim, method, kind, forecast, actual, rel, "about", None, None, ""))
 
     def incident(self, config, status="open", opened=timedelta(hours=1), closed=None, stored=None, day=TODAY, thread=None):
-        self.incidents.append((config, day, "C1", thread or f"t-{config}", NOW - opened,
+        self.incidents.append((config, day, "C-OPS", thread or f"t-{config}", NOW - opened,
                                NOW - closed if closed else None, status, "id", stored))
 
-    def event(self, config, state=HIGH, kind="fire", dim="d1", method="mstl", ago=30, log="x"):
-        self.events.append((f"t-{config}", config, dim, method, "ev", "C1", kind, state, None, None,
+    def event(self, config, state=HIGH, kind="fire", dim="north", method="median", ago=45, log="x"):
+        self.events.append((f"t-{config}", config, dim, method, "ev", "C-OPS", kind, state, None, None,
                             NOW - timedelta(minutes=ago), f"{log}{len(self.events):04d}"))
 
-    def run(self, spark, replay=True, channels=(("", "dev", "C1", "one", None),), **options):
+    def run(self, spark, replay=True, channels=(("", "dev", "C-OPS", "one", None),), **options):
         names = {r[0] for r in self.rows} | {i[0] for i in self.incidents}
         configs = [MetricConfig(name=n, source_sql="x", aggregation_mode=self.modes.get(n)) for n in names]
         rows = spark.createDataFrame(self.rows, REPLAY_ROWS)
@@ -69,26 +70,26 @@ def scenarios(spark):
     w.row("severity", kind=WARN), w.incident("severity", stored=counts(critical_higher=1)), w.event("severity")
     w.row("resolve", kind=NORMAL), w.incident("resolve", stored=counts(critical_higher=1)), w.event("resolve")
     w.row("quiet", kind=NORMAL), w.incident("quiet", stored=counts())
-    w.event("quiet", ago=60), w.event("quiet", kind="resolve", state=NORMAL, ago=30)
-    for dim in ("d1", "d2", "d3"):
+    w.event("quiet", ago=60), w.event("quiet", kind="resolve", state=NORMAL, ago=45)
+    for dim in ("north", "south", "west"):
         w.row("three dims", dim=dim)
     w.row("all normal", kind=NORMAL)
     w.row("hard cap"), w.incident("hard cap", opened=timedelta(days=8)), w.event("hard cap")
     w.row("value only", actual=99.0), w.incident("value only", stored=counts(critical_higher=1)), w.event("value only")
     w.row("latest wins", kind=HIGH, stamp=MIDNIGHT), w.row("latest wins", kind=NORMAL, stamp=MIDNIGHT + timedelta(hours=1))
-    w.row("second dim"), w.row("second dim", dim="d2", kind=WARN)
+    w.row("second dim"), w.row("second dim", dim="south", kind=WARN)
     w.incident("second dim", stored=counts(critical_higher=1)), w.event("second dim")
-    w.row("debounced", kind=HIGH, dim="d1"), w.row("debounced", kind=WARN, dim="d2")
+    w.row("debounced", kind=HIGH, dim="north"), w.row("debounced", kind=WARN, dim="south")
     w.incident("debounced", stored=counts(critical_higher=1, warning_higher=1))
-    w.event("debounced", state=WARN, dim="d1"), w.event("debounced", state=HIGH, dim="d2")
+    w.event("debounced", state=WARN, dim="north"), w.event("debounced", state=HIGH, dim="south")
     w.row("bad json"), w.incident("bad json", stored="{oops"), w.event("bad json", state=WARN)
-    w.row("vanished", dim="d2"), w.incident("vanished", stored=counts(critical_higher=1)), w.event("vanished", dim="d1")
+    w.row("vanished", dim="south"), w.incident("vanished", stored=counts(critical_higher=1)), w.event("vanished", dim="north")
     w.row("refires"), w.incident("refires", stored=counts())
-    w.event("refires", ago=60), w.event("refires", kind="resolve", state=NORMAL, ago=30)
+    w.event("refires", ago=60), w.event("refires", kind="resolve", state=NORMAL, ago=45)
     w.row("tie", kind=WARN), w.incident("tie", stored=counts(warning_higher=1))
-    w.event("tie", state=WARN, ago=30, log="a"), w.event("tie", state=HIGH, ago=30, log="b")
+    w.event("tie", state=WARN, ago=45, log="a"), w.event("tie", state=HIGH, ago=45, log="b")
     w.row("summary ignored"), w.incident("summary ignored", stored=counts(critical_higher=1))
-    w.event("summary ignored", ago=30), w.event("summary ignored", kind="summary", state=None, ago=1)
+    w.event("summary ignored", ago=45), w.event("summary ignored", kind="summary", state=None, ago=1)
     for mode, name in (("flat", "flat"), ("flat-with-resolve-replies", "hourly")):
         for label in ("open", "change", "over"):
             w.modes[f"{name} {label}"] = mode
@@ -128,7 +129,7 @@ def test_opener_carries_counts_or_first_row(scenarios):
     assert (opened["three dims"].critical_higher, opened["three dims"].has_counts) == (3, True)
     assert (opened["three dims"].severity, opened["three dims"].timestamp) == ("critical", None)
     flat = opened["flat open"]
-    assert (flat.has_fire_card, flat.severity, flat.forecast_method, flat.delta_rel) == (True, "warning", "mstl", 1.5)
+    assert (flat.has_fire_card, flat.severity, flat.forecast_method, flat.delta_rel) == (True, "warning", "median", 0.3)
 
 
 def test_summary_counts_are_projected(scenarios):
@@ -167,7 +168,7 @@ def test_second_run_is_silent(spark):
     """What a run stores makes an immediate rerun of it emit nothing."""
     w = World()
     w.modes["flat"] = "flat"
-    w.row("a"), w.row("a", dim="d2", kind=WARN), w.row("flat", dim="")
+    w.row("a"), w.row("a", dim="south", kind=WARN), w.row("flat", dim="")
     first = w.run(spark)
     w.incidents, w.events = [tuple(r) for r in first.incidents.collect()], [tuple(r) for r in first.events.collect()]
     again = w.run(spark)
@@ -186,9 +187,9 @@ def test_literal_mode_forgets_hidden_transitions(spark):
 def test_first_seen_configs_are_bootstrapped(spark):
     w = World()
     yesterday = MIDNIGHT - timedelta(days=1)
-    w.row("new", stamp=yesterday), w.row("new", stamp=yesterday, dim="d2", kind=LOW), w.row("new")
+    w.row("new", stamp=yesterday), w.row("new", stamp=yesterday, dim="south", kind=LOW), w.row("new")
     w.row("known", stamp=yesterday)
-    w.incident("known", status="resolved", opened=timedelta(days=20), closed=timedelta(days=19), day=date(2026, 4, 1))
+    w.incident("known", status="resolved", opened=timedelta(days=20), closed=timedelta(days=19), day=LONG_AGO)
     run = w.run(spark, replay=False)
     got = {(r.config_name, r.anomaly_date, r.kind) for r in run.actions.collect()}
     assert got == {("new", TODAY, "open_thread"), ("new", TODAY, "fire"),
@@ -222,7 +223,7 @@ def test_suppressed_and_open_threads(spark):
 
 def test_rows_without_method_or_recent_date_never_alert(spark):
     w = World()
-    w.incident("m", status="resolved", opened=timedelta(days=20), closed=timedelta(days=19), day=date(2026, 4, 1))
+    w.incident("m", status="resolved", opened=timedelta(days=20), closed=timedelta(days=19), day=LONG_AGO)
     w.row("m", method=None), w.row("m", stamp=MIDNIGHT - timedelta(days=31))
     assert w.run(spark, replay=False).actions.isEmpty()
 
@@ -230,7 +231,7 @@ def test_rows_without_method_or_recent_date_never_alert(spark):
 def test_unmapped_threads_are_skipped(spark):
     w = World()
     w.row("mapped"), w.row("unmapped")
-    run = w.run(spark, channels=[("mapped", "dev", "C9", "x", None), ("", "prod", "C1", "y", None)])
+    run = w.run(spark, channels=[("mapped", "dev", "C9", "x", None), ("", "prod", "C-OPS", "y", None)])
     assert {r.slack_channel_id for r in run.actions.collect()} == {"C9"}
     assert [r.config_name for r in run.rejected.collect()] == ["unmapped"]
 
@@ -248,9 +249,9 @@ def test_routing_prefers_the_exact_row(spark):
 
 
 def test_replay_file(spark, tmp_path):
-    rows = [{"config_name": "c", "timestamp": "2026-04-17T00:00:00Z", "dimension_split_value": None,
-             "forecast_method": "mstl", "anomaly_type_lower_higher": HIGH, "forecast_value": 1.0, "actual_value": 2.5,
-             "delta_rel": 1.5, "description": "test"}, {"config_name": "undated", "anomaly_type_lower_higher": HIGH}]
+    rows = [{"config_name": "c", "timestamp": "2031-09-11T00:00:00Z", "dimension_split_value": None,
+             "forecast_method": "median", "anomaly_type_lower_higher": HIGH, "forecast_value": 40.0, "actual_value": 52.0,
+             "delta_rel": 0.3, "description": "from a file"}, {"config_name": "undated", "anomaly_type_lower_higher": HIGH}]
     path = tmp_path / "rows.json"
     path.write_text(json.dumps(rows))
     frame = read_replay(spark, str(path))
@@ -258,20 +259,20 @@ def test_replay_file(spark, tmp_path):
     run = alert_run(frame, *empty, spark.createDataFrame([(None, "dev", "C", "n", None)], CHANNELS), [], NOW, "dev",
                     replay=True)
     assert sorted((r.kind, r.anomaly_date) for r in run.actions.collect()) == [
-        ("fire", date(2026, 4, 17)), ("open_thread", date(2026, 4, 17))]
+        ("fire", date(2031, 9, 11)), ("open_thread", date(2031, 9, 11))]
     assert [r.config_name for r in run.undated.collect()] == ["undated"]
 
 
 def test_written_runs(spark, tmp_path):
     w, root = World(), str(tmp_path / "alerts")
-    for dim in ("d2", "d1", "d3"):
+    for dim in ("south", "north", "west"):
         w.row("new", dim=dim)
     w.row("over", kind=NORMAL), w.incident("over", opened=timedelta(days=40), stored=counts(critical_higher=1))
     w.event("over"), w.incident("other", status="resolved", opened=timedelta(days=80), closed=timedelta(days=79))
     write_partitioned(spark.createDataFrame(w.incidents, INCIDENTS), f"{root}/incidents", "opened_at")
     write_partitioned(spark.createDataFrame(w.events, REPLY_EVENTS), f"{root}/events", "posted_at")
     rows = spark.createDataFrame(w.rows, REPLAY_ROWS)
-    channels = spark.createDataFrame([(None, "dev", "C1", "one", None)], CHANNELS)
+    channels = spark.createDataFrame([(None, "dev", "C-OPS", "one", None)], CHANNELS)
 
     def content(name):
         return sorted(map(str, spark.read.parquet(f"{root}/{name}").collect()))
@@ -285,16 +286,16 @@ def test_written_runs(spark, tmp_path):
         else:
             write_run(run, root)
 
-    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "alerts/incidents/month=2026-02").iterdir()}
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / f"alerts/incidents/month={NOW - timedelta(days=80):%Y-%m}").iterdir()}
     write(broken_off=True)
     write()
-    assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "alerts/incidents/month=2026-02").iterdir()}
+    assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / f"alerts/incidents/month={NOW - timedelta(days=80):%Y-%m}").iterdir()}
     first = {name: content(name) for name in ("incidents", "events", "outbox")}
     assert len(first["incidents"]) == 3
     messages = spark.read.parquet(f"{root}/outbox").orderBy("action_seq").collect()
     assert [r.action_seq for r in messages] == list(range(1, len(messages) + 1))
     assert [r.kind for r in messages if r.config_name == "new"][0] == "open_thread"
-    assert [r.dimension_split_value for r in messages if r.kind == "fire"] == ["d1", "d2", "d3"]
+    assert [r.dimension_split_value for r in messages if r.kind == "fire"] == ["north", "south", "west"]
     write()
     assert {name: content(name) for name in first} == first
 

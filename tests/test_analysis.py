@@ -84,3 +84,21 @@ def test_count_drift(spark):
     drift = a.count_drift(spark.createDataFrame(rows, INCIDENTS), spark.createDataFrame([event], REPLY_EVENTS)).collect()
     assert sorted((r.slack_ts, r.stored_critical_higher, r.logged_critical_higher) for r in drift) == [
         ("t2", 1, 0), ("t3", -1, 0)]
+
+
+def test_percentiles_by_counts_and_sketches(spark):
+    """Many equal delays, shares that fall between and on observations; sketches are off by a small part of the ranks."""
+    import math
+
+    delays = {"few": [float(v) for v in (5, 5, 7, 9)], "many": [float((k * 37) % 211) for k in range(2000)]}
+    rows = [(name, "prod", date(2024, 1, 2), None, "DAY", date(2024, 1, 1), v, None) for name, all_ in delays.items() for v in all_]
+    publications = spark.createDataFrame(rows, PUBLICATIONS)
+    plan = a.publication_lags(publications, datetime(2024, 2, 1), exact=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan.lower()
+    for exact in (True, False):
+        for r in a.publication_lags(publications, datetime(2024, 2, 1), exact).collect():
+            ordered = sorted(delays[r.dataset])
+            for name, share in (("p5_h", 0.05), ("p10_h", 0.1), ("p25_h", 0.25), ("median_h", 0.5)):
+                place = math.ceil(share * len(ordered)) - 1
+                slack = 0 if exact else 1 + len(ordered) // a.SKETCH
+                assert ordered[max(place - slack, 0)] <= r[name] <= ordered[min(place + slack, len(ordered) - 1)]

@@ -175,3 +175,38 @@ def test_fetch_ranges(spark):
     assert len(ranges) <= 64 and all(any(low <= at < high for low, high in ranges) for at in scattered)
     assert all(high <= scattered[-2] + timedelta(days=1) or low >= scattered[-1] for low, high in ranges)  # the wide gap is not read
     assert fetch_ranges(missing.filter("false"), [cfg]) == {"m": []}
+
+
+@pytest.mark.parametrize("name", ["mean", "median", "min", "max", "sum"])
+def test_statistics_of_prefixes_of_long_series(spark, name):
+    import statistics
+
+    from tidewatch.operators.rolling import prefix_statistics
+    first = datetime(2020, 1, 1)
+    values = [((k * 7919) % 1009) - 400.0 for k in range(1500)]
+    train = spark.createDataFrame([("m", dim, first + timedelta(hours=k), v) for dim in "ab" for k, v in enumerate(values) if dim == "a" or k % 3],
+                                  "config_name string, dimension_split_value string, timestamp timestamp, value double")
+    places = [0, 1, 2, 7, 8, 500, 1000, 1499, 1500, 2000]
+    asked = spark.createDataFrame([("m", "a", first + timedelta(hours=k)) for k in places] + [("m", "none", first)],
+                                  "config_name string, dimension_split_value string, timestamp timestamp")
+    plain = {"mean": statistics.fmean, "median": statistics.median, "min": min, "max": max, "sum": sum}[name]
+    got = {(r.dimension_split_value, r.timestamp): r.value for r in prefix_statistics(train, asked, name).collect()}
+    assert got == pytest.approx({("a", first + timedelta(hours=k)): plain(values[:k]) for k in places if k})
+
+
+def test_only_negative_periods_ask_for_a_replacement(spark, monkeypatch):
+    from tidewatch.operators import forecast as fc
+    points = spark.createDataFrame([("m", "a", datetime(2024, 1, d), float(v)) for d, v in enumerate([5, -9, 4, 3, 8, -20, 2], 1)],
+                                   "config_name string, dimension_split_value string, timestamp timestamp, value double")
+    cfg = MetricConfig(name="m", source_forecast_column_sql="x", history_start="2024-01-01", algorithms={
+        "min": {"parameters": {"sliding_window": 2, "replace_negative_forecasts_by": "median"}}})
+    seen = []
+
+    def watched(train, asked, name):
+        seen.extend(r.timestamp.day for r in asked.collect())
+        return fc_prefix(train, asked, name)
+    fc_prefix = fc.prefix_statistics
+    monkeypatch.setattr(fc, "prefix_statistics", watched)
+    got = {r.timestamp.day: r.value for r in fc.forecast(points, [cfg], datetime(2024, 1, 8), end=datetime(2024, 1, 8)).collect()}
+    assert sorted(seen) == [3, 4, 7, 8]
+    assert got == {3: -2.0, 4: 4.0, 5: 3.0, 6: 3.0, 7: 3.5, 8: 3.0}

@@ -29,9 +29,9 @@ ACTION = T.StructType([T.StructField(n, t) for n, t in [
     ("delta_rel", T.DoubleType()), ("source_sql", T.StringType()), ("has_counts", T.BooleanType()),
     ("has_fire_card", T.BooleanType()), ("description", T.StringType()), ("dq_dashboard_url", T.StringType()),
     ("text_inject", T.StringType()), ("reason", T.StringType()), *[(b, T.LongType()) for b in BUCKETS]]])
-BLANK = {"config_name": "c1", "anomaly_date": date(2026, 4, 22), "severity": "critical", "dimension_split_value": "d1",
-         "forecast_method": "mstl", "anomaly_type_lower_higher": "critical_higher", "timestamp": datetime(2026, 4, 22),
-         "forecast_value": 1.0, "actual_value": 2.5, "delta_rel": 1.5, "has_counts": False, "has_fire_card": False}
+BLANK = {"config_name": "freight_weight", "anomaly_date": date(2031, 9, 17), "severity": "critical", "dimension_split_value": "harbour",
+         "forecast_method": "median", "anomaly_type_lower_higher": "critical_higher", "timestamp": datetime(2031, 9, 17),
+         "forecast_value": 40.0, "actual_value": 52.0, "delta_rel": 0.3, "has_counts": False, "has_fire_card": False}
 
 
 @pytest.fixture(scope="module")
@@ -63,8 +63,8 @@ def test_opener_with_counts(render, spark):
                  dimension_split_value="", forecast_method="", description="about", text_inject=" <@me> ",
                  dq_dashboard_url=" https://dq.example/x ")
     assert got == (
-        ":red_circle: *Incident*: `c1`\n*Data date*: `2026-04-22`\n"
-        f"*Dashboard*: <{link(spark, 'c1', '', '')}|Anomaly Detection>\n*DQ dashboard*: <https://dq.example/x|open>\n"
+        ":red_circle: *Incident*: `freight_weight`\n*Data date*: `2031-09-17`\n"
+        f"*Dashboard*: <{link(spark, 'freight_weight', '', '')}|Anomaly Detection>\n*DQ dashboard*: <https://dq.example/x|open>\n"
         "*Environment*: dev\n_about_\n*State* (3 active):\n"
         "```\n          | higher | lower |\n critical |      2 |     0 |\n warning  |      1 |     0 |\n```\n\n<@me>")
 
@@ -78,21 +78,21 @@ def test_slim_opener(render):
 
 def test_opener_with_fire_card(render, spark):
     got = render(kind=OPEN, has_fire_card=True, source_sql=" x FROM t", text_inject="ping")
-    card = (f"*Dimension*: `d1`\n*Method*: mstl\n*Timestamp*: 2026-04-22 00:00:00+00:00\n*Forecast*: 1.0\n*Actual*: 2.5\n"
-            f"*Relative delta*: 1.5\n*Dashboard*: <{link(spark, 'c1', 'mstl', 'd1')}|drill in>\n"
+    card = (f"*Dimension*: `harbour`\n*Method*: median\n*Timestamp*: 2031-09-17 00:00:00+00:00\n*Forecast*: 40.0\n*Actual*: 52.0\n"
+            f"*Relative delta*: 0.3\n*Dashboard*: <{link(spark, 'freight_weight', 'median', 'harbour')}|drill in>\n"
             "*Query*:\n```\nSELECT x FROM t\n```")
     assert got.endswith(f"\n*Anomaly*: critical_higher\n{card}\n\nping")
 
 
 def test_replies(render, spark):
     assert render(kind=FIRE, dimension_split_value="", delta_rel=None).startswith(
-        ":red_circle: *New*: critical_higher\n*Method*: mstl\n")
+        ":red_circle: *New*: critical_higher\n*Method*: median\n")
     assert render(kind=CHANGE, previous_anomaly_type_lower_higher="warning_lower") == (
-        ":large_yellow_circle:→:red_circle: *Severity change* `d1`: warning_lower → *critical_higher*\n"
-        "*Timestamp*: 2026-04-22 00:00:00+00:00\n*Forecast*: 1.0, *Actual*: 2.5, *Relative delta*: 1.5\n"
-        f"*Dashboard*: <{link(spark, 'c1', 'mstl', 'd1')}|drill in>")
+        ":large_yellow_circle:→:red_circle: *Severity change* `harbour`: warning_lower → *critical_higher*\n"
+        "*Timestamp*: 2031-09-17 00:00:00+00:00\n*Forecast*: 40.0, *Actual*: 52.0, *Relative delta*: 0.3\n"
+        f"*Dashboard*: <{link(spark, 'freight_weight', 'median', 'harbour')}|drill in>")
     assert render(kind=RESOLVE, previous_anomaly_type_lower_higher="critical_higher") == (
-        ":large_green_circle: *Resolved* `d1` (was critical_higher)")
+        ":large_green_circle: *Resolved* `harbour` (was critical_higher)")
     assert render(kind=RESOLVE, dimension_split_value="", previous_anomaly_type_lower_higher="x") == (
         ":large_green_circle: *Resolved* (was x)")
     assert render(kind=CLOSE, reason="hard_cap") == ":white_check_mark: *Incident closed* (hard_cap)"

@@ -15,6 +15,8 @@ from tidewatch.session import scratch
 from tidewatch.sources.tables import append_new
 
 DELAY = "timestamp_delay_hour"
+SKETCH = 10_000  # a sketched percentile is off by one in so many of the ranks at most
+PARTS = 10_000  # shares are whole numbers of these
 
 
 def _observed(publications: DataFrame) -> DataFrame:
@@ -22,24 +24,37 @@ def _observed(publications: DataFrame) -> DataFrame:
                                & (F.col("date") >= F.col("first_valid_from_date")))
 
 
-def _percentiles(shares: list[float], exact: bool) -> Column:
-    """All wanted percentiles in one sketch; exact ones keep every distinct delay of a group."""
-    wanted = F.array(*[F.lit(share) for share in shares])
-    if exact:
-        ranked = [f"percentile_disc({share}) WITHIN GROUP (ORDER BY {DELAY})" for share in shares]
-        return F.expr(f"array({', '.join(ranked)})")
-    return F.percentile_approx(DELAY, wanted, F.lit(10000))
+def _lags(publications: DataFrame, keys: list[str], shares: dict[str, float], recent: Column, exact: bool) -> DataFrame:
+    """Per group: first day, observations, recent ones, smallest and largest delay, and the delays that reach the shares.
+
+    Exact ones come from counts: equal delays of a group are one row before anything is shuffled, and the rows of a group are
+    as many as it has different delays.  A share is reached by the first delay up to which so many observations lie.
+    Otherwise one sketch of a fixed size does for all shares.
+    """
+    rows = _observed(publications)
+    facts = [F.min("first_valid_from_date").alias("scraper_started"), F.count(F.lit(1)).alias("obs"),
+             F.count_if(recent).alias("obs_last_90d")]
+    if not exact:
+        wanted = F.percentile_approx(DELAY, F.array(*[F.lit(share) for share in shares.values()]), F.lit(SKETCH)).alias("_p")
+        sketched = rows.groupBy(*keys).agg(*facts, F.min(DELAY).alias("min_h"), F.max(DELAY).alias("max_h"), wanted)
+        return sketched.withColumns({name: F.get("_p", F.lit(k)) for k, name in enumerate(shares)}).drop("_p")
+    counted = rows.groupBy(*keys, DELAY).agg(*facts)
+    group = Window.partitionBy(*keys)
+    up_to = F.sum("obs").over(group.orderBy(DELAY).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumns({"_up_to": up_to, "_all": F.sum("obs").over(group)})
+    reached = {name: F.col("_up_to") * PARTS >= F.lit(round(share * PARTS)) * F.col("_all") for name, share in shares.items()}
+    return placed.groupBy(*keys).agg(
+        F.min("scraper_started").alias("scraper_started"), F.sum("obs").alias("obs"), F.sum("obs_last_90d").alias("obs_last_90d"),
+        F.min(DELAY).alias("min_h"), F.max(DELAY).alias("max_h"),
+        *[F.min(F.when(condition, F.col(DELAY))).alias(name) for name, condition in reached.items()])
 
 
 def publication_lags(publications: DataFrame, as_of: datetime, exact: bool = False) -> DataFrame:
     """Per dataset: how long publication takes, and whether that is usable as expectation."""
     recent = F.col("date") >= F.lit(as_of.date() - timedelta(days=90))
-    grouped = _observed(publications).groupBy("dataset").agg(
-        F.min("first_valid_from_date").alias("scraper_started"), F.count(F.lit(1)).alias("obs"),
-        F.count_if(recent).alias("obs_last_90d"), F.round(F.min(DELAY)).alias("min_h"),
-        _percentiles([0.05, 0.1, 0.25, 0.5], exact).alias("_p"), F.round(F.max(DELAY)).alias("max_h"))
-    hours = grouped.select("*", *[F.round(F.get("_p", F.lit(i))).alias(name)
-                                  for i, name in enumerate(("p5_h", "p10_h", "p25_h", "median_h"))])
+    shares = {"p5_h": 0.05, "p10_h": 0.1, "p25_h": 0.25, "median_h": 0.5}
+    lags = _lags(publications, ["dataset"], shares, recent, exact)
+    hours = lags.withColumns({name: F.round(name) for name in ("min_h", *shares, "max_h")})
     # Fewer than 30 observations, two weeks, one week.
     flag = (F.when(F.col("obs") < 30, "INSUFFICIENT_DATA").when(F.col("obs_last_90d") == 0, "NO_RECENT_DATA")
             .when(F.col("min_h") > 24 * 14, "LIKELY_OBSOLETE")
@@ -54,9 +69,8 @@ def publication_lags(publications: DataFrame, as_of: datetime, exact: bool = Fal
 def environment_comparison(publications: DataFrame, environments: tuple[str, str] = ("prod", "staging"),
                            exact: bool = False) -> DataFrame:
     """Per dataset: minimum and median delay of two environments side by side."""
-    by_environment = _observed(publications).groupBy("dataset", "environment").agg(
-        F.round(F.min(DELAY)).alias("min_h"), _percentiles([0.5], exact).alias("_p"))
-    rows = by_environment.withColumn("median_h", F.round(F.get("_p", F.lit(0))))
+    lags = _lags(publications, ["dataset", "environment"], {"median_h": 0.5}, F.lit(False), exact)
+    rows = lags.withColumns({name: F.round(name) for name in ("min_h", "median_h")})
     here = {name: F.col("environment") == name for name in environments}
     return rows.groupBy("dataset").agg(
         *[(F.count_if(cond) > 0).alias(f"in_{name}") for name, cond in here.items()],

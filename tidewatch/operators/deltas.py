@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -193,13 +194,19 @@ def _span() -> Column:
             .otherwise(F.lit(datetime(1970, 1, 1))))
 
 
-def previous_class(points: DataFrame, fine_grained: bool = True) -> DataFrame:
+def stretch_ends(points: DataFrame) -> DataFrame:
+    """The last class of each stretch of a series."""
+    return points.groupBy(*ORDERED_SERIES, "_span").agg(F.max_by("anomaly_type_lower_higher", "timestamp").alias("_end"))
+
+
+def previous_class(points: DataFrame, fine_grained: bool = True, before: DataFrame | None = None) -> DataFrame:
     """Add ``_previous``: the class of the point before in the same series and method.
 
     With periods of minutes or seconds a series is ordered in stretches, so
     that a very long one is not one task, and the last class of each stretch is
     handed to the next one that has points.  The ordered points are stored in
     between: the hand-over reads a few columns of them and is joined by its size.
+    ``before`` has the ends of stretches that are not among the points.
     """
     kind, names = F.col("anomaly_type_lower_higher"), points.columns
     keyed = points if "_method" in names else _keyed(points)
@@ -211,7 +218,9 @@ def previous_class(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     spanned = keyed if "_span" in names else keyed.withColumn("_span", _span())
     inside = stored(spanned.withColumns({"_inside": F.lag(kind).over(within),
                                          "_rank": F.row_number().over(within)}), "ordered")
-    ends = inside.groupBy(*stretch).agg(F.max_by(kind, "timestamp").alias("_end"))
+    ends = stretch_ends(inside)
+    if before is not None:
+        ends = ends.unionByName(before.select(*ends.columns))
     carried = ends.withColumn("_carried", F.lag("_end").over(
         Window.partitionBy(*ORDERED_SERIES).orderBy("_span"))).filter(F.col("_carried").isNotNull())
     joined = inside.join(stored(carried.drop("_end"), "carried"), stretch, "left")
@@ -219,12 +228,12 @@ def previous_class(points: DataFrame, fine_grained: bool = True) -> DataFrame:
     return joined.withColumn("_previous", previous).select(*names, "_previous")
 
 
-def mark_changes(points: DataFrame, fine_grained: bool = True) -> DataFrame:
+def mark_changes(points: DataFrame, fine_grained: bool = True, before: DataFrame | None = None) -> DataFrame:
     """Mark where an anomaly starts and ends."""
-    kind, before = F.col("anomaly_type_lower_higher"), F.col("_previous")
-    return previous_class(points, fine_grained).withColumns({
-        "anomaly_type_lower_higher_start": F.when((kind != NORMAL) & (before == NORMAL), kind),
-        "anomaly_type_lower_higher_end": F.when((kind == NORMAL) & (before != NORMAL), before),
+    kind, earlier = F.col("anomaly_type_lower_higher"), F.col("_previous")
+    return previous_class(points, fine_grained, before).withColumns({
+        "anomaly_type_lower_higher_start": F.when((kind != NORMAL) & (earlier == NORMAL), kind),
+        "anomaly_type_lower_higher_end": F.when((kind == NORMAL) & (earlier != NORMAL), earlier),
     }).drop("_previous")
 
 
@@ -239,19 +248,24 @@ def debounce(points: DataFrame) -> DataFrame:
 
 
 def build_deltas(actuals: DataFrame, forecasts: DataFrame, thresholds: DataFrame, descriptions: DataFrame,
-                 as_of: datetime, fine_grained: bool = True) -> DataFrame:
+                 as_of: datetime, fine_grained: bool = True,
+                 keep: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
     """The deltas table from the stored versions of actuals and forecasts.
 
-    The newest value per config and the definitions are stored first: as
+    The newest value per config and the definitions are stored first (``keep``): as
     tables of known size they are broadcast or not by that size, while as
     subqueries of unknown size they would make the big side be shuffled by config.
     """
     current, predicted = actuals.filter(F.col("is_latest")), current_forecasts(forecasts)
-    newest = stored(live_configs(newest_actuals(actuals), as_of), "newest")
-    known = stored(known_definitions(current, predicted), "definitions")
+    newest = keep(live_configs(newest_actuals(actuals), as_of), "newest")
+    known = keep(known_definitions(current, predicted), "definitions")
     live = current.join(newest.select("config_name"), "config_name", "left_semi")
     points = unique_points(match_points(live, due_forecasts(predicted, newest)), fine_grained)
     # Only what the ordering needs goes through it; the other columns follow from these afterwards.
-    marked = mark_changes(classify(add_thresholds(points, thresholds)), fine_grained)
+    return add_columns(mark_changes(classify(add_thresholds(points, thresholds)), fine_grained), descriptions, known)
+
+
+def add_columns(marked: DataFrame, descriptions: DataFrame, known: DataFrame) -> DataFrame:
+    """Everything that follows from a point, its class and its thresholds."""
     valued = debounce(add_anomaly_values(add_differences(add_bounds(marked.drop("_span", "_method", "_dimension")))))
     return add_definitions(add_descriptions(valued, descriptions), known)

@@ -15,7 +15,8 @@ from tidewatch.functions.decompose import next_value
 from tidewatch.functions.periods import add_periods
 from tidewatch.operators.actuals import NULL_DIMENSION
 from tidewatch.operators.grid import explode_periods, forecast_bounds, forecast_grid
-from tidewatch.operators.rolling import SERIES, STATISTICS, Statistic, rolling_statistics
+from tidewatch.operators.rolling import SERIES, STATISTICS, Statistic, prefix_statistics, rolling_statistics
+from tidewatch.session import stored
 
 FORECAST_COLUMNS = ["config_name", "dimension_split_value", "timestamp", "forecast_method", "value"]
 CONSTANT, DECOMPOSED = "constant_value", "mstl"
@@ -151,10 +152,9 @@ def _replacement(cfg: MetricConfig, method: str) -> str | None:
     return cfg.parameters(method).get("replace_negative_forecasts_by")
 
 
-def replace_negatives(forecasts: DataFrame, train: DataFrame, configs: list[MetricConfig], as_of: datetime,
-                      start: str | datetime | None = None, end: datetime | None = None) -> DataFrame:
+def replace_negatives(forecasts: DataFrame, train: DataFrame, configs: list[MetricConfig]) -> DataFrame:
     """Replace negative forecasts where a method asks for it: by zero, or by a
-    statistic of all values before the period."""
+    statistic of all values before the period, which is found for those periods only."""
     zero: Column = F.lit(False)
     by_statistic: dict[tuple[str, str], list[str]] = {}
     for cfg in configs:
@@ -166,18 +166,18 @@ def replace_negatives(forecasts: DataFrame, train: DataFrame, configs: list[Metr
                 by_statistic.setdefault((cfg.name, wanted), []).append(method)
     negative = F.col("value") < 0
     result = forecasts.withColumn("value", F.when(negative & zero, F.lit(0.0)).otherwise(F.col("value")))
-    by_name = {cfg.name: cfg for cfg in configs}
+    if not by_statistic:
+        return result
+    # Both the forecasts and the periods that ask for a replacement come from them: they are made once.
+    result = stored(result, "forecasts")
+    answers = []
     for (name, statistic), methods in by_statistic.items():
-        cfg = by_name[name]
-        first, total = forecast_bounds(cfg, as_of, start, end)
-        whole = rolling_statistics(_of(train, [name]), [Statistic("_all", statistic, None)], first, total,
-                                   cfg.period_length)
-        chosen = negative & (F.col("config_name") == name) & F.col("forecast_method").isin(*methods)
-        result = (result.join(whole, [*SERIES, "timestamp"], "left")
-                  .withColumn("value", F.when(chosen & F.col("_all").isNotNull(), F.col("_all"))
-                              .otherwise(F.col("value")))
-                  .drop("_all"))
-    return result
+        asked = result.filter(negative & (F.col("config_name") == name) & F.col("forecast_method").isin(*methods))
+        found = prefix_statistics(_of(train, [name]), asked.select(*SERIES, "timestamp").distinct(), statistic)
+        answers.append(found.select(*SERIES, "timestamp", F.explode(F.array(*map(F.lit, methods))).alias("forecast_method"),
+                                    F.col("value").alias("_instead")))
+    joined = result.join(reduce(DataFrame.unionByName, answers), [*SERIES, "timestamp", "forecast_method"], "left")
+    return joined.withColumn("value", F.when(negative & F.col("_instead").isNotNull(), F.col("_instead")).otherwise(F.col("value"))).drop("_instead")
 
 
 def forecast(points: DataFrame, configs: Iterable[MetricConfig], as_of: datetime,
@@ -199,4 +199,4 @@ def forecast(points: DataFrame, configs: Iterable[MetricConfig], as_of: datetime
         return train.filter(F.lit(False)).select(
             *SERIES, "timestamp", F.lit("").alias("forecast_method"), "value").select(*FORECAST_COLUMNS)
     combined = reduce(DataFrame.unionByName, [part.select(*FORECAST_COLUMNS) for part in parts])
-    return replace_negatives(combined, train, configs, as_of, start, end).select(*FORECAST_COLUMNS)
+    return replace_negatives(combined, train, configs).select(*FORECAST_COLUMNS)

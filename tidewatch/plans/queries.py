@@ -19,8 +19,8 @@ from tidewatch.operators.messages import dashboard_link
 from tidewatch.operators.versions import merge_versions, new_versions, tombstone
 from tidewatch.plans import workload as w
 from tidewatch.plans.alerting import alert_run, alert_tables, relevant_rows, thread_states, write_run
-from tidewatch.plans.ingest import fetch_actuals
-from tidewatch.schemas import DEDUP_INDEX
+from tidewatch.plans.ingest import fetch_actuals, ingest_run
+from tidewatch.schemas import ACTUALS, DEDUP_INDEX, FORECASTS
 from tidewatch.session import ensure_checkpoint_dir, ensure_utc, stored
 from tidewatch.sources.tables import read_partitioned, write_partitioned
 from tidewatch.streaming import jobs as streams
@@ -336,8 +336,46 @@ def deltas_classified(spark, folder):
     points = _points(spark, folder, cfg)
     actuals = new_versions(describe_source(points, [cfg]), w.NOW)
     predicted = new_versions(describe_source(forecast(points, [cfg], w.NOW), [cfg]), w.NOW)
-    return build_deltas(actuals, predicted, w.thresholds(spark), w.descriptions(spark), w.NOW,
-                        fine_grained=False).select(*DELTA)
+    return build_deltas(actuals, predicted, w.thresholds(spark), w.descriptions(spark), w.NOW, fine_grained=False,
+                        keep=lambda frame, label: frame).select(*DELTA)
+
+
+STORED = (w.BY_TYPE, w.TOTAL)
+FORECAST_AHEAD = datetime(2024, 1, 23)
+
+
+def _ingested(spark, folder) -> str:
+    """Where two ingest runs left their tables: one with a partial last day, then a delta load that refetches it."""
+    m = w.Monitoring.of(spark, folder)
+    if m.ingested is None:
+        root = _new_folder(spark, "ingest")
+        configs = [_named(name, refetch_recent_days=12) for name in STORED]
+        events = w.table(spark, folder, "events")
+        limits, texts = w.thresholds(spark), w.descriptions(spark)
+        for as_of, delta_load, ahead in ((FIRST_LOAD, False, FORECAST_AHEAD), (SECOND_LOAD, True, None)):
+            ingest_run(spark, configs, lambda _, at=as_of: events.filter(F.col("ts") < F.lit(at)), limits, texts, root, as_of,
+                       delta_load, forecast_to=ahead)
+        m.ingested = root
+    return m.ingested
+
+
+@query
+def actuals_stored(spark, folder):
+    """Versions of the actuals after a full load and a delta load."""
+    return _shown(read_partitioned(spark, f"{_ingested(spark, folder)}/actuals", ACTUALS), *VERSION)
+
+
+@query
+def forecasts_stored(spark, folder):
+    """Versions of the forecasts: those made ahead of a partial day are replaced."""
+    return _shown(read_partitioned(spark, f"{_ingested(spark, folder)}/forecasts", FORECASTS), "forecast_method", *VERSION)
+
+
+@query
+def deltas_stored(spark, folder):
+    """Stored deltas, brought up to date by the second run."""
+    return spark.read.parquet(f"{_ingested(spark, folder)}/deltas").select(
+        *DELTA, "anomaly_type_lower_higher_start", "anomaly_type_lower_higher_end")
 
 
 @query

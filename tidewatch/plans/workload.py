@@ -131,6 +131,7 @@ class Monitoring:
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
         self.alerting: str | None = None  # where written alert runs are, once there are any
+        self.ingested: str | None = None  # the same for ingest runs
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Monitoring:

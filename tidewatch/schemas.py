@@ -23,6 +23,11 @@ ACTUALS = _schema(
 
 FORECASTS = T.StructType([*ACTUALS.fields[:11], T.StructField("forecast_method", _STRING), *ACTUALS.fields[11:]])
 
+# Beside the stored deltas: last class of each series and month, what they were built with, months that wait.
+DELTAS_ENDS = _schema(config_name=_STRING, _method=_STRING, _dimension=_STRING, _span=_TIMESTAMP, _end=_STRING)
+DELTAS_STATE = _schema(config_name=_STRING, newest=_TIMESTAMP, settings=_STRING)
+DELTAS_PENDING = _schema(config_name=_STRING, waiting=_STRING)
+
 THRESHOLDS = _schema(
     config_name=_STRING, forecast_method=_STRING,
     critical_lower=_DOUBLE, critical_higher=_DOUBLE, warning_lower=_DOUBLE, warning_higher=_DOUBLE,

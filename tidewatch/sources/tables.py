@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -68,9 +70,9 @@ def write_partitioned(frame: DataFrame, path: str, stamp: str, order: tuple[str,
     writer.parquet(path)
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a table written above; an absent one is empty.  ``month`` stays available for pruning."""
-    full = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, parts: tuple[str, ...] = ("month",)) -> DataFrame:
+    """Read a table written above; an absent one is empty.  The partition columns stay available for pruning."""
+    full = T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in parts]])
     try:
         return spark.read.schema(full).parquet(path)
     except Exception as problem:  # noqa: BLE001 - only the missing path is expected
@@ -96,7 +98,7 @@ def append_new(frame: DataFrame, path: str, schema: T.StructType, stamp: str, ke
 def merge_months(path: str, incoming: DataFrame, schema: T.StructType, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     """Merge into the months that ``incoming`` touches and replace only those.
 
-    Rows without a timestamp belong to no month and are left out.  The result of
+    Rows without a timestamp belong to no month and are left out; the caller counts them.  The result of
     ``merge(table, incoming)`` is stored before the months are replaced, because a table cannot be overwritten while it is read.
     """
     spark = incoming.sparkSession
@@ -108,3 +110,55 @@ def merge_months(path: str, incoming: DataFrame, schema: T.StructType, merge: Ca
             table = read_partitioned(spark, path, schema).filter(F.col("month").isin(touched)).select(*schema.names)
             merged = stored(merge(table, fresh.select(*schema.names)), "merged")
             write_partitioned(merged, path, "timestamp", VERSION_ORDER)
+
+
+# Buckets of the key in the tables of versions.  Part of the stored layout: a table with another number has to be written anew.
+BUCKETS = 16
+Part = tuple[str, str]  # a config and a month
+
+
+def versions_table(spark: SparkSession, path: str, schema: T.StructType) -> str:
+    """Name of the table of versions under ``path``, which the session's catalog gets to know if need be.
+
+    It has a partition for each config and month, so runs of different configs replace nothing of each other, and buckets
+    of the key, so that a merge does not shuffle what is stored.
+    """
+    name = f"tidewatch_{hashlib.md5(path.encode()).hexdigest()}"
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, config STRING, month STRING) USING parquet "
+              f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (config, month) "
+              f"CLUSTERED BY (key) SORTED BY (key) INTO {BUCKETS} BUCKETS LOCATION '{place}'")
+    spark.catalog.refreshTable(name)  # other sessions write to it too
+    return name
+
+
+def in_parts(parts: Iterable[Part], config: str = "config", month: str = "month") -> Column:
+    """Rows of some configs and months, as a condition that prunes partitions."""
+    months: dict[str, list[str]] = {}
+    for name, at in sorted(set(parts)):
+        months.setdefault(name, []).append(at)
+    return reduce(Column.__or__, [(F.col(config) == name) & F.col(month).isin(some) for name, some in months.items()], F.lit(False))
+
+
+def parts_of(rows: DataFrame, stamp: str = "timestamp") -> list[Part]:
+    """The configs and months of some rows: one row for each reaches the driver."""
+    found = rows.filter(F.col(stamp).isNotNull()).select("config_name", month_of(stamp).alias("month")).distinct()
+    return [(row[0], row[1]) for row in found.collect()]
+
+
+def write_parts(frame: DataFrame, path: str, stamp: str, order: tuple[str, ...] = ()) -> None:
+    """Replace the partitions by config and month that occur in ``frame``."""
+    rows = frame.withColumns({"config": F.col("config_name"), "month": month_of(stamp)})
+    if order:
+        rows = rows.hint("rebalance", F.col("config"), F.col("month")).sortWithinPartitions("config", "month", *order)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("config", "month").parquet(path)
+
+
+def remove_parts(spark: SparkSession, path: str, parts: Iterable[tuple[str, ...]]) -> None:
+    """Remove partitions: of a config, or of a config and month."""
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for part in parts:
+        inner = "/".join(named(column, value) for column, value in zip(("config", "month"), part))
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{inner}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
