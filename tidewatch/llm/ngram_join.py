@@ -14,7 +14,7 @@ from tidewatch.llm.text import lowered, mix, ngram_sets, slices
 from tidewatch.session import stored
 
 GRAM, PERCENT = 4, 85
-BLOCK_GRAMS = 300_000  # n-grams in a block of documents, about
+BLOCK_GRAMS = 150_000  # n-grams in a block of documents, about
 DOCUMENT_GRAMS = 256  # what a document counts besides its n-grams, so that a block has a bounded number of rows
 LISTED = 24  # columns with more documents are multiplied as a dense strip
 STRIP = 2048
@@ -156,13 +156,13 @@ def overlaps(grams: np.ndarray, doc: np.ndarray, rows: int) -> np.ndarray:
     shared = length[column] > 1
     doc, column = doc[shared], column[shared]
     long_ = length[column] > LISTED
-    out = np.zeros(rows * rows, np.int64)
+    out = np.zeros(rows * rows, np.int32)
     d, c = doc[~long_], column[~long_]
     for step in range(1, LISTED):
         same = np.flatnonzero(c[step:] == c[:-step]) if len(c) > step else []
         if not len(same):
             break
-        out += np.bincount(d[same] * rows + d[same + step], minlength=rows * rows)
+        np.add.at(out, d[same] * rows + d[same + step], 1)
     out = out.reshape(rows, rows)
     out = out + out.T
     d, c = doc[long_], column[long_]
@@ -172,7 +172,7 @@ def overlaps(grams: np.ndarray, doc: np.ndarray, rows: int) -> np.ndarray:
             low, high = np.searchsorted(c, (first, first + STRIP))
             strip = np.zeros((rows, STRIP), np.float32)
             strip[d[low:high], c[low:high] - first] = 1
-            out += np.rint(strip @ strip.T).astype(np.int64)
+            out += np.rint(strip @ strip.T).astype(np.int32)
     return out
 
 
@@ -184,7 +184,11 @@ def _product(percent: int):
         rows = len(nodes)
         crossing = table.column("b1")[0].as_py() != table.column("b2")[0].as_py()
         shared = overlaps(grams, np.repeat(np.arange(rows), ns), rows)
-        link = 100 * shared >= percent * (ns[:, None] + ns[None, :] - shared)
+        # 100 * shared >= percent * (n + m - shared), row by row: whole matrices of wide numbers would take most of the memory
+        link = np.empty((rows, rows), bool)
+        for k in range(rows):
+            link[k] = (100 + percent) * shared[k].astype(np.int64) >= percent * (ns[k] + ns)
+        del shared
         np.fill_diagonal(link, False)
         if crossing:
             link &= side[:, None] != side[None, :]
