@@ -12,6 +12,8 @@ from tidewatch.llm import mixing, ngram_join, packing, pii, quality_classifier
 from tidewatch.llm.queries import prepared
 from tidewatch.session import stored
 
+BATCH_BYTES = 4 << 20  # of rows that are handed to a Python worker at once, about: executors keep what earlier stages took
+
 #: SQL for run()'s rows: the classifier and the tokenizer have none.
 ORACLE_SQL = None
 
@@ -61,7 +63,8 @@ def _named(docs: DataFrame) -> list:
 
 def _stage(function):
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return function(prepared(spark), docs, sf_dir)
+        prepared(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return function(spark, docs, sf_dir)
     run.__doc__ = function.__doc__
     return run
 
