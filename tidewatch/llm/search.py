@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from tidewatch.llm.chunks import rows_of
 from tidewatch.session import stored
 
 SCALE = 64
@@ -15,11 +14,13 @@ TOP = 20
 CANDIDATES, QUERIES = 4096, 512  # vectors in a block, about
 STRIP = 32  # queries whose candidates are compacted together
 DIMENSIONS = 16  # columns between two checks of the bounds
-LANE_BLOCKS = 64  # blocks of candidates that one task goes through for a block of queries, at most
+LANE_BLOCKS, LEAST_LANES = 32, 8  # blocks of candidates in one task, at most, and how many such lanes there are at least
+PART_BLOCKS = 128  # blocks of queries in one task, at most
 EXACT = float(2 ** 53)
 
 _BLOCK = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.BinaryType()),
-                       T.StructField("dims", T.IntegerType()), T.StructField("columns", T.BinaryType())])
+                       T.StructField("dims", T.IntegerType()), T.StructField("short", T.BooleanType()),
+                       T.StructField("columns", T.BinaryType())])
 
 
 def _columnar(table: pa.Table) -> pa.Table:
@@ -32,8 +33,14 @@ def _columnar(table: pa.Table) -> pa.Table:
     matrix = np.zeros((len(ids), dims))
     matrix[np.arange(dims) < lengths[:, None]] = np.floor(SCALE * vectors.flatten().to_numpy(zero_copy_only=False))
     columns = np.ascontiguousarray(matrix[order].T)
-    return pa.table({"block": table.column("block").slice(0, 1), "ids": [ids[order].tobytes()],
-                     "dims": pa.array([dims], pa.int32()), "columns": [columns.tobytes()]})
+    short = bool(np.abs(columns).max(initial=0) < 2 ** 15)
+    return pa.table({"block": table.column("block").slice(0, 1), "ids": [ids[order].tobytes()], "dims": pa.array([dims], pa.int32()),
+                     "short": [short], "columns": [columns.astype(np.int16 if short else float).tobytes()]})
+
+
+def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(row["ids"], np.int64)
+    return ids, np.frombuffer(row["columns"], np.int16 if row["short"] else float).reshape(row["dims"], len(ids)).astype(float)
 
 
 def _blocks(vectors: DataFrame, per_block: int, label: str) -> tuple[DataFrame, int]:
@@ -94,8 +101,9 @@ def bound_and_branch(best: Best, queries: np.ndarray, ids: np.ndarray, candidate
                     alive, score = alive[some], score[:, some]
         for q in range(score.shape[0]):
             hit = np.flatnonzero(score[q] >= least[q])
+            hit = hit[ids[alive[hit]] != best.ids[first + q]]  # before the cut: many rows may have the query's id
             if len(hit) > 4 * best.top:
-                cut = np.partition(score[q, hit], -best.top - 1)[-best.top - 1]
+                cut = np.partition(score[q, hit], -best.top)[-best.top]
                 hit = hit[score[q, hit] >= cut]
             if len(hit):
                 best.add(first + q, score[q, hit], ids[alive[hit]])
@@ -116,31 +124,23 @@ def _in_whole_numbers(best: Best, queries: np.ndarray, ids: np.ndarray, candidat
             best.least[q] = float(best.scores[q][-1])
 
 
+_FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
+
+
 def _search(top: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, queries, held = None, None, None
-
-        def result() -> pa.RecordBatch:
-            counts = [len(s) for s in best.scores]
-            scores = [int(s) for part in best.scores for s in part]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(best.ids, counts), pa.int64()),
-                 pa.array(np.concatenate([*best.found, np.zeros(0, np.int64)]), pa.int64()), pa.array(scores, pa.int64())],
-                ["query_id", "vec_id", "score"])
-
-        for batch in batches:
-            for row in batch.to_pylist():
-                if (row["_q"], row["_lane"]) != held:
-                    if best:
-                        yield result()
-                    held = row["_q"], row["_lane"]
-                    ids = np.frombuffer(row["q_ids"], np.int64)
-                    best = Best(ids, top)
-                    queries = np.frombuffer(row["q_columns"]).reshape(row["q_dims"], len(ids))
-                ids = np.frombuffer(row["ids"], np.int64)
-                bound_and_branch(best, queries, ids, np.frombuffer(row["columns"]).reshape(row["dims"], len(ids)))
-        if best:
-            yield result()
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        query_ids, ids, scores = [], [], []
+        for query_row in rows_of(asked.to_batches()):
+            own, queries = _unpacked(query_row)
+            best = Best(own, top)
+            for row in rows_of(held.to_batches()):
+                bound_and_branch(best, queries, *_unpacked(row))
+            query_ids.append(np.repeat(own, [len(part) for part in best.scores]))
+            ids.extend(best.found)
+            scores.extend(int(score) for part in best.scores for score in part)
+        nothing = np.zeros(0, np.int64)
+        return pa.table([pa.array(np.concatenate([*query_ids, nothing])), pa.array(np.concatenate([*ids, nothing])),
+                         pa.array(scores, pa.int64())], names=_FOUND.names)
     return run
 
 
@@ -159,23 +159,27 @@ def whole_vectors(embeddings: DataFrame) -> DataFrame:
 def top_k(vectors: DataFrame, queries: DataFrame, top: int = TOP) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``top`` largest inner products of each query with all other ids.
 
-    Queries and candidates are cut into blocks of bounded size; a task takes one block of queries through a lane of blocks
-    of candidates and carries its best, which bound the next block.  Vectors of unlike lengths meet as if ended by zeros.
-    Rows with a query's id count as the query's own; a repeated query is answered once.
+    Queries and candidates are cut into blocks of bounded size.  Candidates are dealt into lanes and queries into parts; a
+    task takes the queries of a part, block by block, through the blocks of a lane and carries their best, which bound the
+    next block.  So candidates are shuffled once for each part and queries once for each lane, and both are few.  Vectors of
+    unlike lengths meet as if ended by zeros.  Rows with a query's id count as the query's own, other repeated rows count
+    each, and a repeated query is answered once.  Other columns are not read, and an empty table gives an empty table.
     """
     blocks, number = _blocks(vectors, CANDIDATES, "candidates")
-    asked, _ = _blocks(queries.dropDuplicates(["id"]), QUERIES, "queries")
-    lanes = min(number, max(8, -(-number // LANE_BLOCKS)))
-    pairs = asked.select(F.col("block").alias("_q"), F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"),
-                         F.col("columns").alias("q_columns"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long"))).alias("block"))
-    met = pairs.join(blocks, "block").withColumn("_lane", F.col("block") % lanes)
-    dealt = met.repartition("_q", "_lane").sortWithinPartitions("_q", "_lane", "block")
-    found = dealt.mapInArrow(_search(top), "query_id long, vec_id long, score long")
+    asked, query_blocks = _blocks(queries.dropDuplicates(["id"]), QUERIES, "queries")
+    lanes, parts = max(LEAST_LANES, -(-number // LANE_BLOCKS)), -(-query_blocks // PART_BLOCKS)
+
+    def each(count: int, name: str):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
+    left = asked.select("*", F.pmod("block", F.lit(parts)).cast("int").alias("_part"), each(lanes, "_lane"))
+    right = blocks.select("*", F.pmod("block", F.lit(lanes)).cast("int").alias("_lane"), each(parts, "_part"))
+    found = left.groupBy("_lane", "_part").cogroup(right.groupBy("_lane", "_part")).applyInArrow(_search(top), _FOUND)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= top).select(
         "query_id", "rank", "vec_id", "score")
 
 
 def op10_exact_top_k(embeddings: DataFrame) -> DataFrame:
+    """The 20 best of all other rows for each row whose id 20 divides; see ``whole_vectors`` and ``top_k`` for odd rows."""
     vectors = stored(whole_vectors(embeddings), "vectors")
     return top_k(vectors, vectors.filter(F.col("id") % 20 == 0))
