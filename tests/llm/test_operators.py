@@ -131,12 +131,12 @@ def test_classifiers_on_held_out_rows(prepared):
 def test_gapped_insults_score_high():
     clean = ["the river runs past an old mill and a quiet field", "people walked along the shore in the evening light"] * 60
     toxic = [t.replace("old", "idiot").replace("shore", "moron") for t in clean]
-    weight, constant, (a, b) = toxicity.fit(clean + toxic, np.array([0.0] * len(clean) + [1.0] * len(toxic)))
+    weight, constant, curve = toxicity.fit(clean + toxic, np.array([0.0] * len(clean) + [1.0] * len(toxic)))
 
     def score(text):
         data = np.frombuffer(text.encode(), np.uint8)
-        words, row, _ = toxicity.units(data, np.array([0, len(data)]))
-        return a * float((toxicity.word_scores(words, weight)[row] + constant).max()) + b
+        words, row, bounds = toxicity.units(data, np.array([0, len(data)]))
+        return float(toxicity._curve(toxicity.worst_words(toxicity.word_scores(words, weight) + constant, row, bounds), curve)[0])
     plain = score("the river runs past a quiet field")
     for text in ("the river i.d-i_o.t field", "the river i d i o t field", "the river id1ot field", "the river mxoron field"):
         assert score(text) > plain, text

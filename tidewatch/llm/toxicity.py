@@ -1,4 +1,8 @@
-"""Toxicity: a support vector machine over a gappy subsequence kernel, with Nystroem landmarks."""
+"""Toxicity: a support vector machine over a gappy subsequence kernel, with Nystroem landmarks.
+
+The kernel compares words with their borders; a document is judged by its worst words together.  Labels are those of whole
+documents, so the words that they stand for are found along the way.
+"""
 
 from __future__ import annotations
 
@@ -15,8 +19,13 @@ PER_CLASS = 3_000  # labelled documents of each class that the model is fitted o
 LANDMARKS = 128
 DECAY = 0.6  # weight of a subsequence for each character it leaves out
 ROUNDS = 4
-NEGATIVES = 60_000  # words of clean documents in a fit, at most
+COMMON, DRAWN = 20_000, 40_000  # words of clean documents in a fit besides their worst ones: the commonest, and drawn ones, at most
+WORST = 3  # worst words that a document is judged by
+CHECKED = 4  # one labelled document in so many is kept out of a fit; rounds and scores are set by those
+SEEN, SHARE = 5, 0.8  # toxic documents with a word, and their share of all with it, to start from it
+SURE = 0.98  # share of clean documents whose worst word lies below what counts as found in a toxic one
 THRESHOLD = 0.5
+FLOOR = -3.0  # in place of the score of a word that a document does not have
 PIECE, STRIDE = 24, 12  # longer words are looked at in overlapping pieces
 
 # Characters that stand in for letters.
@@ -26,7 +35,8 @@ for _c in range(26):
     _CODE[65 + _c] = _CODE[97 + _c] = _c + 1
 for _sign, _letter in _STANDS.items():
     _CODE[ord(_sign)] = ord(_letter) - 96
-_CODE[128:] = 27 + np.arange(128) % 5
+_CODE[128:] = 27 + np.arange(128) % 4
+_BORDER = 31
 _SPACE = 1 << 15
 # Subsequences of three characters with up to two left out between them.
 _GAPS = [(1, 1), (1, 2), (2, 1), (2, 2), (1, 3), (3, 1)]
@@ -35,8 +45,8 @@ _GAPS = [(1, 1), (1, 2), (2, 1), (2, 2), (1, 3), (3, 1)]
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Letters of the distinct words of a slice, as rows padded with zeros; each word's row; the bounds of the documents.
 
-    A word is lower-cased and freed of what is no letter, so inserted marks vanish; words of one letter in a row, as in
-    spaced-out writing, count as one word.  A long word gives several rows.
+    A word is lower-cased and freed of what is no letter, so inserted marks vanish, and has a sign for its border at both
+    ends; words of one letter in a row, as in spaced-out writing, count as one word.  A long word gives several rows.
     """
     starts, ends, firsts = word_spans(data, offsets)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(firsts))
@@ -52,13 +62,18 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts, ends = solid[starts], solid[ends]
     real = ends - starts >= 3
     starts, ends, doc = starts[real], ends[real], doc[real]
-    pieces = np.maximum(1, -(-(ends - starts - PIECE) // STRIDE) + 1)
-    first = np.repeat(np.cumsum(pieces) - pieces, pieces)
-    starts = np.repeat(starts, pieces) + (np.arange(len(first)) - first) * STRIDE
-    ends, doc = np.minimum(np.repeat(ends, pieces), starts + PIECE), np.repeat(doc, pieces)
-    _, which, row = np.unique(range_hashes(kept, starts, ends), return_index=True, return_inverse=True)
-    at = starts[which][:, None] + np.arange(PIECE)
-    shown = np.where(at < ends[which][:, None], kept[np.minimum(at, max(len(kept) - 1, 0))] if len(kept) else 0, 0)
+    pieces = np.maximum(1, -(-(ends - starts + 2 - PIECE) // STRIDE) + 1)
+    word = np.repeat(np.arange(len(starts)), pieces)
+    place = (np.arange(len(word)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * STRIDE  # of a piece in its bordered word
+    starts, length, doc = starts[word], (ends - starts)[word], doc[word]
+    low, high = np.maximum(place - 1, 0), np.minimum(place + PIECE - 1, length)
+    marks = (place == 0).astype(np.uint64) + 2 * (place + PIECE > length + 1).astype(np.uint64)
+    hashes = mix(range_hashes(kept, starts + low, starts + high) + marks)
+    _, which, row = np.unique(hashes, return_index=True, return_inverse=True)
+    at = place[which][:, None] + np.arange(PIECE)
+    last = length[which][:, None] + 1
+    letter = kept[np.clip(starts[which][:, None] + at - 1, 0, max(len(kept) - 1, 0))] if len(kept) else at
+    shown = np.where((at == 0) | (at == last), _BORDER, np.where(at < last, letter, 0))
     return shown.astype(np.uint8), row, np.searchsorted(doc, np.arange(len(offsets)))
 
 
@@ -107,25 +122,50 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3
     return w
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    a, b = 1.0, 0.0
-    share = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+def worst_words(score: np.ndarray, row: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """What a document is judged by: scores of its ``WORST`` worst distinct words (``FLOOR`` where it has fewer), and the
+    logarithms of its numbers of bad words and of distinct words, as among more words some look worse by chance."""
+    count = len(bounds) - 1
+    doc = np.repeat(np.arange(count), np.diff(bounds))
+    pairs = np.unique(doc * max(len(score), 1) + row)
+    doc, each = pairs // max(len(score), 1), score[pairs % max(len(score), 1)] if len(score) else np.zeros(0)
+    order = np.lexsort((-each, doc))
+    rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    out = np.full((count, WORST + 2), FLOOR)
+    top = rank < WORST
+    out[doc[top], rank[top]] = each[order][top]
+    out[:, WORST] = np.log1p(np.bincount(doc, each > 0, count))
+    out[:, WORST + 1] = np.log1p(np.bincount(doc, minlength=count))
+    return out
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w = np.zeros(x.shape[1])
+    ridge = 1e-2 * np.eye(len(w))
+    ridge[-1, -1] = 1e-6
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g, h = share * (p - y), share * p * (1 - p) + 1e-6
-        m = np.array([[np.sum(h * x * x) + 1e-2, np.sum(h * x)], [np.sum(h * x), np.sum(h) + 1e-6]])
-        da, db = np.linalg.solve(m, [np.sum(g * x) + 1e-2 * a, np.sum(g)])
-        a, b = a - da, b - db
-    return float(a), float(b)
+        p = _curve(x, w)
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + ridge, x.T @ (p - y) + ridge @ w)
+        w = w - step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
 
 
-def fit(texts: list[str], labels: np.ndarray) -> tuple:
-    """Weight of each subsequence, and the curve from a document's worst word to its score.
+def _curve(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x @ w[:x.shape[1]] + (w[-1] if len(w) > x.shape[1] else 0), -30, 30)))
+
 
-    Labels are those of whole documents, so the machine finds the word that a toxic document is labelled for: it starts
-    from words which only toxic documents have, and then takes each one's worst word by the machine of the round before.
-    Landmarks are half such words and half common words of clean documents; words enter as their kernels with them,
-    whitened.  The weights of the landmarks fold into one weight for each subsequence.
+def fit(texts: list[str], labels: np.ndarray) -> tuple:
+    """Weight of each subsequence, the constant, and the curve from a document's worst words to its score.
+
+    The machine has to find the words that toxic documents are labelled for.  It starts from words that are far commoner in
+    toxic documents (``SEEN``, ``SHARE``); after a round it adds the worst words of toxic documents that lie above nearly all clean
+    documents' worst ones (``SURE``), and the worst words of clean documents are its hard negatives.  One labelled document in ``CHECKED``
+    takes no part in that: the round is kept that tells those documents apart best, and the curve is fitted on them.
+    Landmarks are half found words and half words of clean documents; words enter as their kernels with them, whitened.
+    The weights of the landmarks fold into one weight for each subsequence.
     """
     words, row, bounds = [], [], [0]
     for _, data, offsets in slices(pa.array(texts, pa.string())):
@@ -137,40 +177,62 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple:
     words, again = np.unique(words, axis=0, return_inverse=True)
     row = again.ravel()[row]
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    pairs = np.unique(doc.astype(np.int64) * len(words) + row)
-    doc, row = pairs // len(words), pairs % len(words)
-    toxic = labels[doc] > 0
-    in_toxic, in_clean = (np.bincount(row[m], minlength=len(words)) for m in (toxic, ~toxic))
+    pairs = np.unique(doc.astype(np.int64) * max(len(words), 1) + row)
+    doc, row = pairs // max(len(words), 1), pairs % max(len(words), 1)
     bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
+    draw = np.random.default_rng(5)
+    checked = np.zeros(len(texts), bool)
+    for value in (0, 1):
+        own = draw.permutation(np.flatnonzero(labels == value))
+        checked[own[:len(own) // CHECKED]] = True
+    if not (checked & (labels > 0)).any():
+        checked[:] = True
+    used = ~checked if (~checked & (labels > 0)).any() and (~checked & (labels == 0)).any() else np.ones(len(texts), bool)
+    in_toxic, in_clean = (np.bincount(row[used[doc] & (labels[doc] == v)], minlength=len(words)) for v in (1, 0))
 
     def worst(score: np.ndarray, docs: np.ndarray) -> np.ndarray:
         return np.array([row[bounds[d]:bounds[d + 1]][np.argmax(score[row[bounds[d]:bounds[d + 1]]])]
                          for d in docs if bounds[d] < bounds[d + 1]], np.int64)
 
-    odds = np.log((in_toxic + 0.1) / (in_clean + 0.5))
-    bad = np.flatnonzero(labels > 0)
-    found = worst(odds, bad)
-    draw = np.random.default_rng(5)
+    bad, good = np.flatnonzero(used & (labels > 0)), np.flatnonzero(used & (labels == 0))
+    in_bad = np.isin(doc, bad)
+    ratio = (in_toxic / max(len(bad), 1)) / ((in_clean + 0.5) / max(len(good), 1))
+    telling = (in_toxic >= SEEN) & (in_toxic >= SHARE * (in_toxic + in_clean))
+    start = row[in_bad & telling[row]] if telling.any() else worst(ratio, bad)
+    found = start
     clean = np.flatnonzero(in_clean > 0)
     clean = clean[np.argsort(-in_clean[clean], kind="stable")]
-    clean = np.concatenate([clean[:NEGATIVES // 3], draw.permutation(clean[NEGATIVES // 3:])[:NEGATIVES * 2 // 3]])
-    for _ in range(ROUNDS):
+    clean = np.concatenate([clean[:COMMON], draw.permutation(clean[COMMON:])[:DRAWN]])
+    hard, best = np.zeros(0, np.int64), None
+    for _ in range(ROUNDS if len(found) and len(clean) else 0):
         marks, times = np.unique(found, return_counts=True)
         marks = marks[np.argsort(-times, kind="stable")][:LANDMARKS // 2]
-        marks = np.concatenate([marks, clean[:LANDMARKS - len(marks)]])
+        marks = np.concatenate([marks, np.unique(hard)[:LANDMARKS // 4], clean[:LANDMARKS // 2]])[:LANDMARKS]
         basis = _dense(words[marks])
         size, axes = np.linalg.eigh((basis @ basis.T).astype(float))
         whiten = axes[:, size > 1e-4] / np.sqrt(size[size > 1e-4])
         table = np.ascontiguousarray((basis.T @ whiten).astype(np.float32))
-        x = np.concatenate([_against(words[found], table), _against(words[clean], table)])
-        y = np.concatenate([np.ones(len(found)), -np.ones(len(clean))])
-        w = _svm(x, y, np.where(y > 0, 1 / len(found), 1 / len(clean)) * len(y) / 2 / 100)
-        weight = (table @ w[:-1]).astype(np.float32)
-        score = word_scores(words, weight)
-        found = worst(score, bad)
-    best = np.full(len(texts), -3.0)
-    np.maximum.at(best, doc, score[row] + w[-1])
-    return weight, float(w[-1]), _logistic(best, labels)
+        sides = (found, clean, hard)
+        x = np.concatenate([_against(words[part], table) for part in sides])
+        y = np.repeat([1.0, -1.0, -1.0], [len(part) for part in sides])
+        weight = np.repeat([1 / len(found), 0.5 / len(clean), 0.5 / max(len(hard), 1)], [len(part) for part in sides])
+        w = _svm(x, y, weight * len(y) / 200)
+        each = (table @ w[:-1]).astype(np.float32)
+        score = word_scores(words, each) + w[-1]
+        judged = worst_words(score, row, bounds)
+        curve = _logistic(judged[checked], labels[checked])
+        p = np.clip(_curve(judged[checked], curve), 1e-9, 1 - 1e-9)
+        loss = -np.mean(np.where(labels[checked] > 0, np.log(p), np.log(1 - p)))
+        if best is None or loss < best[0]:
+            best = loss, each, float(w[-1]), curve
+        hard = worst(score, good)
+        limit = np.quantile(score[hard], SURE) if len(hard) else -np.inf
+        more = worst(score, bad)
+        found = np.concatenate([start, more[(score[more] > limit) & ~np.isin(more, start)]])
+    if best is None:  # no words at all
+        share = float(np.clip(labels.mean(), 1e-6, 1 - 1e-6))
+        return np.zeros(_SPACE, np.float32), 0.0, np.append(np.zeros(WORST + 2), np.log(share / (1 - share)))
+    return best[1:]
 
 
 def word_scores(words: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -193,30 +255,30 @@ def _scorer(model, position: int):
         for batch in batches:
             scores = [np.zeros(0)]
             for _, data, offsets in slices(batch.column(position)):
-                worst = np.full(len(offsets) - 1, -3.0)
                 if model.value:
-                    weight, constant, (a, b) = model.value
+                    weight, constant, curve = model.value
                     words, row, bounds = units(data, offsets)
-                    each = word_scores(words, weight)[row] + constant
-                    some = np.flatnonzero(np.diff(bounds))
-                    if len(some):
-                        worst[some] = np.maximum.reduceat(each, bounds[some])
-                    scores.append(1 / (1 + np.exp(-np.clip(a * worst + b, -30, 30))))
+                    scores.append(_curve(worst_words(word_scores(words, weight) + constant, row, bounds), curve))
                 else:
-                    scores.append(np.zeros(len(worst)))
+                    scores.append(np.zeros(len(offsets) - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores), pa.float64())],
                                              [*batch.schema.names, "_tw_score"])
     return run
 
 
 def scored(documents: DataFrame, model: tuple | None) -> DataFrame:
-    """``documents`` with ``_tw_score``: that of the worst word of the whole text.  Without words, or a model, it is near 0."""
+    """``documents`` with ``_tw_score``, by the worst words of the whole text.
+
+    A null or empty text counts as one without words; without a model (a class has no labels) scores are 0.  Repeated rows get
+    the same score each, other columns pass through, and an empty table gives an empty table.
+    """
     held = documents.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*documents.schema.fields, T.StructField("_tw_score", T.DoubleType())])
     return documents.mapInArrow(_scorer(held, documents.columns.index("text")), schema)
 
 
 def op9_string_kernel_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Toxicity of ``documents`` as ``labels.toxic`` marks it; see ``scored`` for odd rows.  A null id counts as held out."""
     rows = scored(documents.select("doc_id", "text"), train(documents, labels))
     return rows.select("doc_id", (fold() == 0).alias("held_out"), F.col("_tw_score").alias("score"),
                        F.when(F.col("_tw_score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
