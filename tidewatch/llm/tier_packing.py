@@ -25,10 +25,11 @@ TIERS = (256, 512, 1024, 2048)
 STEP_TOKENS = 65_536  # tokens of a step group: so many windows of one tier
 STEP_GROUPS = 8  # step groups of a tier that are balanced against each other
 WAITING_TOKENS = 1 << 20  # tokens that wait for a window in a task before it packs, about
-CACHED_WORDS, CACHED_LENGTH = 200_000, 64
+CACHED_WORDS, CACHED_LENGTH = 400_000, 64
 BLOCK = 1 << 20  # characters of a text that are split into words at a time, about
 
 _LATIN = re.compile("[!-~\u00C0-\u024F]*").fullmatch
+_LETTERS = re.compile("[a-z]+").fullmatch
 _WORD_END = b"\xff"  # stands for the mark of a word's end; no UTF-8 has this byte
 
 
@@ -61,12 +62,14 @@ class WordIds(dict):
         self.merge = tiktoken.Encoding("word_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
     def __missing__(self, word: str) -> bytes:
-        if _LATIN(word) and "<|" not in word:
+        if _LETTERS(word):
+            ids = array("I", self.merge(word.encode() + _WORD_END)).tobytes()
+        elif _LATIN(word) and "<|" not in word:
             lower = word.lower() if word.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-            found = [i for part in self.parts(lower) for i in self.merge(part.encode() + _WORD_END)]
+            ids = b"".join(self[part] if part != word else array("I", self.merge(part.encode() + _WORD_END)).tobytes()
+                           for part in self.parts(lower))
         else:
-            found = self.encode(word, add_special_tokens=False).ids
-        ids = array("I", found).tobytes()
+            ids = np.array(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.clear()
