@@ -76,13 +76,21 @@ def test_odd_texts(prepared):
     assert [r[1:] for r in got if r[0] == "1"] == [(0, 0, 0, 0, 0, 0, "")]
 
 
-def test_long_texts_are_cut_where_no_piece_crosses(monkeypatch):
-    tokenizers = ta.Tokenizers(A, B)
-    text = "some  words\nin a   long text, é  " * 50
-    whole = tokenizers.b.encode(text)
-    monkeypatch.setattr(ta, "SEGMENT", 9)
-    parts = tokenizers.segments(text)
-    assert len(parts) > 50 and [k for part in tokenizers.b.encode(parts) for k in part] == whole
+def test_words_give_the_pieces_of_the_text(monkeypatch):
+    pieces, whole = ta.WordPieces(B), sentencepiece.SentencePieceProcessor(model_file=B)
+    assert pieces.cuts
+    texts = ["some  words\nin a   long text, é  " * 50, " x", "  x ", " ", "x", "x ", "    ", "a b", "\n \n", "word" * 40 + " z"]
+    expected = [whole.encode(text) for text in texts]
+
+    def found():
+        return [np.frombuffer(ids, np.int32).tolist() for ids in pieces.of(texts)]
+    assert found() == expected and found() == expected
+    monkeypatch.setattr(ta, "CACHED_WORDS", 2)
+    monkeypatch.setattr(ta, "CACHED_LENGTH", 3)
+    assert found() == expected and max(map(len, pieces)) <= 3
+    pieces.cuts = False
+    assert found() == expected
+    assert pieces.of(["", "a▁b"]) == [None, None]
 
 
 def test_several_chunks_share_counts(prepared, documents, monkeypatch):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -19,25 +21,68 @@ from tidewatch.llm.packing import _engine
 from tidewatch.llm.text import slices
 from tidewatch.session import stored
 
-SEGMENT = 1 << 16  # characters that the piece tokenizer gets at once, about; longer texts are cut where no piece can cross
+CACHED_WORDS, CACHED_LENGTH = 300_000, 64
+_between_words = re.compile("(?<! ) ").split
+
+
+class WordPieces(dict):
+    """Ids of B for a blank and the word after it, as bytes, found once each; None where their bytes are not those of the word.
+
+    Texts are cut at blanks that follow another character, which no piece may hold within (``cuts``); further blanks stay with
+    the word after them.  Without that property a text is one word.
+    """
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [self.model.id_to_piece(k) for k in range(self.model.get_piece_size())]
+        self.cuts = all("▁" not in piece.lstrip("▁") for piece in pieces)
+        self.bytes = [bytes([int(piece[3:5], 16)]) if self.model.is_byte(k) else piece.replace("▁", " ").encode()
+                      for k, piece in enumerate(pieces)]
+        self.blank = self.model.piece_to_id("▁")
+
+    def _split(self, text: str) -> list[str]:
+        if not self.cuts:
+            return [text]
+        return text.split(" ") if text[0] != " " and "  " not in text else _between_words(" " + text)[1:]
+
+    def of(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of each text that is not empty; None where their bytes are not a blank and the text.
+
+        The words that are not known yet are encoded together.
+        """
+        split = [self._split(text) if text else [] for text in texts]
+        words = set().union(*split)
+        new = list(words.difference(self))
+        if len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = list(words)
+        for word, found in zip(new, self.model.encode(new, num_threads=1)):
+            found = found or [self.blank]
+            spelt = b"".join(map(self.bytes.__getitem__, found)) == b" " + word.encode()
+            self[word] = array("i", found).tobytes() if spelt else None
+        out = []
+        for parts in split:
+            ids = [self[word] for word in parts]
+            out.append(None if not ids or None in ids else b"".join(ids))
+        for word in new:
+            if len(word) > CACHED_LENGTH:
+                del self[word]
+        return out
 
 
 class Tokenizers:
-    """Both vocabularies: ids of a text, and the bytes, lengths and printed forms of ids.
+    """Both vocabularies: ids of a text, and the lengths and printed forms of ids.
 
     A is a byte-level BPE file, which gets a space before the text; B is a piece model, which adds that space itself.  Strings
     of special tokens in a text are plain text.
     """
 
     def __init__(self, a_path: str, b_path: str):
-        self.a = _engine(a_path)
-        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a, self.b = _engine(a_path), WordPieces(b_path)
         self.a_bytes = [self._a_entry(k) for k in range(self.a.n_vocab)]
-        self.b_bytes = [self._b_entry(k) for k in range(self.b.get_piece_size())]
-        self.a_length = np.array([len(entry) for entry in self.a_bytes])
-        self.b_length = np.array([len(entry) for entry in self.b_bytes])
-        # a piece may be cut off before a blank that follows another character only if no piece holds such a place
-        self.cuts = all("▁" not in self.b.id_to_piece(k).lstrip("▁") for k in range(self.b.get_piece_size()))
+        self.a_length, self.b_length = (np.array([len(entry) for entry in table]) for table in (self.a_bytes, self.b.bytes))
+        self.every_byte = {bytes([k]) for k in range(256)} <= set(self.a_bytes)  # then A spells whatever it is given
 
     def _a_entry(self, number: int) -> bytes:
         try:
@@ -45,39 +90,22 @@ class Tokenizers:
         except KeyError:  # a number without an entry
             return b""
 
-    def _b_entry(self, number: int) -> bytes:
-        piece = self.b.id_to_piece(number)
-        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode()
-
     @cached_property
     def printed(self) -> list[bytes]:
         """Ids with what follows them: A's as ``,`` or ``|`` (the last of a group), then B's as ``,`` or ``;``."""
-        return [b"%d%s" % (k, sign) for signs, count in (((b",", b"|"), len(self.a_bytes)), ((b",", b";"), len(self.b_bytes)))
+        return [b"%d%s" % (k, sign) for signs, count in (((b",", b"|"), len(self.a_length)), ((b",", b";"), len(self.b_length)))
                 for k in range(count) for sign in signs]
 
-    def segments(self, text: str) -> list[str]:
-        """Parts whose pieces, each part with its added space, are those of the text."""
-        out, at = [], 0
-        while self.cuts and len(text) - at > SEGMENT:
-            cut = text.find(" ", at + SEGMENT)
-            while 0 <= cut and text[cut - 1] == " ":
-                cut = text.find(" ", cut + 1)
-            if cut < 0 or cut + 1 == len(text):
-                break
-            out.append(text[at:cut])
-            at = cut + 1
-        return [*out, text[at:]]
-
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both sides; none where either side's bytes are not those of the text with a space before it."""
         nothing = np.zeros(0, np.int32)
-        if not text:
-            return nothing, nothing
-        shown = " " + text
-        a, data = self.a.encode_ordinary(shown), shown.encode()
-        b = [k for part in self.b.encode(self.segments(text), num_threads=1) for k in part]
-        whole = all(b"".join(map(table.__getitem__, ids)) == data for table, ids in ((self.a_bytes, a), (self.b_bytes, b)))
-        return (np.array(a, np.int32), np.array(b, np.int32)) if whole else (nothing, nothing)
+        out = []
+        for text, b in zip(texts, self.b.of(texts)):
+            a = self.a.encode_to_numpy(" " + text, disallowed_special=()) if b else nothing
+            if b and not self.every_byte and b"".join(self.a_bytes[k] for k in a) != b" " + text.encode():
+                a, b = nothing, None
+            out.append((a, np.frombuffer(b, np.int32) if b else nothing))
+        return out
 
 
 def overlaps(doc_a: np.ndarray, start_a: np.ndarray, doc_b: np.ndarray, start_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +128,7 @@ class Aligned:
     """Alignment of some texts: counts and printed groups of each, and the id pairs that each one links."""
 
     def __init__(self, tokenizers: Tokenizers, texts: list[str | None]):
-        found = [tokenizers.ids(text or "") for text in texts]
+        found = tokenizers.ids([text or "" for text in texts])
         self.n_a, self.n_b = (np.array([len(ids[side]) for ids in found], np.int64) for side in (0, 1))
         a, b = (np.concatenate([ids[side] for ids in found]).astype(np.int64) for side in (0, 1))
         end_a, end_b = np.cumsum(tokenizers.a_length[a]), np.cumsum(tokenizers.b_length[b])
@@ -116,7 +144,7 @@ class Aligned:
         else:
             at_a = at_b = np.zeros(0, np.int64)
         self.n_links = np.bincount(doc_a[at_a], minlength=len(texts))
-        wide = len(tokenizers.b_bytes)
+        wide = len(tokenizers.b_length)
         every = len(tokenizers.a_bytes) * wide
         keys, self.times = np.unique(doc_a[at_a] * every + a[at_a] * wide + b[at_b], return_counts=True)
         self.bounds = np.searchsorted(keys, np.arange(len(texts) + 1) * every)
