@@ -100,9 +100,9 @@ def _dense(words: np.ndarray) -> np.ndarray:
 def _against(words: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Kernel of words with the columns of ``table``, some words at a time."""
     out = np.empty((len(words), table.shape[1]), np.float32)
-    for at in range(0, len(words), 512):
-        codes, weights = subsequences(words[at:at + 512])
-        out[at:at + 512] = np.einsum("wf,wfk->wk", weights, table[codes])
+    for at in range(0, len(words), 128):
+        codes, weights = subsequences(words[at:at + 128])
+        out[at:at + 128] = np.einsum("wf,wfk->wk", weights, table[codes])
     return out
 
 
@@ -114,7 +114,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3
     ridge[-1, -1] = 1e-9
     for _ in range(25):
         active = y * (x @ w) < 1
-        part = x[active] * weight[active, None]
+        part = x[active] * weight[active, None].astype(x.dtype)
         new = np.linalg.solve(part.T @ x[active] + ridge, part.T @ y[active])
         if np.abs(new - w).max() < 1e-6:
             break
@@ -122,13 +122,15 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3
     return w
 
 
-def worst_words(score: np.ndarray, row: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def worst_words(score: np.ndarray, row: np.ndarray, bounds: np.ndarray, distinct: bool = False) -> np.ndarray:
     """What a document is judged by: scores of its ``WORST`` worst distinct words (``FLOOR`` where it has fewer), and the
     logarithms of its numbers of bad words and of distinct words, as among more words some look worse by chance."""
     count = len(bounds) - 1
-    doc = np.repeat(np.arange(count), np.diff(bounds))
-    pairs = np.unique(doc * max(len(score), 1) + row)
-    doc, each = pairs // max(len(score), 1), score[pairs % max(len(score), 1)] if len(score) else np.zeros(0)
+    doc = np.repeat(np.arange(count, dtype=np.int32), np.diff(bounds))
+    if not distinct:
+        pairs = np.unique(doc.astype(np.int64) * max(len(score), 1) + row)
+        doc, row = (pairs // max(len(score), 1)).astype(np.int32), pairs % max(len(score), 1)
+    each = score[row] if len(score) else np.zeros(0, np.float32)
     order = np.lexsort((-each, doc))
     rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
     out = np.full((count, WORST + 2), FLOOR)
@@ -178,7 +180,8 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple:
     row = again.ravel()[row]
     doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
     pairs = np.unique(doc.astype(np.int64) * max(len(words), 1) + row)
-    doc, row = pairs // max(len(words), 1), pairs % max(len(words), 1)
+    doc, row = (part.astype(np.int32) for part in (pairs // max(len(words), 1), pairs % max(len(words), 1)))
+    del again, pairs
     bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
     draw = np.random.default_rng(5)
     checked = np.zeros(len(texts), bool)
@@ -212,14 +215,17 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple:
         size, axes = np.linalg.eigh((basis @ basis.T).astype(float))
         whiten = axes[:, size > 1e-4] / np.sqrt(size[size > 1e-4])
         table = np.ascontiguousarray((basis.T @ whiten).astype(np.float32))
-        sides = (found, clean, hard)
-        x = np.concatenate([_against(words[part], table) for part in sides])
-        y = np.repeat([1.0, -1.0, -1.0], [len(part) for part in sides])
-        weight = np.repeat([1 / len(found), 0.5 / len(clean), 0.5 / max(len(hard), 1)], [len(part) for part in sides])
-        w = _svm(x, y, weight * len(y) / 200)
+        # a word found in many documents is one row that weighs as much
+        sides = [(*np.unique(found, return_counts=True), 1 / len(found)), (clean, np.ones(len(clean)), 0.5 / len(clean)),
+                 (*np.unique(hard, return_counts=True), 0.5 / max(len(hard), 1))]
+        x = np.concatenate([_against(words[part], table) for part, _, _ in sides])
+        y = np.repeat([1.0, -1.0, -1.0], [len(part) for part, _, _ in sides])
+        weight = np.concatenate([count * share for _, count, share in sides]) * (len(found) + len(clean) + len(hard)) / 200
+        w = _svm(x, y, weight.astype(np.float32))
+        del x
         each = (table @ w[:-1]).astype(np.float32)
         score = word_scores(words, each) + w[-1]
-        judged = worst_words(score, row, bounds)
+        judged = worst_words(score, row, bounds, True)
         curve = _logistic(judged[checked], labels[checked])
         p = np.clip(_curve(judged[checked], curve), 1e-9, 1 - 1e-9)
         loss = -np.mean(np.where(labels[checked] > 0, np.log(p), np.log(1 - p)))
@@ -245,9 +251,10 @@ def word_scores(words: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> tuple | None:
     """Fit on at most ``2 * per_class`` labelled documents; None where a class is missing."""
-    found = sorted(training_rows(documents, labels, label, per_class).collect(), key=lambda r: r["doc_id"])
-    y = np.array([r["label"] for r in found], float)
-    return fit([r["text"] for r in found], y) if 0 < y.sum() < len(y) else None
+    found = sorted(map(tuple, training_rows(documents, labels, label, per_class).collect()), key=lambda r: r[0])
+    y, texts = np.array([r[1] for r in found], float), [r[2] for r in found]
+    del found
+    return fit(texts, y) if 0 < y.sum() < len(y) else None
 
 
 def _scorer(model, position: int):
