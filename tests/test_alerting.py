@@ -6,10 +6,12 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.config import MetricConfig
 from tidewatch.operators.threads import route_channels, silenced_threads
-from tidewatch.plans.alerting import alert_run, alert_tables, write_run
+from tidewatch.operators.transitions import key_states, months_of_threads
+from tidewatch.plans.alerting import alert_run, alert_tables, live_tables, write_run
 from tidewatch.schemas import CHANNELS, INCIDENTS, REPLAY_ROWS, REPLY_EVENTS
 from tidewatch.session import scratch, stored
 from tidewatch.sources.tables import read_replay, write_partitioned
@@ -300,6 +302,65 @@ def test_written_runs(spark, tmp_path):
     assert {name: content(name) for name in first} == first
 
 
+def test_closed_months_are_not_read(spark, tmp_path):
+    """A run on pruned tables decides what one on whole tables decides, and rests on few months."""
+    w, root = World(), str(tmp_path / "alerts")
+    old = MIDNIGHT - timedelta(days=200)
+    w.row("known", stamp=MIDNIGHT), w.row("new", stamp=MIDNIGHT - timedelta(days=1))
+    w.row("watched", kind=HIGH), w.row("watched", kind=NORMAL, stamp=MIDNIGHT + timedelta(hours=2))
+    w.incident("watched", stored=counts(critical_higher=1)), w.event("watched")
+    for name in ("known", "fires later"):
+        w.incident(name, status="resolved", opened=timedelta(days=400), closed=timedelta(days=399), day=date(2030, 8, 13))
+    w.incident("left open", opened=timedelta(days=200), day=old.date())  # has to be closed
+    w.incident("silenced", opened=timedelta(days=300), day=old.date())
+    w.incident("silenced", status="resolved", opened=timedelta(days=250), closed=timedelta(days=249), day=old.date(), thread="later")
+    w.event("known", ago=60 * 24 * 390), w.event("left open", ago=60 * 24 * 199)
+    write_partitioned(spark.createDataFrame(w.incidents, INCIDENTS), f"{root}/incidents", "opened_at")
+    write_partitioned(spark.createDataFrame(w.events, REPLY_EVENTS), f"{root}/events", "posted_at")
+    w.row("fires later", stamp=MIDNIGHT - timedelta(days=1))
+    later = spark.createDataFrame(w.rows, REPLAY_ROWS).withColumn(
+        "anomaly_type", F.when(F.col("anomaly_type_lower_higher") == NORMAL, NORMAL).otherwise("critical"))
+    rows = later.filter("config_name != 'fires later'")
+    channels = spark.createDataFrame([(None, "dev", "C-OPS", "one", None)], CHANNELS)
+
+    def decide(incidents, events, known=None, at=NOW, rows=later):
+        run = alert_run(rows, incidents, events, channels, [], at, "dev", "rep", "page", known=known)
+        return run, sorted((r.config_name, r.kind) for r in run.actions.collect())
+
+    def months(frame):
+        return {row[0].split("month=")[1][:7] for row in frame.select(F.input_file_name()).distinct().collect()}
+
+    first, decided = decide(*live_tables(spark, root, NOW), rows=rows)  # nothing is noted yet: all months are read
+    assert decided == [("known", "fire"), ("known", "open_thread"), ("left open", "close_thread"), ("watched", "close_thread"),
+                       ("watched", "resolve"), ("watched", "summary")]
+    write_run(first, root)
+    for at in (NOW, NOW + timedelta(days=1)):  # the second one finds what the first one noted after closing
+        incidents, events, known = live_tables(spark, root, at)
+        assert months(incidents) <= {f"{NOW - timedelta(days=back):%Y-%m}" for back in (0, 30, 200)}
+        run, got = decide(incidents, events, known, at)
+        assert got == decide(*alert_tables(spark, root), at=at)[1]
+        assert (("fires later", "open_thread") in got) == (at == NOW)  # a known config, though its incident is not read
+        write_run(run, root)
+    assert months(live_tables(spark, root, NOW)[0]) == {"2031-09"}
+    assert len(list((tmp_path / "alerts" / "live").iterdir())) == 1
+
+    state = spark.createDataFrame([("watched", TODAY, False, "t-watched", NOW - timedelta(hours=1))],
+                                  "config_name string, anomaly_date date, hard_cap boolean, incident_slack_ts string, opened_at timestamp")
+    dated_rows = rows.withColumn("anomaly_date", F.to_date("timestamp"))
+    plan = key_states(state, dated_rows, live_tables(spark, root, NOW)[1], NOW)._jdf.queryExecution().toString()
+    assert "dynamicpruning" in plan.split("PartitionFilters: [", 1)[1] and "month" in plan
+
+
+def test_months_of_threads(spark):
+    schema = "incident_slack_ts string, opened_at timestamp"
+    state = spark.createDataFrame([("a", datetime(2031, 8, 31, 23)), (None, datetime(2031, 1, 1)), ("b", NOW)], schema)
+    assert sorted(r[0] for r in months_of_threads(state, NOW).collect()) == ["2031-08", "2031-09"]
+    unknown = spark.createDataFrame([("a", None)], schema)
+    got = sorted(r[0] for r in months_of_threads(unknown, NOW).collect())
+    assert (got[0], got[-1], len(got)) == ("2012-01", "2031-09", 237)
+    assert months_of_threads(state.limit(0), NOW).isEmpty()
+
+
 def test_scratch_folders_are_removed(spark):
     with scratch(spark, "trial") as folder:
         assert stored(spark.range(3), "kept").count() == 3 and Path(folder).exists()

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidewatch.config import MetricConfig
 from tidewatch.operators.transitions import announced_states
@@ -84,6 +84,25 @@ def test_a_garbage_stamp_does_not_silence_a_stream(spark, tmp_path):
     assert {(r.timestamp, r.value) for r in table.collect()} == {(day(1), 1.0), (day(2), 5.0)}
 
 
+def test_batches_are_folded(spark, tmp_path):
+    """The newest row of a key stands, folders stay few, and a batch that comes again changes nothing."""
+    schema, path = T._parse_datatype_string("k int, v int"), str(tmp_path / "table")
+    changes, expected = jobs.Changes(spark, path, schema, ["k"], ["v"]), {}
+    assert changes.newest().isEmpty()
+    for number in range(50):
+        rows = [(number % 7, number), (100 + number, number)]
+        frame = spark.createDataFrame(rows, schema).coalesce(1)
+        changes.add(frame, number)
+        expected |= dict(rows)
+        if number in (3, 7, 49):
+            changes.add(frame, number)  # after a failure
+        if number == 20:  # a fold that broke off before its commit does not count
+            (tmp_path / "table" / "first=0" / "batch=63").mkdir(parents=True)
+    assert dict(map(tuple, changes.newest().collect())) == expected
+    assert changes.folders() == [*[(k, k + 7) for k in range(0, 48, 8)], (48, 48), (49, 49)]
+    assert len(list((tmp_path / "table").glob("*/*"))) == 8
+
+
 def test_streams_go_on_where_they_ended(spark, tmp_path):
     source = str(tmp_path / "in")
 

@@ -90,9 +90,13 @@ def rejected_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("anomaly_date").isNull())
 
 
-def first_seen_configs(rows: DataFrame, incidents: DataFrame) -> DataFrame:
-    """Configs with rows but without any incident so far."""
-    known = incidents.filter(F.col("config_name").isNotNull()).select("config_name").distinct()
+def first_seen_configs(rows: DataFrame, incidents: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Configs with rows but without any incident so far.
+
+    ``known`` names configs with incidents, for callers whose ``incidents`` are not all there ever were.
+    """
+    names = incidents.select("config_name")
+    known = (names if known is None else names.union(known.select("config_name"))).filter("config_name IS NOT NULL").distinct()
     return rows.select("config_name").distinct().join(known, "config_name", "left_anti")
 
 
@@ -106,9 +110,9 @@ def bucket_counts(column: str = "anomaly_type_lower_higher", prefix: str = "") -
     return [F.count_if(F.col(column) == bucket).alias(f"{prefix}{bucket}") for bucket in BUCKETS]
 
 
-def bootstrap_incidents(rows: DataFrame, incidents: DataFrame, as_of: datetime) -> DataFrame:
+def bootstrap_incidents(rows: DataFrame, incidents: DataFrame, as_of: datetime, known: DataFrame | None = None) -> DataFrame:
     """Resolved marker incidents for the history of first-seen configs (before today)."""
-    fresh = first_seen_configs(rows, incidents)
+    fresh = first_seen_configs(rows, incidents, known)
     past = rows.filter(F.col("anomaly_date") < F.lit(as_of.date())).join(fresh, "config_name", "left_semi")
     counted = past.groupBy(*THREAD).agg(*bucket_counts())
     identity = F.md5(F.concat_ws("|", F.lit("bootstrap"), "config_name", F.col("anomaly_date").cast("string"),
@@ -132,6 +136,18 @@ def find_incidents(incidents: DataFrame, as_of: datetime) -> DataFrame:
     return usable.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1").drop("_rank")
 
 
+def live_months(incidents: DataFrame, as_of: datetime) -> DataFrame:
+    """Months of ``opened_at`` that a later run has to read however old they are.
+
+    They hold the incidents of threads with an open one, the later ones of these threads too; a thread that is silenced by now
+    stays so.  Incidents of other threads matter while their date is in the lookback, so in months a run reads anyway.
+    """
+    opened = incidents.filter(F.col("status") == "open").select(*THREAD).distinct()
+    watched = opened.join(silenced_threads(incidents, as_of), THREAD, "left_anti")
+    stamps = incidents.filter(F.col("opened_at").isNotNull()).join(watched, THREAD, "left_semi")
+    return stamps.select(F.date_format("opened_at", "yyyy-MM").alias("month")).distinct()
+
+
 def route_channels(threads: DataFrame, channels: DataFrame, environment: str) -> DataFrame:
     """Add the channel: the config's own in this environment, else the environment's.
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewatch.config import FLAT, FLAT_WITH_RESOLVE, THREAD as THREAD_MODE
 from tidewatch.functions.periods import timestamp_literal
+from tidewatch.operators.actuals import SANE_FROM
 from tidewatch.operators.deltas import BUCKETS, NORMAL
 from tidewatch.operators.threads import HARD_CAP, KEY, THREAD, bucket_counts, find_incidents
 from tidewatch.session import stored
@@ -86,23 +87,39 @@ def attach_incidents(threads: DataFrame, rows: DataFrame, incidents: DataFrame,
         F.col("_details.dq_dashboard_url").alias("dq_dashboard_url"),
         F.col("_details.text_inject").alias("text_inject"),
         *[f"initial_{bucket}" for bucket in BUCKETS],
-        F.col("_incident.slack_ts").alias("incident_slack_ts"),
+        F.col("_incident.slack_ts").alias("incident_slack_ts"), opened.alias("opened_at"),
         F.col("_incident.summary_counts_json").alias("summary_counts_json"),
         F.coalesce(opened <= timestamp_literal(as_of - HARD_CAP), F.lit(False)).alias("hard_cap"),
     )
 
 
-def key_states(state: DataFrame, rows: DataFrame, events: DataFrame) -> DataFrame:
+def months_of_threads(state: DataFrame, as_of: datetime) -> DataFrame:
+    """Months from the opening of the threads' incidents to the run: few, as threads past the cap are not in ``state``.
+
+    An incident without a time of opening counts as opened when stamps begin to be sane.
+    """
+    start = F.date_trunc("month", F.coalesce("opened_at", timestamp_literal(SANE_FROM)))
+    every = F.sequence(start, F.greatest(start, timestamp_literal(as_of)), F.expr("INTERVAL 1 MONTH"))
+    spans = state.filter(F.col("incident_slack_ts").isNotNull()).select(every.alias("_months")).distinct()
+    return spans.select(F.explode("_months").alias("_start")).select(F.date_format("_start", "yyyy-MM").alias("month")).distinct()
+
+
+def key_states(state: DataFrame, rows: DataFrame, events: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Per thread, dimension and method: current and announced class, transition, projection.
 
     Threads past the cap are left out.  Announced keys that have no row any more
-    keep their announced class.
+    keep their announced class.  With ``as_of`` and a log that is partitioned by the ``month`` of ``posted_at``, only months
+    are read in which active incidents can have events: those from their opening to the run.
     """
     active = state.filter(~F.col("hard_cap"))
     current = rows.join(active.select(*THREAD), THREAD, "left_semi").select(
         *THREAD, *KEY, F.col("anomaly_type_lower_higher").alias("current"), *ROW_COLUMNS,
         F.lit(True).alias("has_row"))
     incidents = active.filter(F.col("incident_slack_ts").isNotNull()).select(*THREAD, "incident_slack_ts")
+    if as_of is not None and "month" in events.columns:
+        # one row per month; the comparison holds for all of them and tells the planner that pruning pays
+        months = stored(months_of_threads(active, as_of), "active-months").filter(F.col("month") > "")
+        events = events.join(F.broadcast(months), "month", "left_semi")
     # the log only grows; what is ranked are the events of active incidents
     log = events.join(incidents.select("incident_slack_ts"), "incident_slack_ts", "left_semi")
     announced = announced_states(log).join(incidents, "incident_slack_ts").select(*THREAD, *KEY, "announced", F.lit(True).alias("was_announced"))

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.config import THREAD as THREAD_MODE, MetricConfig
 from tidewatch.functions.periods import timestamp_literal
 from tidewatch.operators.messages import outbox
 from tidewatch.operators.threads import (
-    THREAD, bootstrap_incidents, counts_json, first_seen_configs, latest_per_key, rejected_rows,
+    LOOKBACK, THREAD, bootstrap_incidents, counts_json, first_seen_configs, latest_per_key, live_months, rejected_rows,
     route_channels, rows_of_interest, threads_to_visit, without_suppressed,
 )
 from tidewatch.operators.transitions import (
@@ -22,7 +23,7 @@ from tidewatch.operators.transitions import (
 )
 from tidewatch.schemas import INCIDENTS, OUTBOX, REPLY_EVENTS
 from tidewatch.session import scratch, stored
-from tidewatch.sources.tables import append_new, month_of, read_partitioned, write_partitioned
+from tidewatch.sources.tables import append_new, list_folders, month_of, read_partitioned, remove_folders, write_partitioned
 
 
 @dataclass
@@ -40,6 +41,7 @@ class AlertRun:
     report: str
     page: str
     parity: bool
+    known: DataFrame | None = None  # names of configs with incidents that ``before`` need not hold
 
     @property
     def shown(self) -> DataFrame:
@@ -138,9 +140,11 @@ def events_of(actions: DataFrame, as_of: datetime) -> DataFrame:
 
 def alert_run(deltas: DataFrame, incidents: DataFrame, events: DataFrame, channels: DataFrame,
               configs: Iterable[MetricConfig], as_of: datetime, environment: str, report: str = "", page: str = "",
-              replay: bool = False, parity: bool = False) -> AlertRun:
+              replay: bool = False, parity: bool = False, known: DataFrame | None = None) -> AlertRun:
     """Decide a run.  Using only ``actions`` of the result is a dry run.
 
+    ``incidents`` may leave out what ``live_tables`` leaves out; ``known`` then names the configs that had incidents.
+
     Transitions a mode does not show are still logged, without a message, so
     that later runs know what was announced; ``parity=True`` drops them.
     The rows, threads and keys of the run are stored once in the shared
@@ -153,17 +157,18 @@ def alert_run(deltas: DataFrame, incidents: DataFrame, events: DataFrame, channe
     rows = rows.filter(F.col("anomaly_date").isNotNull())
     markers = None
     if not replay:
-        markers = bootstrap_incidents(rows, incidents, as_of)
-        fresh = first_seen_configs(rows, incidents).withColumn("_fresh", F.lit(True))
+        markers = bootstrap_incidents(rows, incidents, as_of, known)
+        fresh = first_seen_configs(rows, incidents, known).withColumn("_fresh", F.lit(True))
         rows = (rows.join(fresh, "config_name", "left")
                 .filter(F.col("_fresh").isNull() | (F.col("anomaly_date") >= F.lit(as_of.date()))).drop("_fresh"))
     state = stored(thread_states(rows, incidents, channels, configs, as_of, environment, replay), "alert-threads")
     rejected = state.filter(F.col("slack_channel_id").isNull()).select(*THREAD)
     state = state.filter(F.col("slack_channel_id").isNotNull())
-    keys = stored(key_states(state, rows, events), "alert-keys")
+    keys = stored(key_states(state, rows, events, as_of), "alert-keys")
     actions = list_actions(project_threads(state, keys), keys, as_of).withColumn("visible", is_visible())
     reopened = state.filter("reopened").select("incident_slack_ts")
-    return AlertRun(actions, rejected, undated, incidents, reopened, markers, as_of, environment, report, page, parity)
+    return AlertRun(actions, rejected, undated, incidents, reopened, markers, as_of, environment, report, page, parity,
+                    known)
 
 
 INCIDENTS_ORDER, EVENTS_ORDER = ("config_name", "anomaly_date"), ("incident_slack_ts", "dimension_split_value", "forecast_method")
@@ -175,8 +180,45 @@ def alert_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
             read_partitioned(spark, f"{root}/events", REPLY_EVENTS).select(*REPLY_EVENTS.names))
 
 
+# What runs know about months they do not read: ``month`` (has to be read) or ``config`` (has had an incident), and the value.
+LIVE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())])
+
+
+def live_tables(spark: SparkSession, root: str, as_of: datetime) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """What a run at ``as_of`` has to see of the tables below ``root``: incidents, events, and ``known`` for ``alert_run``.
+
+    Incidents are read from the months of the lookback and those that hold threads still open; months of events are pruned
+    by ``alert_run``, through the ``month`` they keep.  Tables that ``write_run`` has not written yet are read whole.
+    Incidents and events without a stamp belong to no month and are left out.
+    """
+    incidents = read_partitioned(spark, f"{root}/incidents", INCIDENTS)
+    events = read_partitioned(spark, f"{root}/events", REPLY_EVENTS)
+    live = read_partitioned(spark, f"{root}/live", LIVE, ("run",))
+    months = [row[0] for row in live.filter("kind = 'month'").select("value").distinct().collect()]  # one row per month
+    if not months:
+        return incidents.select(*INCIDENTS.names), events, None
+    wanted = F.col("month").isin(months) | (F.col("month") >= (as_of - LOOKBACK).strftime("%Y-%m"))
+    known = live.filter("kind = 'config'").select(F.col("value").alias("config_name")).distinct()
+    return incidents.filter(wanted).select(*INCIDENTS.names), events, known
+
+
+def _note_live(run: AlertRun, path: str) -> str:
+    """Write what later runs need to know about months they will not read; gives the name of this note.
+
+    Notes add up, so while a run is being written the one of the run before it stays.
+    """
+    now = run.as_of.strftime("%Y-%m")
+    months = live_months(run.incidents, run.as_of).select(F.lit("month").alias("kind"), F.col("month").alias("value"))
+    names = run.incidents.select("config_name") if run.known is None else run.incidents.select("config_name").union(run.known)
+    configs = names.filter("config_name IS NOT NULL").select(F.lit("config").alias("kind"), F.col("config_name").alias("value"))
+    current = run.actions.sparkSession.range(1).select(F.lit("month").alias("kind"), F.lit(now).alias("value"))
+    rows, name = months.union(current).union(configs).distinct(), uuid.uuid4().hex
+    rows.write.parquet(f"{path}/run={name}")
+    return name
+
+
 def write_run(run: AlertRun, root: str) -> None:
-    """Write a run that was decided on ``alert_tables`` of the same ``root``: outbox, events, incidents.
+    """Write a run that was decided on ``live_tables`` or ``alert_tables`` of the same ``root``: outbox, events, incidents.
 
     Messages and events have ids and are appended once; of the incidents only
     the months with a change are replaced.  The incidents come last: a run that
@@ -194,4 +236,6 @@ def write_run(run: AlertRun, root: str) -> None:
         months = {row[0] for row in older.select(month_of("opened_at")).distinct().collect()}  # one row per month
         months = sorted(month for month in months | {run.as_of.strftime("%Y-%m")} if month)
         after = stored(run.incidents.filter(month_of("opened_at").isin(months)), "incidents")
+        note = _note_live(run, f"{root}/live")
         write_partitioned(after, f"{root}/incidents", "opened_at", INCIDENTS_ORDER)
+        remove_folders(spark, [path for path in list_folders(spark, f"{root}/live") if not path.endswith(f"run={note}")])

@@ -18,7 +18,7 @@ from tidewatch.operators.grid import forecast_grid, history_grid, missing_period
 from tidewatch.operators.messages import dashboard_link
 from tidewatch.operators.versions import merge_versions, new_versions, tombstone
 from tidewatch.plans import workload as w
-from tidewatch.plans.alerting import alert_run, alert_tables, relevant_rows, thread_states, write_run
+from tidewatch.plans.alerting import alert_run, alert_tables, live_tables, relevant_rows, thread_states, write_run
 from tidewatch.plans.ingest import fetch_actuals, ingest_run
 from tidewatch.schemas import ACTUALS, DEDUP_INDEX, FORECASTS
 from tidewatch.session import ensure_checkpoint_dir, ensure_utc, stored
@@ -589,8 +589,9 @@ def _written_runs(spark, folder) -> str:
         write_partitioned(m.incidents(), f"{root}/incidents", "opened_at")
         write_partitioned(m.events(), f"{root}/events", "posted_at")
         for _ in range(2):
-            write_run(alert_run(m.deltas(), *alert_tables(spark, root), w.channels(spark), w.event_configs(), w.NOW,
-                                w.ENVIRONMENT, w.REPORT, w.PAGE), root)
+            incidents, events, known = live_tables(spark, root, w.NOW)
+            write_run(alert_run(m.deltas(), incidents, events, w.channels(spark), w.event_configs(), w.NOW, w.ENVIRONMENT,
+                                w.REPORT, w.PAGE, known=known), root)
         m.alerting = root
     return m.alerting
 

@@ -158,7 +158,26 @@ def write_parts(frame: DataFrame, path: str, stamp: str, order: tuple[str, ...]
 def remove_parts(spark: SparkSession, path: str, parts: Iterable[tuple[str, ...]]) -> None:
     """Remove partitions: of a config, or of a config and month."""
     named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    for part in parts:
-        inner = "/".join(named(column, value) for column, value in zip(("config", "month"), part))
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{inner}")
+    remove_folders(spark, [f"{path}/" + "/".join(named(column, value) for column, value in zip(("config", "month"), part))
+                           for part in parts])
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below a folder; none if it is absent."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return [entry.getPath().toString() for entry in files.listStatus(folder) if entry.isDirectory()]
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the write of a folder was committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.config import MetricConfig
@@ -22,7 +22,7 @@ from tidewatch.operators.actuals import POINT_COLUMNS, SANE_FROM, SANE_TO, descr
 from tidewatch.operators.versions import merge_versions, new_versions
 from tidewatch.schemas import ACTUALS, REPLY_EVENTS
 from tidewatch.session import ensure_checkpoint_dir
-from tidewatch.sources.tables import merge_months, read_partitioned
+from tidewatch.sources.tables import is_complete, list_folders, merge_months, read_partitioned, remove_folders
 
 # Fixed value: how long a hash blocks its repeats.
 HASH_WINDOW = "60 days"
@@ -76,19 +76,69 @@ def _to_parquet(stream: DataFrame, location: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(table)
 
 
-def _newest(stream: DataFrame, location: str, keys: list[str], values: list[str]) -> DataFrame:
-    """Newest row per key of a stream in update mode.
+# So many batches, and so many folds of them, become one fold.
+FOLD = 8
+
+
+class Changes:
+    """Newest row per key of the changes that micro-batches bring.
 
-    Every micro-batch adds its changes under its own number; a repeated one replaces them.
+    Each batch is a folder named by its number and the first batch it stands for, at first the same.  Every ``FOLD`` batches are
+    folded into one folder with the newest row of each key, every ``FOLD`` of these again, and so on: after n batches there are
+    less than ``FOLD`` folders for each digit of n, and a row is rewritten once for each digit.  A fold counts once its write is
+    committed, and what it stands for is removed after that; a repeated batch replaces its own folder or is part of a fold already.
     """
-    table, spark = f"{location}/table", stream.sparkSession
 
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], values: list[str]):
+        self.spark, self.path, self.keys, self.values = spark, path, keys, values
+        self.schema = T.StructType(schema.fields)
+
+    def _folder(self, first: int, last: int) -> str:
+        return f"{self.path}/first={first}/batch={last}"
+
+    def folders(self) -> list[tuple[int, int]]:
+        """First and last batch of each committed folder that no other one stands for."""
+        found = [(int(outer.rsplit("=", 1)[1]), int(inner.rsplit("=", 1)[1])) for outer in list_folders(self.spark, self.path)
+                 for inner in list_folders(self.spark, outer) if is_complete(self.spark, inner)]
+        return sorted(one for one in found if not any(other != one and other[0] <= one[0] and one[1] <= other[1] for other in found))
+
+    def _newest(self, folders: list[tuple[int, int]]) -> DataFrame:
+        full = T.StructType([*self.schema.fields, T.StructField("first", T.LongType()), T.StructField("batch", T.LongType())])
+        if not folders:
+            return self.spark.createDataFrame([], self.schema).select(*self.keys, *self.values)
+        rows = self.spark.read.schema(full).option("basePath", self.path).parquet(*[self._folder(*one) for one in folders])
+        return rows.groupBy(*self.keys).agg(F.max_by(F.struct(*self.values), "batch").alias("_v")).select(*self.keys, "_v.*")
+
+    def add(self, batch: DataFrame, number: int) -> None:
+        if not any(first <= number <= last and first < last for first, last in self.folders()):
+            batch.write.mode("overwrite").parquet(self._folder(number, number))
+        size = FOLD
+        while (number + 1) % size == 0:
+            first = number + 1 - size
+            part = [one for one in self.folders() if first <= one[0] and one[1] <= number]
+            if part != [(first, number)]:
+                self._newest(part).write.mode("overwrite").parquet(self._folder(first, number))
+            size *= FOLD
+        self._tidy()
+
+    def _tidy(self) -> None:
+        """Remove folders that a committed fold stands for."""
+        kept = {self._folder(*one) for one in self.folders()}
+        tails = tuple(name[len(self.path):] for name in kept)
+        for outer in list_folders(self.spark, self.path):
+            inner = list_folders(self.spark, outer)
+            old = [path for path in inner if not path.endswith(tails)]
+            remove_folders(self.spark, [outer] if len(old) == len(inner) else old)
+
+    def newest(self) -> DataFrame:
+        return self._newest(self.folders())
 
-    _finish(stream.writeStream.outputMode("update").foreachBatch(keep), location)
-    changes = spark.read.schema(stream.schema.add("batch", "long")).parquet(table)
-    return changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v")).select(*keys, "_v.*")
+
+def _newest(stream: DataFrame, location: str, keys: list[str], values: list[str]) -> DataFrame:
+    """Newest row per key of a stream in update mode."""
+    changes = Changes(stream.sparkSession, f"{location}/table", stream.schema, keys, values)
+    _finish(stream.writeStream.outputMode("update").foreachBatch(changes.add), location)
+    return changes.newest()
 
 
 def run_metric_points(spark: SparkSession, folder: str, files: str, cfg: MetricConfig, lateness: str = "14 days",
