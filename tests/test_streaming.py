@@ -58,6 +58,26 @@ def test_announced_state_matches_batch(spark, tmp_path):
     assert {tuple(r) for r in jobs.run_announced_state(spark, str(tmp_path / "log")).collect()} == batch
 
 
+def test_keys_are_forgotten_past_the_cap(spark, tmp_path):
+    """Timers follow the newest event of a key; a stream that goes on finds the state it left."""
+    log, place = str(tmp_path / "log"), str(tmp_path / "place")
+
+    def post(*events):
+        rows = [("t1", "m", dim, "mean", "e", "C", "fire", state, None, None, stamp, name) for dim, state, stamp, name in events]
+        spark.createDataFrame(rows, REPLY_EVENTS).coalesce(1).write.mode("append").parquet(log)
+        result = jobs.run_announced_state(spark, log, place, files_per_batch=1)
+        held = spark.read.format("statestore").option("path", f"{place}/progress").option("stateVarName", "held").load()
+        return ({r.dimension_split_value: (r.announced, r.posted_at) for r in result.collect()},
+                {r.key.dimension_split_value for r in held.collect()})
+
+    first, held = post(("a", "x1", day(1), "1"), ("b", "x1", day(1), "2"), (None, "x1", day(1), "3"), ("c", "x1", None, "4"))
+    assert first == {dim: ("x1", day(1)) for dim in ("a", "b", "")} and held == {"a", "b", ""}
+    second, held = post(("a", "x2", day(9), "5"), ("b", "x0", day(1), "0"))
+    assert second == {"a": ("x2", day(9)), "b": ("x0", day(1)), "": ("x1", day(1))}
+    third, held = post(("d", "x3", day(20), "6"))  # the watermark passes the caps of all but the newest events
+    assert third == {**second, "d": ("x3", day(20))} and held == {"a", "d"}
+
+
 def test_repeated_hashes_are_dropped(spark, tmp_path):
     stream = feed(spark, tmp_path / "in", [(day(1), "a", 1.0), (day(1), "a", 1.0)], [(day(1, 0), "a", 1.0), (day(2), "b", 1.0)])
     hashes = jobs.distinct_hashes_stream(stream.withColumn("event_type", F.col("kind")))

@@ -16,7 +16,7 @@ from tidewatch.functions.periods import add_periods
 from tidewatch.operators.actuals import NULL_DIMENSION
 from tidewatch.operators.grid import explode_periods, forecast_bounds, forecast_grid
 from tidewatch.operators.rolling import SERIES, STATISTICS, Statistic, prefix_statistics, rolling_statistics
-from tidewatch.session import stored
+from tidewatch.session import ship_package, stored
 
 FORECAST_COLUMNS = ["config_name", "dimension_split_value", "timestamp", "forecast_method", "value"]
 CONSTANT, DECOMPOSED = "constant_value", "mstl"
@@ -111,6 +111,7 @@ def decomposed_forecast(train: DataFrame, cfg: MetricConfig, as_of: datetime, st
     explicit: the rows are few, the work per row is not, and sizing by bytes
     would put all of it into one task.
     """
+    ship_package(train.sparkSession)
     first, total = forecast_bounds(cfg, as_of, start, end)
     seasons = [float(s) for s in cfg.parameters(DECOMPOSED)["season_length"]]
     enough = 2 * seasons[0]

@@ -63,6 +63,22 @@ _add("actuals_custom_sql", """
 SELECT 'orders_price_by_status' AS config_name, o_orderstatus AS dimension_split_value,
        date_trunc('month', o_orderdate) AS timestamp, round(sum(o_totalprice), 2) AS value
 FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' GROUP BY ALL""")
+_add("actuals_custom_sql_delta", """
+WITH monthly AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS mon FROM orders)
+SELECT 'orders_price_monthly' AS config_name, o_orderstatus AS dimension_split_value, mon AS timestamp,
+       round(sum(o_totalprice), 2) AS value
+FROM monthly
+WHERE mon BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2001-08-01' AND mon NOT IN (
+  SELECT mon FROM monthly WHERE o_totalprice > 300000 AND month(o_orderdate) <> 7 AND o_orderdate < TIMESTAMP '2001-08-05')
+GROUP BY ALL""")
+_add("actuals_from_yaml", """
+SELECT 'orders_open_weekly' AS config_name, o_orderpriority AS dimension_split_value,
+       date_trunc('week', o_orderdate + INTERVAL 1 DAY) - INTERVAL 1 DAY AS timestamp,
+       CAST(count(DISTINCT o_custkey) AS DOUBLE) AS value
+FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderstatus = 'O' GROUP BY ALL
+UNION ALL
+SELECT 'events_value_quarterly', '', date_trunc('quarter', ts), max(value) - min(value)
+FROM events WHERE ts >= TIMESTAMP '2024-01-01' GROUP BY ALL""")
 _add("actuals_drop_unfinal", f"""
 SELECT {POINT}, round(value, 2) AS value FROM ({HOURLY})
 QUALIFY row_number() OVER (ORDER BY timestamp DESC) > 3""")
@@ -163,6 +179,13 @@ for _m, _s in _SQL.items():
     _add(f"forecast_{_m}", _with(_PRIORITY, _ORDERS_GRID, _statistics(30, {_m: _s}), final=f"""
 SELECT config_name, dimension_split_value, timestamp, forecast_method, round(value, 6) AS value
 FROM ({_as_of(30, [_m])})"""))
+_add("forecast_without_training", ORACLE["forecast_max"])
+_add("forecast_mstl_periods", _with(
+    "days AS (SELECT DISTINCT date_trunc('day', o_orderdate) AS day FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01')",
+    f"horizon AS (SELECT unnest(generate_series(TIMESTAMP '2001-05-07', {ORDERS_NOW}, INTERVAL 1 DAY)) AS timestamp)",
+    "counted AS (SELECT timestamp, count(*) AS n FROM horizon JOIN days ON day < timestamp GROUP BY ALL)", final="""
+SELECT 'orders_season_' || season AS config_name, '' AS dimension_split_value, timestamp, 'mstl' AS forecast_method
+FROM counted, (VALUES (30), (70)) AS s(season) WHERE n >= 2 * season"""))
 _add("forecast_constant", _with(_PRIORITY, _ORDERS_GRID, final="""
 SELECT config_name, dimension_split_value, timestamp, 'constant_value' AS forecast_method,
        CAST(0.5 AS DOUBLE) AS value FROM grid"""))
@@ -705,6 +728,23 @@ _add("replay_actions", _with(*_DELTAS, _REPLAYED, _NONE, *_state("kept"), _keys(
 SELECT config_name, {_DATE}, kind, phase, dimension_split_value, forecast_method, mode, slack_channel_id,
        thread_id AS incident_slack_ts FROM shown WHERE visible"""))
 
+_add("replay_undated_rows", _with(*_DELTAS, final="""
+SELECT DISTINCT config_name, dimension_split_value, forecast_method FROM d
+WHERE anomaly_type <> 'normal' AND forecast_method = 'mean'"""))
+_add("dry_run", _with(*_DECIDED, final="""
+SELECT kind, count(*) AS n FROM shown WHERE visible GROUP BY ALL
+UNION ALL SELECT 'incidents', count(*) FROM incidents
+UNION ALL SELECT 'events', (SELECT count(*) FROM log_events) + (SELECT count(*) FROM incidents WHERE slack_ts LIKE 'T-%')
+UNION ALL SELECT 'outbox', 0"""))
+_add("seed_thresholds", _with(_points(*_ALL), """spreads AS (
+  SELECT config_name, round(max(value) - min(value), 4) AS spread, count(*) AS n FROM pts GROUP BY ALL)""", final="""
+SELECT config_name, 'median' AS forecast_method, -spread AS critical_lower, spread AS critical_higher,
+       CASE WHEN n > 100 THEN -spread / 4 END AS warning_lower, CAST(NULL AS DOUBLE) AS warning_higher FROM spreads"""))
+_add("seed_descriptions", """
+SELECT 'part-' || p_partkey AS config_name, p_name || ', "' || p_brand || '"' || chr(10) || p_type AS description,
+       CASE WHEN p_size <= 25 THEN 'https://dq.example/?a=1,2' END AS dq_dashboard_url, CAST(NULL AS VARCHAR) AS text_inject
+FROM part""")
+
 # --- messages --------------------------------------------------------------------
 
 _SEP = "%EE%80%80"

@@ -6,10 +6,11 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidewatch.config import MetricConfig
+from tidewatch.config import MetricConfig, config_file, load_configs
 from tidewatch.operators import analysis, threads as th, transitions as tr
 from tidewatch.operators.actuals import aggregate_points, build_points, current_values, describe_source
 from tidewatch.operators.deltas import add_definitions, build_deltas, due_forecasts, known_definitions, live_actuals, match_points, newest_actuals
@@ -20,9 +21,9 @@ from tidewatch.operators.versions import merge_versions, new_versions, tombstone
 from tidewatch.plans import workload as w
 from tidewatch.plans.alerting import alert_run, alert_tables, live_tables, relevant_rows, thread_states, write_run
 from tidewatch.plans.ingest import fetch_actuals, ingest_run
-from tidewatch.schemas import ACTUALS, DEDUP_INDEX, FORECASTS
+from tidewatch.schemas import ACTUALS, DEDUP_INDEX, FORECASTS, OUTBOX
 from tidewatch.session import ensure_checkpoint_dir, ensure_utc, stored
-from tidewatch.sources.tables import read_partitioned, write_partitioned
+from tidewatch.sources.tables import read_descriptions, read_partitioned, read_replay, read_thresholds, write_partitioned
 from tidewatch.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,6 +123,32 @@ def actuals_custom_sql(spark, folder):
     return _rounded(build_points(spark, [cfg], _reader(spark, folder), w.NOW), 2)
 
 
+@query
+def actuals_custom_sql_delta(spark, folder):
+    """A delta load of a metric with its own query: only the months without a stored value, through the placeholder."""
+    view = "tidewatch_orders"
+    w.table(spark, folder, "orders").createOrReplaceTempView(view)
+    cfg = MetricConfig(
+        name="orders_price_monthly", source_table=view, source_timestamp_column_sql="o_orderdate", history_start="1996-01-01",
+        period_length="month", source_sql="""
+            WITH months AS (SELECT *, DATE_TRUNC('MONTH', {source_timestamp_column_sql}) AS month FROM {source_table})
+            SELECT SUM(o_totalprice) AS value, month AS timestamp, o_orderstatus AS dimension_split_value FROM months
+            WHERE month IN ({missing_timestamps_sql}) AND month NOT IN ({existing_timestamps_sql})
+            GROUP BY ALL""")
+    dear = replace(cfg, source_sql="", source_filter_sql="o_totalprice > 300000 AND MONTH(o_orderdate) <> 7",
+                   source_forecast_column_sql="COUNT(*)")
+    held = aggregate_points(w.table(spark, folder, "orders"), [dear], w.ORDERS_NOW, sane=w.SANE)
+    versions = new_versions(describe_source(held, [cfg]), w.ORDERS_NOW)
+    return _rounded(fetch_actuals(spark, [cfg], _reader(spark, folder), versions, w.ORDERS_NOW), 2)
+
+
+@query
+def actuals_from_yaml(spark, folder):
+    """Metrics defined in a YAML file."""
+    configs = list(load_configs(config_file(Path(__file__).parent, "dev")).values())
+    return _points(spark, folder, *configs)
+
+
 @query
 def actuals_drop_unfinal(spark, folder):
     """Without the newest three hours."""
@@ -305,6 +332,23 @@ def forecast_mstl(spark, folder):
     return _rounded(forecast(_points(spark, folder, cfg), [cfg], w.ORDERS_NOW), 2)
 
 
+@query
+def forecast_mstl_periods(spark, folder):
+    """Which days get a decomposition: those after two of the longest season's worth of values."""
+    configs = [w.orders_config(f"orders_season_{days}", "SUM(o_totalprice)", {"mstl": {"parameters": {"season_length": [days, 7]}}},
+                               source_filter_sql="o_orderdate >= '2001-01-01'") for days in (30, 70)]
+    return forecast(_points(spark, folder, *configs), configs, w.ORDERS_NOW).select(*POINT, "forecast_method")
+
+
+@query
+def forecast_without_training(spark, folder):
+    """A metric without any point gets no forecast by any method, and the others theirs."""
+    methods = {**w._windows(max=30, constant_value=2), "mstl": {"parameters": {"season_length": [7]}}}
+    empty = w.orders_config("orders_none_daily", "COUNT(*)", methods, source_filter_sql="o_totalprice < 0")
+    cfg = w.orders_config(PRIORITY, "COUNT(*)", w._windows(max=30), "o_orderkey", dimension_split="o_orderpriority")
+    return _rounded(forecast(_points(spark, folder, empty, cfg), [empty, cfg], w.ORDERS_NOW))
+
+
 # --- deltas ----------------------------------------------------------------------
 
 
@@ -623,16 +667,66 @@ def outbox_stored(spark, folder):
 
 @query
 def replay_actions(spark, folder):
-    """Deltas replayed from JSON: no suppression, no open threads, no history."""
-    m = w.Monitoring.of(spark, folder)
+    """Deltas exported to JSON files and replayed: no suppression, no open threads, no history."""
+    return _replayed(spark, folder).actions.filter("visible").select(*ACTION)
+
+
+@query
+def replay_undated_rows(spark, folder):
+    """Replayed rows without a date belong to no thread and are rejected; here those of one method."""
+    stamp = F.when(F.col("forecast_method") != "mean", F.col("timestamp"))
+    return _replayed(spark, folder, timestamp=stamp).undated.select("config_name", *th.KEY)
+
+
+def _replayed(spark, folder, **changes):
+    m, path = w.Monitoring.of(spark, folder), _new_folder(spark, "export")
     exported = m.deltas().filter(F.col("anomaly_type") != "normal").select(
         *POINT, "forecast_method", "anomaly_type_lower_higher", "forecast_value", "actual_value", "delta_rel",
         "description", "dq_dashboard_url", "text_inject", "source_sql")
-    parsed = exported.select(F.to_json(F.struct("*")).alias("_j")).select(
-        F.from_json("_j", exported.schema).alias("_r")).select("_r.*")
-    run = alert_run(parsed, m.incidents().filter(F.lit(False)), m.events().filter(F.lit(False)), w.channels(spark),
-                    w.event_configs(), w.NOW, w.ENVIRONMENT, replay=True)
-    return run.actions.filter("visible").select(*ACTION)
+    exported.withColumns(changes).write.json(path)
+    return alert_run(read_replay(spark, path, lines=True), m.incidents().filter(F.lit(False)), m.events().filter(F.lit(False)),
+                     w.channels(spark), w.event_configs(), w.NOW, w.ENVIRONMENT, replay=True)
+
+
+@query
+def dry_run(spark, folder):
+    """What a run would show, by kind, and what the tables hold after it was decided and not written."""
+    m, root = w.Monitoring.of(spark, folder), _new_folder(spark, "dry-run")
+    write_partitioned(m.incidents(), f"{root}/incidents", "opened_at")
+    write_partitioned(m.events(), f"{root}/events", "posted_at")
+    incidents, events, known = live_tables(spark, root, w.NOW)
+    run = alert_run(m.deltas(), incidents, events, w.channels(spark), w.event_configs(), w.NOW, w.ENVIRONMENT, w.REPORT, w.PAGE,
+                    known=known)
+    counted = run.shown.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    for name, table in zip(("incidents", "events"), alert_tables(spark, root)):
+        counted = counted.union(table.agg(F.lit(name), F.count(F.lit(1))))
+    outbox = read_partitioned(spark, f"{root}/outbox", OUTBOX)
+    return counted.union(outbox.agg(F.lit("outbox"), F.count(F.lit(1))))
+
+
+@query
+def seed_thresholds(spark, folder):
+    """Thresholds written to CSV, with empty fields, and read as a seed."""
+    spread = F.round(F.max("value") - F.min("value"), 4)
+    limits = w.Monitoring.of(spark, folder).points().groupBy("config_name").agg(
+        F.lit("median").alias("forecast_method"), (-spread).alias("critical_lower"), spread.alias("critical_higher"),
+        F.when(F.count(F.lit(1)) > 100, -spread / 4).alias("warning_lower"), F.lit(None).cast("double").alias("warning_higher"))
+    root = _new_folder(spark, "seeds")
+    limits.write.csv(f"{root}/thresholds_dev.csv", header=True)
+    return read_thresholds(spark, root, "dev")
+
+
+@query
+def seed_descriptions(spark, folder):
+    """Texts with quotes, commas and line breaks written to CSV and read as a seed; empty ones are NULL."""
+    text = F.concat("p_name", F.lit(', "'), "p_brand", F.lit('"\n'), "p_type")
+    rows = w.table(spark, folder, "part").select(
+        F.concat(F.lit("part-"), "p_partkey").alias("config_name"), text.alias("description"),
+        F.when(F.col("p_size") > 25, F.lit("")).otherwise(F.lit("https://dq.example/?a=1,2")).alias("dq_dashboard_url"),
+        F.lit(None).cast("string").alias("text_inject"))
+    root = _new_folder(spark, "seeds")
+    rows.write.csv(f"{root}/config_descriptions_dev.csv", header=True, quote='"', escape='"', emptyValue="")
+    return read_descriptions(spark, root, "dev")
 
 
 @query

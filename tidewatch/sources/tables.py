@@ -37,9 +37,12 @@ def read_channels(spark: SparkSession, path: str) -> DataFrame:
     return read_seed(spark, path, CHANNELS)
 
 
-def read_replay(spark: SparkSession, path: str) -> DataFrame:
-    """Exported delta rows as a JSON array; missing dates follow from the timestamp."""
-    rows = spark.read.schema(REPLAY_ROWS).json(path, multiLine=True)
+def read_replay(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Exported delta rows; missing dates follow from the timestamp.
+
+    A JSON array is one task's work for each file; with ``lines`` there is one object a line, and large files are split.
+    """
+    rows = spark.read.schema(REPLAY_ROWS).json(path, multiLine=not lines)
     return rows.withColumn("anomaly_date", F.coalesce("anomaly_date", F.to_date("timestamp")))
 
 

@@ -10,18 +10,18 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tidewatch.config import MetricConfig
 from tidewatch.functions.periods import FIXED_SECONDS, timestamp_literal
 from tidewatch.operators.actuals import POINT_COLUMNS, SANE_FROM, SANE_TO, describe_source, dimension_column
 from tidewatch.operators.versions import merge_versions, new_versions
 from tidewatch.schemas import ACTUALS, REPLY_EVENTS
-from tidewatch.session import ensure_checkpoint_dir
+from tidewatch.session import ensure_checkpoint_dir, ship_package
 from tidewatch.sources.tables import is_complete, list_folders, merge_months, read_partitioned, remove_folders
 
 # Fixed value: how long a hash blocks its repeats.
@@ -178,47 +178,84 @@ def run_versions(spark: SparkSession, folder: str, files: str, cfg: MetricConfig
     return read_partitioned(spark, table, ACTUALS).select(*ACTUALS.names)
 
 
-STATE = "announced string, posted_at timestamp, client_msg_id string"
 KEYS = ["incident_slack_ts", "dimension_split_value", "forecast_method"]
+HELD = "announced string, posted_micros bigint, client_msg_id string"
+# Fixed value: threads live 168 hours.
+LIFE_MS = 168 * 3600 * 1000
 
 
-def _last_announcement(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keep the newest event of a key; forget it when its thread is past the cap."""
-    if state.hasTimedOut:
-        state.remove()
-        return
-    held = tuple(state.get) if state.exists else None
-    for rows in batches:
-        first = rows.sort_values(["posted_at", "client_msg_id"], ascending=[False, True]).iloc[0]
-        value = (first["announced"], first["posted_at"].to_pydatetime(), first["client_msg_id"])
-        if held is None or value[1] > held[1] or (value[1] == held[1] and value[2] < held[2]):
-            held = value
-    state.update(held)
-    # Fixed value: threads live 168 hours.
-    state.setTimeoutTimestamp(int(held[1].timestamp() * 1000) + 168 * 3600 * 1000)
-    yield pd.DataFrame([[*key, *held]], columns=[*KEYS, "announced", "posted_at", "client_msg_id"])
+class LastAnnouncement(StatefulProcessor):
+    """Keeps the newest event of a key; of events of one instant the one with the smallest id.
+
+    A timer forgets the key when its thread is past the cap.  Rows are looked at one after the other, so what a task holds
+    is one event, however many a key has.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle, self._held = handle, handle.getValueState("held", HELD)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:  # noqa: N802, N803
+        before = self._held.get()
+        newest = tuple(before) if before is not None else None
+        for row in rows:
+            event = (row["announced"], row["posted_micros"], row["client_msg_id"])
+            if newest is None or event[1] > newest[1] or (event[1] == newest[1] and event[2] < newest[2]):
+                newest = event
+        if before is not None and newest == tuple(before):
+            return
+        if before is not None:
+            self._handle.deleteTimer(before[1] // 1000 + LIFE_MS)
+        self._held.update(newest)
+        self._handle.registerTimer(newest[1] // 1000 + LIFE_MS)
+        yield Row(**dict(zip(KEYS, key)), announced=newest[0], posted_micros=newest[1], client_msg_id=newest[2])
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        self._held.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """State processors need the store that keeps its keys outside the heap; a query takes it when it starts for the first time."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def announced_state_stream(events: DataFrame, lateness: str = "168 hours") -> DataFrame:
-    """Last announced class per incident, dimension and method as state.
+    """Last announced class per incident, dimension and method as state; to be started within ``keyed_state``.
 
     The state is per key, not per thread, so a thread with very many
-    dimensions is spread over tasks.
+    dimensions is spread over tasks.  Events without a stamp have no place in the order and are left out.
     """
+    ship_package(events.sparkSession)
     state = F.when(F.col("kind") == "resolve", F.lit("normal")).otherwise(F.col("anomaly_type_lower_higher"))
-    named = events.filter(F.col("kind") != "summary").select(
+    named = events.filter((F.col("kind") != "summary") & F.col("posted_at").isNotNull()).select(
         "incident_slack_ts", F.coalesce("dimension_split_value", F.lit("")).alias("dimension_split_value"),
         F.coalesce("forecast_method", F.lit("")).alias("forecast_method"), state.alias("announced"), "posted_at",
-        "client_msg_id")
-    output = "incident_slack_ts string, dimension_split_value string, forecast_method string, " + STATE
-    return named.withWatermark("posted_at", lateness).groupBy(*KEYS).applyInPandasWithState(
-        _last_announcement, output, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+        F.unix_micros("posted_at").alias("posted_micros"), F.coalesce("client_msg_id", F.lit("")).alias("client_msg_id"))
+    output = "incident_slack_ts string, dimension_split_value string, forecast_method string, " + HELD
+    newest = named.withWatermark("posted_at", lateness).groupBy(*KEYS).transformWithState(
+        LastAnnouncement(), output, "update", "eventTime")
+    return newest.withColumn("posted_at", F.timestamp_micros("posted_micros")).drop("posted_micros")
 
 
-def run_announced_state(spark: SparkSession, path: str, location: str | None = None) -> DataFrame:
+def run_announced_state(spark: SparkSession, path: str, location: str | None = None,
+                        files_per_batch: int | None = None) -> DataFrame:
     """State after the whole stored event log, all its months, was streamed through."""
-    stream = announced_state_stream(spark.readStream.schema(REPLY_EVENTS).parquet(path))
-    return _newest(stream, location or _folder(spark, "stream-announced"), KEYS, ["announced", "posted_at"])
+    reader = spark.readStream.schema(REPLY_EVENTS)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    with keyed_state(spark):
+        stream = announced_state_stream(reader.parquet(path))
+        return _newest(stream, location or _folder(spark, "stream-announced"), KEYS, ["announced", "posted_at"])
 
 
 def distinct_hashes_stream(source: DataFrame) -> DataFrame:
