@@ -102,3 +102,28 @@ def test_percentiles_by_counts_and_sketches(spark):
                 place = math.ceil(share * len(ordered)) - 1
                 slack = 0 if exact else 1 + len(ordered) // a.SKETCH
                 assert ordered[max(place - slack, 0)] <= r[name] <= ordered[min(place + slack, len(ordered) - 1)]
+
+
+def test_lags_from_daily_sketches(spark, tmp_path):
+    """Days are sketched once, a later month is added or replaced alone, and percentiles are off by less than 1% of the ranks."""
+    path, as_of = str(tmp_path / "daily"), datetime(2024, 4, 1)
+    assert a.publication_lags_daily(spark, path, as_of).isEmpty()
+    delays = {m: [float((k * 7919 * m) % 10007) for k in range(6000)] for m in (1, 2, 3)}
+
+    def month(m, values):
+        rows = [publication("many", date(2024, m, 1 + k % 28), v) for k, v in enumerate(values)]
+        rows += [publication("few", date(2024, m, 5), 3.0 + m), publication("few", date(2024, m, 5), None)]
+        return spark.createDataFrame(rows, PUBLICATIONS)
+
+    for m, values in ((1, delays[1]), (2, [1.0]), (3, delays[3]), (2, delays[2])):
+        a.refresh_daily_lags(month(m, values), path)
+    got = {r.dataset: r for r in a.publication_lags_daily(spark, path, as_of).collect()}
+    whole = month(1, delays[1]).union(month(2, delays[2])).union(month(3, delays[3]))
+    for exact in a.publication_lags(whole, as_of, exact=True).collect():
+        for name in ("scraper_started", "obs", "obs_last_90d", "expected_delay_hour_suggested", "max_h"):
+            assert got[exact.dataset][name] == exact[name]
+    ordered = sorted(v for values in delays.values() for v in values)
+    for name, share in a.LAG_SHARES.items():
+        places = [i for i, v in enumerate(ordered) if abs(v - got["many"][name]) <= 0.5]
+        assert min(abs(i - share * len(ordered)) for i in places) < 0.01 * len(ordered)
+    assert (got["few"].obs, got["few"].median_h, got["few"].flag) == (3, 5.0, "INSUFFICIENT_DATA")

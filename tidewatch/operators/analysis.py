@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidewatch.functions.periods import timestamp_literal
 from tidewatch.functions.text import instant_literal_text, quoted_text
 from tidewatch.operators.deltas import BUCKETS, NORMAL
 from tidewatch.operators.transitions import COUNTS, announced_states, firing
-from tidewatch.schemas import DEDUP_INDEX
+from tidewatch.schemas import DEDUP_INDEX, schema_of
 from tidewatch.session import scratch
-from tidewatch.sources.tables import append_new
+from tidewatch.sources.tables import append_new, read_partitioned, write_partitioned
 
 DELAY = "timestamp_delay_hour"
 SKETCH = 10_000  # a sketched percentile is off by one in so many of the ranks at most
@@ -51,10 +51,18 @@ def _lags(publications: DataFrame, keys: list[str], shares: dict[str, float], re
 
 def publication_lags(publications: DataFrame, as_of: datetime, exact: bool = False) -> DataFrame:
     """Per dataset: how long publication takes, and whether that is usable as expectation."""
-    recent = F.col("date") >= F.lit(as_of.date() - timedelta(days=90))
-    shares = {"p5_h": 0.05, "p10_h": 0.1, "p25_h": 0.25, "median_h": 0.5}
-    lags = _lags(publications, ["dataset"], shares, recent, exact)
-    hours = lags.withColumns({name: F.round(name) for name in ("min_h", *shares, "max_h")})
+    return _flagged(_lags(publications, ["dataset"], LAG_SHARES, _recent(as_of), exact))
+
+
+LAG_SHARES = {"p5_h": 0.05, "p10_h": 0.1, "p25_h": 0.25, "median_h": 0.5}
+
+
+def _recent(as_of: datetime) -> Column:
+    return F.col("date") >= F.lit(as_of.date() - timedelta(days=90))
+
+
+def _flagged(lags: DataFrame) -> DataFrame:
+    hours = lags.withColumns({name: F.round(name) for name in ("min_h", *LAG_SHARES, "max_h")})
     # Fewer than 30 observations, two weeks, one week.
     flag = (F.when(F.col("obs") < 30, "INSUFFICIENT_DATA").when(F.col("obs_last_90d") == 0, "NO_RECENT_DATA")
             .when(F.col("min_h") > 24 * 14, "LIKELY_OBSOLETE")
@@ -66,6 +74,35 @@ def publication_lags(publications: DataFrame, as_of: datetime, exact: bool = Fal
         "p5_h", "p10_h", "p25_h", "median_h", "max_h", flag.alias("flag")).orderBy("dataset")
 
 
+# Size of a stored sketch: a percentile of merged sketches is off by less than 1% of the ranks.
+KLL_SIZE = 800
+DAILY = schema_of(dataset=T.StringType(), date=T.DateType(), scraper_started=T.DateType(), obs=T.LongType(), min_h=T.DoubleType(),
+                  max_h=T.DoubleType(), sketch=T.BinaryType())
+
+
+def refresh_daily_lags(publications: DataFrame, path: str) -> None:
+    """Write counts, extremes and a mergeable sketch of the delays of each dataset and day, by month.
+
+    The months that occur in ``publications`` are replaced, so these have to be there as a whole; others stay as they are.
+    Sketches have a bounded size and are made before the shuffle.  A dataset without observed delays has no row.
+    """
+    daily = _observed(publications).groupBy("dataset", "date").agg(
+        F.min("first_valid_from_date").alias("scraper_started"), F.count(F.lit(1)).alias("obs"), F.min(DELAY).alias("min_h"),
+        F.max(DELAY).alias("max_h"), F.kll_sketch_agg_double(DELAY, KLL_SIZE).alias("sketch"))
+    write_partitioned(daily.select(*DAILY.names), path, "date")
+
+
+def publication_lags_daily(spark: SparkSession, path: str, as_of: datetime) -> DataFrame:
+    """``publication_lags`` from what ``refresh_daily_lags`` stored: sketches of days are merged, no publication is read."""
+    daily = read_partitioned(spark, path, DAILY)
+    merged = daily.groupBy("dataset").agg(
+        F.min("scraper_started").alias("scraper_started"), F.sum("obs").alias("obs"),
+        F.sum(F.when(_recent(as_of), F.col("obs")).otherwise(0)).alias("obs_last_90d"), F.min("min_h").alias("min_h"),
+        F.max("max_h").alias("max_h"), F.kll_merge_agg_double("sketch", KLL_SIZE).alias("_sketch"))
+    return _flagged(merged.withColumns({
+        name: F.kll_sketch_get_quantile_double("_sketch", F.lit(share)) for name, share in LAG_SHARES.items()}))
+
+
 def environment_comparison(publications: DataFrame, environments: tuple[str, str] = ("prod", "staging"),
                            exact: bool = False) -> DataFrame:
     """Per dataset: minimum and median delay of two environments side by side."""
