@@ -159,5 +159,7 @@ def mix_sources(documents: DataFrame, keep: list[str], narrow: bool = True, weig
 
 
 def op6_entropy_mixing(documents: DataFrame) -> DataFrame:
+    """Words the mix takes of each row; null texts have size 0 and give none, null sources come last, repeated rows count each,
+    an empty table gives an empty table."""
     return mix_sources(documents, ["doc_id", "source"]).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

@@ -256,4 +256,6 @@ def ngram_join(documents: DataFrame, gram: int = GRAM, percent: int = PERCENT) -
 
 
 def op1_ngram_jaccard(documents: DataFrame) -> DataFrame:
+    """Set size, component and number of links of each row; repeated rows link with each other, texts that are null or without
+    words with nothing, an empty table gives an empty table.  Columns beside ``doc_id`` and ``text`` do not matter."""
     return ngram_join(documents)

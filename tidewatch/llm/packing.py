@@ -149,4 +149,6 @@ def best_fit_packing(documents: DataFrame, tokenizer: str, length: int = LENGTH,
 
 
 def op8_best_fit_packing(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Pieces of each row and their places; a null or empty text is its end mark alone, repeated rows are packed each, an empty
+    table gives an empty table."""
     return best_fit_packing(documents, tokenizer or public_tokenizers.path("byte_bpe_50k.json"))

@@ -210,5 +210,7 @@ def quality_rules(documents: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def op2_mcd_quality(documents: DataFrame) -> DataFrame:
+    """Counts and verdict of each row; a null text has no words and fails, null languages and sources are groups of their own,
+    repeated rows are counted each, an empty table gives an empty table."""
     return quality_rules(documents, ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
