@@ -123,6 +123,13 @@ def _answering(table: pa.Table) -> pa.Table:
         "blob", pa.array([squeeze(a) for a in np.split(answers, bounds)], pa.binary()))
 
 
+def questions(chunks: DataFrame, keys_of: Callable, buckets: int) -> DataFrame:
+    """``(chunk, answer)``: what the buckets answer each chunk, see ``ask``."""
+    asked = chunks.mapInArrow(_asking(keys_of, buckets), QUESTION)
+    told = asked.groupBy("bucket").applyInArrow(_answering, QUESTION)
+    return told.select("chunk", F.struct("bucket", "blob").alias("answer"))
+
+
 def ask(chunks: DataFrame, keys_of: Callable, buckets: int) -> DataFrame:
     """``chunks`` with ``answers``: for each key a chunk asks about, 0 if one document has it, else a step that grows with
     the logarithm of the number of documents.
@@ -131,9 +138,7 @@ def ask(chunks: DataFrame, keys_of: Callable, buckets: int) -> DataFrame:
     A step is a function of the key alone.  Keys that only share their 48 bits count as one: steps rank keys and rule out
     those of a single document, and must not be taken as proof of equality.
     """
-    asked = chunks.mapInArrow(_asking(keys_of, buckets), QUESTION)
-    told = asked.groupBy("bucket").applyInArrow(_answering, QUESTION)
-    return with_answers(chunks, told.select("chunk", F.struct("bucket", "blob").alias("answer")))
+    return with_answers(chunks, questions(chunks, keys_of, buckets))
 
 
 def with_answers(chunks: DataFrame, told: DataFrame) -> DataFrame:

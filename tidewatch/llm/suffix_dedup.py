@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidewatch.llm.chunks import NO_ID, answers_of, ask, bucket_count, expand, pack, rows_of, squeeze, unpack, with_answers
+from tidewatch.llm.chunks import NO_ID, answers_of, bucket_count, expand, pack, questions, rows_of, squeeze, unpack, with_answers
+from tidewatch.llm.rows import numbered
 from tidewatch.llm.text import mix, range_hashes
 from tidewatch.session import stored
 
@@ -17,27 +18,45 @@ LENGTH = 50  # bytes of a string that counts as repeated
 LEAD = 24  # leading bytes that choose a suffix; every string of LENGTH bytes holds a chosen one
 REACH = LENGTH - LEAD + 1
 SLICE_BYTES = 1 << 20
-SEGMENT = 1 << 17  # strings looked at in one go
+SEGMENT = 1 << 15  # strings looked at in one go
 _PLACE_BITS = 18  # hold a place in a segment and its overhang
 SAMPLE = 8  # one in so many chunks gives splitters
+RANGES = 4096  # ranges of leading bytes at most, so that splitters stay small; more buckets are parts of ranges
 _OFFSET = np.uint64(0x9FB21C651E98DF25)
-
-
-def _chosen(data: np.ndarray, at: int, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Strings from ``at`` on that lie in one text, the place of the suffix that each chooses, and its hash."""
-    place = np.flatnonzero(whole)
-    if not len(place):
-        return place, place, np.zeros(0, np.uint64)
+_WORDS = [np.uint64(w) for w in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)]
+_LOW = np.uint64((1 << _PLACE_BITS) - 1)
+
+
+def _lead_hashes(part: np.ndarray) -> np.ndarray:
+    """Hash of the LEAD bytes from each place; its upper 48 bits are the good ones."""
+    count = len(part) - LEAD + 1
+    eight = np.ndarray(len(part) - 7, "<u8", np.ascontiguousarray(part), strides=(1,)).astype(np.uint64)
+    total = eight[:count] * _WORDS[0]
+    total += eight[8:8 + count] * _WORDS[1]
+    total ^= total >> np.uint64(29)
+    total += eight[16:16 + count]
+    total *= _WORDS[2]
+    total ^= total >> np.uint64(32)
+    total *= _WORDS[0]
+    return total
+
+
+def _chosen(data: np.ndarray, at: int, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of strings from ``at`` on, of those that lie ``whole`` in one text: the first and the last string, the
+    place of the suffix that they choose, and its hash."""
     part = data[at:at + len(whole) + LENGTH - 1]
-    starts = np.arange(len(part) - LEAD + 1)
-    hashes = range_hashes(part, starts, starts + LEAD)
-    low = np.uint64((1 << _PLACE_BITS) - 1)
-    ranked = (hashes & ~low) | starts.astype(np.uint64)
+    hashes = _lead_hashes(part)
+    ranked = (hashes & ~_LOW) | np.arange(len(hashes), dtype=np.uint64)
     for width in (1, 2, 4, 8):
         ranked = np.minimum(ranked[:-width], ranked[width:])
-    chosen = np.minimum(ranked[:len(whole)], ranked[REACH - 16:REACH - 16 + len(whole)])[place]
-    anchor = (chosen & low).astype(np.int64)
-    return place + at, anchor + at, hashes[anchor]
+    chosen = np.minimum(ranked[:len(whole)], ranked[REACH - 16:REACH - 16 + len(whole)])
+    moved = chosen[1:] != chosen[:-1]
+    begin, stop = whole.copy(), whole.copy()
+    begin[1:] &= moved | ~whole[:-1]
+    stop[:-1] &= moved | ~whole[1:]
+    first = np.flatnonzero(begin)
+    anchor = (chosen[first] & _LOW).astype(np.int64)
+    return first + at, np.flatnonzero(stop) + at, anchor + at, hashes[anchor]
 
 
 class _Suffixes:
@@ -59,17 +78,8 @@ class _Suffixes:
         np.add.at(inside, offsets[:-1][tall], 1)
         np.add.at(inside, offsets[1:][tall] - LENGTH + 1, -1)
         whole = np.cumsum(inside, out=inside)[:len(data) - LENGTH + 1] > 0
-        firsts, lasts, anchors, keys = [], [], [], []
-        for at in range(0, len(whole), SEGMENT):
-            place, anchor, key = _chosen(data, at, whole[at:at + SEGMENT])
-            fresh = np.ones(len(anchor), bool)
-            fresh[1:] = anchor[1:] != anchor[:-1]
-            begin = np.flatnonzero(fresh)
-            firsts.append(place[begin])
-            anchors.append(anchor[begin])
-            keys.append(key[begin])
-            lasts.append(place[np.append(begin[1:], len(place)) - 1] if len(place) else place)
-        first, last, anchor, key = (np.concatenate(x) for x in (firsts, lasts, anchors, keys))
+        parts = [_chosen(data, at, whole[at:at + SEGMENT]) for at in range(0, len(whole), SEGMENT)]
+        first, last, anchor, key = (np.concatenate(x) for x in zip(*parts))
         # a stretch that goes on in the next segment is one
         new = np.ones(len(anchor), bool)
         new[1:] = anchor[1:] != anchor[:-1]
@@ -92,13 +102,14 @@ def _keys_of(ids, data, offsets):
     return _Suffixes(ids, data, offsets).keys()
 
 
-def leading_words(data: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
-    """``words`` times eight bytes from each place, as numbers that sort like the bytes."""
-    return np.ascontiguousarray(data[at[:, None] + np.arange(8 * words)]).view(">u8").astype(np.uint64)
+def leading_words(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The LEAD bytes from each place, as numbers of eight bytes that sort like them."""
+    return np.ascontiguousarray(data[at[:, None] + np.arange(LEAD)]).view(">u8").astype(np.uint64)
 
 
-def _signed(words: np.ndarray) -> np.ndarray:
-    return (words ^ np.uint64(1 << 63)).view(np.int64)
+def leads(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The LEAD bytes from each place, as byte strings of fixed width."""
+    return np.ascontiguousarray(data[at[:, None] + np.arange(LEAD)]).view(f"S{LEAD}").ravel()
 
 
 def multikey_order(words: np.ndarray) -> np.ndarray:
@@ -115,15 +126,36 @@ def multikey_order(words: np.ndarray) -> np.ndarray:
     return order
 
 
+def _repeated(row: dict, s: _Suffixes) -> np.ndarray:
+    """Numbers of the stretches whose leading bytes more than one document has."""
+    return np.flatnonzero(answers_of(row)[np.searchsorted(np.unique(s.key), s.key)] > 0) if len(s.key) else s.first
+
+
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leading bytes of one in 16 of the stretches that are sent, each once for its chunk."""
     for row in rows_of(batches):
         s = _Suffixes(*unpack(row))
-        some = s.anchor[mix(s.key) % np.uint64(16) == 0]
-        yield pa.RecordBatch.from_arrays([pa.array(_signed(leading_words(s.data, some, 1).ravel()), pa.int64())], ["lead"])
+        some = _repeated(row, s)
+        some = some[np.unique(s.key[some], return_index=True)[1]]
+        some = some[mix(s.key[some] + np.uint64(row["chunk"])) % np.uint64(16) == 0]
+        data = np.ascontiguousarray(s.data[s.anchor[some][:, None] + np.arange(LEAD)])
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in data], pa.binary())], ["lead"])
+
+
+def splitters(sample: DataFrame, ranges: int) -> np.ndarray:
+    """Borders of ``ranges`` parts of the sorted ``lead`` values: only the borders, RANGES at most, reach the driver."""
+    ranked = numbered(sample, ["lead"], "leads")
+    total = ranked.count()
+    part = F.expr(f"row_number * {ranges}L div {max(total, 1)}L")
+    borders = ranked.filter((F.col("row_number") > 0) & (part != F.expr(f"(row_number - 1) * {ranges}L div {max(total, 1)}L")))
+    return np.unique(np.array([bytes(r[0]) for r in borders.select("lead").collect()], f"S{LEAD}"))
 
 
 _SENT = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("chunk", T.LongType()),
-                      T.StructField("spans", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("blob", T.BinaryType())])
+                      T.StructField("spans", T.BinaryType()), T.StructField("n", T.LongType()),
+                      T.StructField("places", T.LongType()), T.StructField("blob", T.BinaryType())])
+_RECORD = (("doc", np.int64), ("reps", np.int32), ("shift", np.uint8), ("size", np.uint8))
+_PLACE = (("row", np.int32), ("first", np.int32), ("reach", np.int32))
 
 
 def gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -135,44 +167,56 @@ def _spans(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
     return squeeze(*(x.astype(np.int32) for x in (row, start, end)))
 
 
-def _send(splitters: np.ndarray):
+def _send(borders: np.ndarray, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = (len(borders) + 1) * width
         for number in rows_of(batches):
             s = _Suffixes(*unpack(number))
-            if not len(s.key):
+            repeated = _repeated(number, s)
+            if not len(repeated):
                 continue
-            repeated = np.flatnonzero(answers_of(number)[np.searchsorted(np.unique(s.key), s.key)] > 0)
-            first, last, anchor, row = (x[repeated] for x in (s.first, s.last, s.anchor, s.row))
-            doc = s.ids[row]
             # equal stretches of one chunk: the document with the smallest id stands for them, the others are repeats
+            first, last, anchor = (x[repeated] for x in (s.first, s.last, s.anchor))
             same = mix(range_hashes(s.data, first, last + LENGTH) + (anchor - first).astype(np.uint64) * _OFFSET)
-            order = np.lexsort((doc, same))
+            order = np.argsort(same, kind="stable")
+            same, first, last, anchor, row = same[order], first[order], last[order], anchor[order], s.row[repeated[order]]
             fresh = np.ones(len(order), bool)
-            fresh[1:] = same[order][1:] != same[order][:-1]
-            least = np.empty(len(order), np.int64)
-            least[order] = doc[order][np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))] if len(order) else 0
-            own = doc == least
-            start = s.offsets[row]
-            known = _spans(row[~own], (first - start)[~own], (last + LENGTH - start)[~own])
-            first, last, anchor, row, doc, start = (x[own] for x in (first, last, anchor, row, doc, start))
-            bucket = np.searchsorted(splitters, _signed(leading_words(s.data, anchor, 1).ravel()), "right")
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(len(splitters) + 2))
-            buckets, blobs, sizes = [], [], []
-            for b in np.flatnonzero(np.diff(cuts)):
-                take = order[cuts[b]:cuts[b + 1]]
-                size = last[take] + LENGTH - first[take]
-                blobs.append(squeeze(doc[take], row[take].astype(np.int32), (first - start)[take].astype(np.int32),
-                                     (anchor - first)[take].astype(np.uint8), size.astype(np.uint8),
-                                     gather(s.data, first[take], size)))
-                buckets.append(b)
-                sizes.append(len(take))
+            fresh[1:] = same[1:] != same[:-1]
+            begin, group, doc = np.flatnonzero(fresh), np.cumsum(fresh) - 1, s.ids[row]
+            own = doc == np.minimum.reduceat(doc, begin)[group]
+            # places of one stretch that touch or overlap, as in a line of dashes, are one place that reaches further
+            apart = fresh.copy()
+            apart[1:] |= (row[1:] != row[:-1]) | (first[1:] - first[:-1] > LENGTH)
+            head = np.flatnonzero(apart)
+            reach = first[np.append(head[1:], len(first)) - 1] - first[head]
+            size = last[head] + LENGTH - first[head]
+            place = {"row": row[head], "first": first[head] - s.offsets[row[head]], "reach": reach}
+            mine = own[head]
+            known = _spans(place["row"][~mine], place["first"][~mine], (place["first"] + size + reach)[~mine])
+            # a stretch is sent once, with all its places in the document that stands for it
+            group, at, size = group[head][mine], head[mine], size[mine]
+            place = {name: x[mine] for name, x in place.items()}
+            _, lead, reps = np.unique(group, return_index=True, return_counts=True)
+            at, size = at[lead], size[lead]
+            record = {"doc": doc[at], "reps": reps, "shift": anchor[at] - first[at], "size": size}
+            bucket = np.searchsorted(borders, leads(s.data, anchor[at]), "right") * width
+            bucket += (s.key[repeated[order[at]]] % np.uint64(width)).astype(np.int64)
+            by_bucket, place_by_bucket = np.argsort(bucket, kind="stable"), np.argsort(bucket[group], kind="stable")
+            used, cuts = np.unique(bucket[by_bucket], return_index=True)
+            cuts = np.append(cuts, len(bucket))
+            place_cuts = np.append(0, np.cumsum(np.add.reduceat(reps[by_bucket], cuts[:-1])))
+            blobs = []
+            for k in range(len(used)):
+                take, where = by_bucket[cuts[k]:cuts[k + 1]], place_by_bucket[place_cuts[k]:place_cuts[k + 1]]
+                blobs.append(squeeze(*(record[name][take].astype(kind) for name, kind in _RECORD),
+                                     *(place[name][where].astype(kind) for name, kind in _PLACE),
+                                     gather(s.data, first[at[take]], size[take])))
             empty = _spans(*[np.zeros(0)] * 3)
-            home = number["chunk"] % (len(splitters) + 1)  # what is known already takes the way of the records
+            home = number["chunk"] % total  # what is known already takes the way of the records
             yield pa.RecordBatch.from_arrays(
-                [pa.array([home, *buckets], pa.int64()), pa.array([number["chunk"]] * (len(buckets) + 1), pa.int64()),
-                 pa.array([known, *[empty] * len(buckets)], pa.binary()), pa.array([0, *sizes], pa.int64()),
-                 pa.array([b"", *blobs], pa.binary())], _SENT.names)
+                [pa.array([home, *used], pa.int64()), pa.array([number["chunk"]] * (len(used) + 1), pa.int64()),
+                 pa.array([known, *[empty] * len(used)], pa.binary()), pa.array([0, *np.diff(cuts)], pa.int64()),
+                 pa.array([0, *np.diff(place_cuts)], pa.int64()), pa.array([b"", *blobs], pa.binary())], _SENT.names)
     return run
 
 
@@ -182,23 +226,25 @@ _FOUND = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("span
 def _compare(table: pa.Table) -> pa.Table:
     """Order a bucket's suffixes, find the groups with equal leading bytes, and in them strings of a smaller document."""
     chunks, blobs = [], []
-    parts = {name: [] for name in ("owner", "doc", "row", "first", "shift", "size", "bytes")}
-    for owner, (chunk, spans, n, blob) in enumerate(zip(*(table.column(c).to_pylist() for c in ("chunk", "spans", "n", "blob")))):
+    parts = {name: [] for name in ("owner", "bytes", *dict(_RECORD), *dict(_PLACE))}
+    columns = (table.column(c).to_pylist() for c in ("chunk", "spans", "n", "places", "blob"))
+    for chunk, spans, n, places, blob in zip(*columns):
         if not n:
             chunks.append(chunk)
             blobs.append(spans)
             continue
         raw, at = expand(blob), 0
-        for name, kind in (("doc", np.int64), ("row", np.int32), ("first", np.int32), ("shift", np.uint8), ("size", np.uint8)):
-            width = n * np.dtype(kind).itemsize
-            parts[name].append(np.frombuffer(raw[at:at + width], kind).astype(np.int64))
-            at += width
+        for fields, count in ((_RECORD, n), (_PLACE, places)):
+            for name, kind in fields:
+                width = count * np.dtype(kind).itemsize
+                parts[name].append(np.frombuffer(raw[at:at + width], kind).astype(np.int64))
+                at += width
         parts["bytes"].append(np.frombuffer(raw[at:], np.uint8))
         parts["owner"].append(np.full(n, chunk, np.int64))
     if parts["doc"]:
         p = {name: np.concatenate(v) for name, v in parts.items()}
         base = np.cumsum(p["size"]) - p["size"]
-        words = leading_words(p["bytes"], base + p["shift"], LEAD // 8)
+        words = leading_words(p["bytes"], base + p["shift"])
         order = multikey_order(words)
         fresh = np.ones(len(order), bool)
         fresh[1:] = (words[order[1:]] != words[order[:-1]]).any(1)
@@ -219,9 +265,13 @@ def _compare(table: pa.Table) -> pa.Table:
             at = end
         if results:
             which = np.concatenate([t[i] for t, i, _, _ in results])
-            start = np.concatenate([a for _, _, a, _ in results]) + p["first"][which]
-            stop = np.concatenate([b for _, _, _, b in results]) + p["first"][which]
-            owner, row = p["owner"][which], p["row"][which]
+            start, stop = (np.concatenate([r[k] for r in results]) for k in (2, 3))
+            # what holds for a record holds at each of its places
+            reps = p["reps"][which]
+            place = np.repeat((np.cumsum(p["reps"]) - p["reps"])[which] - (np.cumsum(reps) - reps), reps) + np.arange(reps.sum())
+            start = np.repeat(start, reps) + p["first"][place]
+            stop = np.repeat(stop, reps) + p["first"][place] + p["reach"][place]
+            owner, row = np.repeat(p["owner"][which], reps), p["row"][place]
             place = np.argsort(owner, kind="stable")
             cuts = np.append(np.flatnonzero(np.diff(owner[place], prepend=-1)), len(place))
             for a, b in zip(cuts[:-1], cuts[1:]):
@@ -304,17 +354,18 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
 
     A full suffix array is not needed: of the suffixes only those that ``_Suffixes`` chooses are sorted, and every string
     holds one.  First, chunks ask which leading bytes occur in more than one document.  The stretches around those go to
-    buckets, by sampled splitters of their first eight bytes; equal leading bytes never part, so no group crosses a border
-    of buckets.  A bucket sorts by multikey quicksort and compares strings within groups of equal leading bytes.  Strings
-    repeated within a chunk are decided there, so a passage that many documents share is sent once from each chunk.
+    buckets, by splitters of their LEAD bytes sampled from the stretches that are sent; past RANGES buckets each range is
+    parted by a hash of the leading bytes.  Equal leading bytes never part, so no group crosses a border of buckets.  A bucket
+    sorts by multikey quicksort and compares strings within groups of equal leading bytes.  Strings repeated within a chunk
+    are decided there: a passage is sent once from each chunk, however many documents and places there hold it.
     """
     chunks = pack(documents, "suffix-chunks")
     buckets = bucket_count(chunks)
-    told = ask(chunks, _keys_of, buckets)
-    leads = chunks.filter((F.col("chunk") % (1 << 32) == 0) | (F.pmod(F.xxhash64("chunk"), F.lit(SAMPLE)) == 0)).mapInArrow(_sample, "lead long")
-    cuts = leads.agg(F.percentile_approx("lead", [k / buckets for k in range(1, buckets)], 100 * buckets)).first()[0]
-    splitters = np.array(sorted(set(cuts or [])), np.int64)
-    found = told.mapInArrow(_send(splitters), _SENT).groupBy("bucket").applyInArrow(_compare, _FOUND)
+    told = stored(questions(chunks, _keys_of, buckets), "suffix-answers")
+    some = chunks.filter((F.col("chunk") % (1 << 32) == 0) | (F.pmod(F.xxhash64("chunk"), F.lit(SAMPLE)) == 0))
+    borders = splitters(with_answers(some, told).mapInArrow(_sample, "lead binary"), min(buckets, RANGES))
+    sent = with_answers(chunks, told).mapInArrow(_send(borders, -(-buckets // RANGES)), _SENT)
+    found = sent.groupBy("bucket").applyInArrow(_compare, _FOUND)
     return with_answers(chunks, found.select("chunk", F.col("spans").alias("answer")))
 
 
