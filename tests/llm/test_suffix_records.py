@@ -74,3 +74,11 @@ def test_splitters(prepared):
     parts = np.bincount(np.searchsorted(borders, np.array(keys, "S24"), "right"))
     assert len(parts) == 8 and parts.min() > 600 and parts.max() < 650
     assert not len(suffix_dedup.splitters(frame.limit(0), 8))
+
+
+def test_keys_spread_evenly(documents):
+    data = " ".join(r[0] for r in documents.select("text").dropna().collect()).encode()
+    found = suffix_dedup._Suffixes(np.array([1]), np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    keys = np.unique(found.key)
+    share = np.bincount((keys >> np.uint64(45)).astype(int), minlength=8) / len(keys)
+    assert share.max() < 0.16 and share.min() > 0.09

@@ -84,7 +84,8 @@ class _Suffixes:
         new = np.ones(len(anchor), bool)
         new[1:] = anchor[1:] != anchor[:-1]
         begin = np.flatnonzero(new)
-        self.first, self.anchor, self.key = first[begin], anchor[begin], key[begin] >> np.uint64(16)
+        # the chosen hashes are small ones; scrambled again, they spread evenly over the buckets that are asked
+        self.first, self.anchor, self.key = first[begin], anchor[begin], mix(key[begin]) >> np.uint64(16)
         self.last = last[np.append(begin[1:], len(last)) - 1] if len(last) else last
         self.row = np.searchsorted(offsets, self.first, "right") - 1
 
@@ -212,7 +213,7 @@ def _send(borders: np.ndarray, width: int):
                                      *(place[name][where].astype(kind) for name, kind in _PLACE),
                                      gather(s.data, first[at[take]], size[take])))
             empty = _spans(*[np.zeros(0)] * 3)
-            home = number["chunk"] % total  # what is known already takes the way of the records
+            home = ((number["chunk"] >> 32) + number["chunk"]) % total  # what is known already takes the way of the records
             yield pa.RecordBatch.from_arrays(
                 [pa.array([home, *used], pa.int64()), pa.array([number["chunk"]] * (len(used) + 1), pa.int64()),
                  pa.array([known, *[empty] * len(used)], pa.binary()), pa.array([0, *np.diff(cuts)], pa.int64()),
