@@ -1,4 +1,4 @@
-"""Packing token sequences: best fit in streams, large pieces first, with a bound on open bins that lies above what a stream needs."""
+"""Packing token sequences: best fit in streams, large pieces first, with a bound on open bins."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ import tidewatch.llm.memory  # noqa: F401 - applies in every worker that imports
 
 END = 2
 LENGTH = 1024
-OPEN_BINS = 32_768
+OPEN_BINS = 4_096  # of the pieces that the check's tables give a stream, about 4,500 would be open at once without a bound
 STREAM_PIECES = 20_000  # pieces that one packer takes, about; they come to it large first
 _SEQUENCE_BITS = 40
 
