@@ -15,15 +15,15 @@ MIN_WORDS = 10
 WINDOW = 5
 REPEATED_PERCENT = 20
 SHARE = 0.75  # of a group's rows that the determinant is taken over
-SMALL = 40  # groups with fewer rows are judged together
-STEPS = 4
+PRIOR = 40  # rows of the whole table's kind that every group is estimated with
+STILL = 1e-4  # what the logarithm of a determinant has to fall by, or its steps end
 LANES = 16
 # Fixed values for five measures: the 0.999999 quantile of chi-square, and the factor that makes the covariance of the
 # central 75 % of a normal sample that of the whole.
 CUTOFF, WIDEN = 35.9, 1.41
 # Spread that each transformed measure is granted at least, so that a measure which is the same in nearly all rows
 # does not turn small differences into outliers.
-FLOORS = (0.6, 0.12, 0.8, 0.7, 0.9)
+FLOORS = (0.4, 0.1, 0.6, 0.5, 0.5)
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -112,23 +112,33 @@ _PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 _FIT = T.ArrayType(T.DoubleType())
 
 
-def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Centre, inverse covariance and log determinant of each group from its sums."""
-    for batch in batches:
-        n = batch.column("n").to_numpy(zero_copy_only=False).astype(float)
-        sums = np.array(batch.column("sums").to_pylist(), float).reshape(len(n), -1)
-        fits = []
-        for count, row in zip(n, sums):
-            centre = row[:P] / count
-            cov = np.zeros((P, P))
-            for (i, j), value in zip(_PAIRS, row[P:]):
-                cov[i, j] = cov[j, i] = value / count - centre[i] * centre[j]
-            cov = cov * WIDEN
-            cov[np.diag_indices(P)] += np.square(FLOORS)
-            inverse = np.linalg.inv(cov)
-            fits.append([*centre, *(inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS), np.linalg.slogdet(cov)[1]])
-        kept = [batch.column(k) for k in ("grp", "start")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(fits, pa.list_(pa.float64()))], ["grp", "start", "fit"])
+def _solve(prior: list[float] | None):
+    """Centre, inverse covariance and log determinant of each group from its sums, and their means.
+
+    ``prior`` holds such means; they count as PRIOR rows more.  So a group of a few rows has the spread of the prior, and
+    what lies between the two centres; in a large group the prior does not show.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_numpy(zero_copy_only=False).astype(float)
+            sums = np.array(batch.column("sums").to_pylist(), float).reshape(len(n), -1)
+            if prior is not None:
+                n, sums = n + PRIOR, sums + PRIOR * np.array(prior)
+            means = sums / n[:, None]
+            fits = []
+            for row in means:
+                centre = row[:P]
+                cov = np.zeros((P, P))
+                for (i, j), value in zip(_PAIRS, row[P:]):
+                    cov[i, j] = cov[j, i] = value - centre[i] * centre[j]
+                cov = cov * WIDEN
+                cov[np.diag_indices(P)] += np.square(FLOORS)
+                inverse = np.linalg.inv(cov)
+                fits.append([*centre, *(inverse[i, j] * (1 if i == j else 2) for i, j in _PAIRS), np.linalg.slogdet(cov)[1]])
+            numbers = pa.list_(pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("start"), pa.array(fits, numbers),
+                                              pa.array(means.tolist(), numbers)], ["grp", "start", "fit", "means"])
+    return run
 
 
 def _distance(x: Column, fit: Column) -> Column:
@@ -144,54 +154,77 @@ def _sums(x: Column) -> list[Column]:
     return [F.sum(x[k]) for k in range(P)] + [F.sum(x[i] * x[j]) for i, j in _PAIRS]
 
 
+_FITS = T.StructType([T.StructField("grp", T.StringType()), T.StructField("start", T.IntegerType()),
+                      T.StructField("fit", _FIT), T.StructField("means", _FIT)])
+
+
+def _met(base: DataFrame, fits: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with the fits of their group; a large group is met in ``LANES`` parts."""
+    lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
+    return base.join(fits.withColumn("_lane", lanes), ["grp", "_lane"], how)
+
+
+def _step(base: DataFrame, fits: DataFrame, prior: list[float] | None) -> DataFrame:
+    """A concentration step: the nearest ``SHARE`` of each group's rows, estimated anew."""
+    x = F.col("_x")
+    near = _met(base, fits).withColumn("_bin", F.round(
+        64 * F.log2(F.greatest(_distance(x, F.col("fit")), F.lit(1e-9)))).cast("int"))
+    bins = near.groupBy("grp", "start", "_bin").agg(F.count(F.lit(1)).alias("n"), *[
+        s.alias(f"_s{k}") for k, s in enumerate(_sums(x))])
+    up_to = Window.partitionBy("grp", "start").orderBy("_bin")
+    all_ = Window.partitionBy("grp", "start")
+    inner = bins.withColumn("_before", F.sum("n").over(up_to) - F.col("n")).withColumn("_all", F.sum("n").over(all_))
+    inner = inner.filter(F.col("_before") < F.col("_all") * SHARE)
+    sums = inner.groupBy("grp", "start").agg(F.sum("n").alias("n"), F.array(*[
+        F.sum(f"_s{k}") for k in range(P + len(_PAIRS))]).alias("sums"))
+    return sums.mapInArrow(_solve(prior), _FITS)
+
+
+def concentrated(base: DataFrame, prior: list[float] | None) -> DataFrame:
+    """``(grp, fit, means)``: of the rows of each group, the estimate of the ``SHARE`` with the smallest determinant.
+
+    From two starts, the whole group and its coordinatewise medians, steps go on until no determinant falls; a start that
+    stands still takes no part in the next step.  Which rows are nearest is read from exact counts of finely binned
+    distances, so a step is one aggregation, combined before it is shuffled.
+    """
+    x = F.col("_x")
+    first = stored(base.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*_sums(x)).alias("sums"),
+        *[F.percentile_approx(x[k], 0.5, 1000).alias(f"_m{k}") for k in range(P)]), "first")
+    whole = first.select("grp", F.lit(0).alias("start"), "n", "sums").mapInArrow(_solve(prior), _FITS)
+    middle = first.select("grp", F.lit(1).alias("start"), F.array(
+        *[F.col(f"_m{k}") for k in range(P)], *[F.lit(1.0 / f ** 2 if i == j else 0.0) for i, j in _PAIRS for f in [FLOORS[i]]],
+        F.lit(0.0)).alias("fit"), F.array().cast(_FIT).alias("means"))
+    det, new_det = F.col("_det"), F.col("_fit")[P + len(_PAIRS)]
+    state = whole.unionByName(middle).withColumns({"_det": F.lit(1e300), "_open": F.lit(True)})
+    while True:
+        state = stored(state, "fits")
+        if not state.filter("_open").head(1):
+            break
+        moved = _step(base, state.filter("_open").select("grp", "start", "fit"), prior).select(
+            "grp", "start", F.col("fit").alias("_fit"), F.col("means").alias("_means"))
+        fell = F.coalesce(new_det < det - STILL, F.lit(False))
+        state = state.join(moved, ["grp", "start"], "left").select(
+            "grp", "start", F.when(fell, F.col("_fit")).otherwise(F.col("fit")).alias("fit"),
+            F.when(fell, F.col("_means")).otherwise(F.col("means")).alias("means"),
+            F.when(fell, new_det).otherwise(det).alias("_det"), fell.alias("_open"))
+    best = F.struct(F.col("_det"), F.col("start"))
+    return state.groupBy("grp").agg(F.min_by("fit", best).alias("fit"), F.min_by("means", best).alias("means"))
+
+
 def outliers(rows: DataFrame, group: list[str], x: list[Column]) -> DataFrame:
-    """``rows`` with ``distance``, squared, from the robust centre of their group (null where no group is large enough).
+    """``rows`` with ``distance``, squared, from the robust centre of their group.
 
-    Each group's centre and covariance are those of the ``SHARE`` of its rows with the smallest determinant: from two
-    starts, the whole group and its coordinatewise medians, concentration steps keep the nearest rows and estimate anew.
-    Which rows are nearest is read from exact counts of finely binned distances, so a step is one aggregation, combined
-    before it is shuffled; a large group is met in ``LANES`` parts.  Groups under ``SMALL`` rows are judged as one.
+    Each group's centre and covariance are those of ``concentrated``, estimated with PRIOR rows of what the same
+    estimate gives for the whole table: groups of all sizes are judged alike, and one of a few rows mostly by the whole table.
     """
     key = F.to_json(F.array(*[F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for c in group]))
-    base = stored(rows.withColumn("_x", F.array(*x)).withColumn("_key", key)
+    base = stored(rows.withColumn("_x", F.array(*x)).withColumn("grp", key)
                   .withColumn("_lane", F.pmod(F.monotonically_increasing_id(), F.lit(LANES)).cast("int")), "measured")
-    sizes = base.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    named = sizes.select("_key", F.when(F.col("_n") >= SMALL, F.col("_key")).otherwise(F.lit("")).alias("grp"))
-    lanes = F.explode(F.sequence(F.lit(0), F.lit(LANES - 1)))
-    base = stored(base.join(named.withColumn("_lane", lanes), ["_key", "_lane"]).drop("_key"), "grouped")
-
-    x_ = F.col("_x")
-    first = base.groupBy("grp").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*_sums(x_)).alias("sums"),
-        *[F.percentile_approx(x_[k], 0.5, 1000).alias(f"_m{k}") for k in range(P)])
-    first = stored(first.filter(F.col("n") >= SMALL), "first")
-    whole = first.select("grp", F.lit(0).alias("start"), "n", "sums")
-    middle = first.select("grp", F.lit(1).alias("start"), F.array(
-        *[F.col(f"_m{k}") for k in range(P)], *[F.lit(1.0 / f ** 2 if i == j else 0.0) for i, j in _PAIRS for f in [FLOORS[i]]],
-        F.lit(0.0)).alias("fit"))
-    fit_schema = T.StructType([T.StructField("grp", T.StringType()), T.StructField("start", T.IntegerType()),
-                               T.StructField("fit", _FIT)])
-    fits = whole.mapInArrow(_solve, fit_schema).unionByName(middle)
-
-    def met(fits: DataFrame) -> DataFrame:
-        return base.join(fits.withColumn("_lane", lanes), ["grp", "_lane"])
-
-    for _ in range(STEPS):
-        near = met(stored(fits, "fits")).withColumn("_bin", F.round(
-            64 * F.log2(F.greatest(_distance(x_, F.col("fit")), F.lit(1e-9)))).cast("int"))
-        bins = near.groupBy("grp", "start", "_bin").agg(F.count(F.lit(1)).alias("n"), *[
-            s.alias(f"_s{k}") for k, s in enumerate(_sums(x_))])
-        up_to = Window.partitionBy("grp", "start").orderBy("_bin")
-        all_ = Window.partitionBy("grp", "start")
-        inner = bins.withColumn("_before", F.sum("n").over(up_to) - F.col("n")).withColumn("_all", F.sum("n").over(all_))
-        inner = inner.filter(F.col("_before") < F.col("_all") * SHARE)
-        sums = inner.groupBy("grp", "start").agg(F.sum("n").alias("n"), F.array(*[
-            F.sum(f"_s{k}") for k in range(P + len(_PAIRS))]).alias("sums"))
-        fits = sums.mapInArrow(_solve, fit_schema)
-    best = stored(fits, "fits").groupBy("grp").agg(F.min_by("fit", F.struct(F.col("fit")[P + len(_PAIRS)], "start")).alias("fit"))
-    # every group keeps its rows, those without a fit too
-    found = base.join(best.withColumn("_lane", lanes), ["grp", "_lane"], "left")
-    return found.withColumn("distance", _distance(x_, F.col("fit"))).drop("_x", "_lane", "grp", "fit")
+    whole = concentrated(base.select(F.lit("").alias("grp"), "_lane", "_x"), None).select("means").first()
+    best = concentrated(base.select("grp", "_lane", "_x"), list(whole[0]) if whole else None).drop("means")
+    found = _met(base, best, "left")
+    return found.withColumn("distance", _distance(F.col("_x"), F.col("fit"))).drop("_x", "_lane", "grp", "fit")
 
 
 def quality_rules(documents: DataFrame, keep: list[str]) -> DataFrame:
