@@ -45,6 +45,21 @@ def test_query(spark, engine, name):
     assert got == table([c[0] for c in result.description], result.fetchall())
 
 
+def test_outbox_before_the_first_message(spark, tmp_path):
+    """Steady events raise nothing, so no run has written a message; then the outbox is empty, with its columns."""
+    engine = duckdb.connect()
+    engine.sql(f"""
+        COPY (SELECT row_number() OVER () AS event_id, ts, 1 AS user_id, event_type, 2.5::DOUBLE AS value, '' AS props
+              FROM range(TIMESTAMP '2024-01-01 00:30', TIMESTAMP '2024-01-31', INTERVAL 1 HOUR) h(ts),
+                   (VALUES ('view'), ('error')) k(event_type)) TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
+    engine.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    assert QUERIES["deltas_classified"](spark, str(tmp_path)).count() > 0
+    frame = QUERIES["outbox_stored"](spark, str(tmp_path))
+    result = engine.execute(SQL["outbox_stored"])
+    assert table(frame.columns, frame.collect()) == table([c[0] for c in result.description], result.fetchall())
+    assert frame.isEmpty() and frame.dtypes == QUERIES["outbox_stored"](spark, FOLDER).dtypes
+
+
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
     assert set(QUERIES) <= set(queries())
